@@ -32,7 +32,8 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_sedimenta_shipped", False):
         return
     package = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as folder:
+    if package.is_dir():  # not when the package itself was imported from such an archive
+        folder = tempfile.mkdtemp(prefix="sedimenta-")
         shutil.copytree(package, f"{folder}/src/{package.name}", ignore=shutil.ignore_patterns("__pycache__"))
         context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", f"{folder}/src"))
     context._sedimenta_shipped = True
