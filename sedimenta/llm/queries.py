@@ -19,7 +19,35 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sedimenta.llm.decontam import contained_items
+
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sedimenta.llm.knn import top_inner_products
+
+    return top_inner_products(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sedimenta.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sedimenta.llm.near_dedup import near_components
+
+    return near_components(_table(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op5_token_counts": op5_token_counts,
+    "op7_knn_join": op7_knn_join,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op10_near_dedup": op10_near_dedup,
 }
 SQL: dict[str, str] = {}
