@@ -8,7 +8,8 @@ key that equal windows share. Neighbouring windows share it too, so a text sends
 of windows, about one for 40 bytes, instead of one for each suffix. Digit two: the hash of the run's
 bytes. Runs equal in both digits repeat as a whole. A run alone in its first digit repeats nothing.
 Only runs that share the first digit and differ in the second take the last pass, where each of
-their windows is keyed by its own bytes.
+their windows is compared by its own bytes: within the group of the first digit, or, if that is large,
+dealt out by the window.
 Equal keys of one Arrow batch are combined before any shuffle, and groups are streamed in sorted
 order, so a key that holds a large part of all rows needs no memory of its size.
 """
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from sedimenta.llm.store import Scratch
 from sedimenta.llm.textbytes import _BYTE, _P, _P_INV, chunks, mix, powers, utf8
 
-WIDTH, GRAM = 100, 20
+#: `width`, the grams' length, and the runs of one first digit that a task compares in its memory (at most 10 MB of text).
+WIDTH, GRAM, GROUP = 100, 20, 50_000
 _KEYS = "k1 long, k2 long, id long, pos long"
 _NAMES = ["k1", "k2", "id", "pos"]
 _START, _LEN = 31, 8
@@ -101,17 +103,17 @@ def _combined(k1: np.ndarray, k2: np.ndarray, ids: np.ndarray, pos: np.ndarray)
 
 
 def _sorted_groups(keyed: DataFrame, pending: bool) -> DataFrame:
-    """(id, pos, again): again: the row's two keys occurred earlier; not again: it is the first of its two
-    keys and shares k1 with others (only if pending). Other rows fall away."""
+    """(id, pos, k1): k1 null: the row's two keys occurred earlier; else it is the first of its two keys and
+    shares k1 with others (only if pending). Other rows fall away."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = held = None  # (k1, k2, id, pos) of the first row of the group that is open; its first row while that is the only content of its k1
+        last = held = None  # (k1, k2, id, pos) of the first row of the open group; (id, pos, k1) of the only content of the open k1
         for batch in batches:
             if not batch.num_rows:
                 continue
             known = ~np.asarray(batch.column(0).is_valid())
             if known.any():
-                yield pa.RecordBatch.from_arrays([batch.column(2).filter(pa.array(known)), batch.column(3).filter(pa.array(known)), pa.array(np.ones(known.sum(), bool))], ["id", "pos", "again"])
+                yield pa.RecordBatch.from_arrays([batch.column(2).filter(pa.array(known)), batch.column(3).filter(pa.array(known)), pa.nulls(int(known.sum()), pa.int64())], ["id", "pos", "k1"])
                 batch = batch.filter(pa.array(~known))
                 if not batch.num_rows:
                     continue
@@ -122,27 +124,27 @@ def _sorted_groups(keyed: DataFrame, pending: bool) -> DataFrame:
             head = np.flatnonzero(new2)
             head_id, head_pos = (np.append(0 if last is None else last[i], x[head]) for i, x in ((2, ids), (3, pos)))
             again = (ids != head_id[group]) | (pos != head_pos[group])
-            out = [(ids[again], pos[again], True)]
+            out = [(ids[again], pos[again], None)]
             if pending:
                 family = np.cumsum(new1)
                 contents = np.bincount(family[new2], minlength=family[-1] + 1)
                 contents[0] += last is not None
                 if held is not None and contents[0] > 1:
-                    out.append((*(np.array([x]) for x in held), False))
+                    out.append(tuple(np.array([x]) for x in held))
                 if held is not None and (contents[0] > 1 or new1.any()):
                     held = None
                 wait = new2 & (contents[family] > 1)
-                out.append((ids[wait], pos[wait], False))
+                out.append((ids[wait], pos[wait], k1[wait]))
                 tail = np.flatnonzero(new1)
                 if len(tail) and contents[family[-1]] == 1:
-                    held = ids[tail[-1]], pos[tail[-1]]
+                    held = ids[tail[-1]], pos[tail[-1]], k1[tail[-1]]
             last = k1[-1], k2[-1], head_id[-1], head_pos[-1]
-            a, b, c = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out]), np.concatenate([np.full(len(x[0]), x[2]) for x in out])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c)], ["id", "pos", "again"])
+            keys = pa.concat_arrays([pa.nulls(len(x[0]), pa.int64()) if x[2] is None else pa.array(x[2]) for x in out])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in out])) for i in (0, 1)] + [keys], ["id", "pos", "k1"])
 
     spread = F.coalesce("k1", F.xxhash64("id", "pos"))
     dealt = keyed.repartition(spread).sortWithinPartitions("k1", "k2", "id", "pos")
-    return dealt.mapInArrow(run, "id long, pos long, again boolean")
+    return dealt.mapInArrow(run, "id long, pos long, k1 long")
 
 
 def _first_pass(texts: DataFrame, width: int, gram: int) -> DataFrame:
@@ -160,31 +162,93 @@ def _first_pass(texts: DataFrame, width: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, _KEYS)
 
 
-def _last_pass(texts: DataFrame, width: int) -> DataFrame:
-    """Every window of the runs that are listed in `open`, keyed by the window's bytes."""
+def _open_runs(texts: DataFrame, width: int) -> DataFrame:
+    """(k1, id, pos, piece): the bytes of the runs that are listed in `open`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, held = [], 0
+            ids, tags = np.asarray(batch.column(0)), _tags(batch.column(1))
+            rows: list[tuple] = []
             for i in range(batch.num_rows):
-                tag = _tags(batch.column(1).slice(i, 1))[0]
-                own, start, more = _unpack(np.asarray(batch.column(2)[i].values))
-                start, more = start[own == tag], more[own == tag]
-                data = np.frombuffer(batch.column(1)[i].as_buffer(), np.uint8)
-                total, inverse = _sums(data), powers(_P_INV, len(data) + 1)
-                s = np.repeat(start - np.cumsum(np.append(0, more[:-1] + 1)), more + 1) + np.arange((more + 1).sum())
-                s = np.unique(s)
-                h = (total[s + width] - total[s]) * inverse[s]
-                half = mix((total[s + width // 2] - total[s]) * inverse[s])
-                ids = np.full(len(s), batch.column(0)[i].as_py())
-                parts.append((mix(h), half, ids, _pack(np.full(len(s), tag), s, np.zeros(len(s)))))
-                held += len(s)
-                if held > 1_000_000:
-                    yield _combined(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-                    parts, held = [], 0
-            yield _combined(*(np.concatenate(x) for x in zip(*parts, strict=True))) if parts else _combined(*(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64)))
+                raw, listed = memoryview(batch.column(1)[i].as_buffer()), batch.column(2)[i].values
+                pos, k1 = np.asarray(listed.field("pos")), np.asarray(listed.field("k1"))
+                own, start, more = _unpack(pos)
+                for j in np.flatnonzero(own == tags[i]).tolist():
+                    rows.append((k1[j], ids[i], pos[j], raw[start[j] : start[j] + more[j] + width].tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], ["k1", "id", "pos", "piece"])
+
+    return texts.mapInArrow(run, "k1 long, id long, pos long, piece binary")
+
+
+def _windows(part: pa.Table, width: int) -> tuple[np.ndarray, ...]:
+    """(k1, hash, row, id, tag, start) of every window of the pieces, in order."""
+    part = part.combine_chunks()
+    pieces = part.column("piece").chunk(0)
+    at = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
+    data = np.frombuffer(pieces.buffers()[2], np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    total, inverse = _sums(data), powers(_P_INV, len(data) + 1)
+    many = np.diff(at) - width + 1
+    row = np.repeat(np.arange(part.num_rows), many)
+    offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    s = at[row] + offset
+    tag, start, _ = _unpack(np.asarray(part.column("pos").chunk(0)))
+    return np.asarray(part.column("k1").chunk(0))[row], mix((total[s + width] - total[s]) * inverse[s]).view(np.int64), row, np.asarray(part.column("id").chunk(0))[row], tag[row], start[row] + offset
+
+
+def _last_pass(open_runs: DataFrame, width: int, most: int = GROUP) -> DataFrame:
+    """Keyed rows as of _first_pass: repeats are found here in groups of up to `most` runs of one k1; of larger
+    groups every window goes on, keyed by its own bytes."""
+
+    def keyed(part: pa.Table) -> pa.RecordBatch:
+        k1, h, _, ids, tag, start = _windows(part, width)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (k1, h, ids, _pack(tag, start, np.zeros(len(start), np.int64)))], _NAMES)
+
+    def solved(part: pa.Table) -> pa.RecordBatch:
+        k1, h, row, ids, tag, start = _windows(part, width)
+        order = np.lexsort((np.arange(len(h)), h, k1))
+        k1, h, row, ids, tag, start = (x[order] for x in (k1, h, row, ids, tag, start))
+        new = np.append(True, (k1[1:] != k1[:-1]) | (h[1:] != h[:-1]))[: len(h)]
+        head = np.flatnonzero(new)[np.cumsum(new) - 1]
+        again = (ids != ids[head]) | (tag != tag[head]) | (start != start[head])
+        row, ids, tag, start = row[again], ids[again], tag[again], start[again]
+        order = np.lexsort((start, row))
+        row, ids, tag, start = row[order], ids[order], tag[order], start[order]
+        first = np.append(True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1))[: len(row)]
+        a = np.flatnonzero(first)
+        more = np.append(a[1:], len(row))[: len(a)] - a - 1
+        none = pa.nulls(len(a), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, pa.array(ids[a]), pa.array(_pack(tag[a], start[a], more))], _NAMES)
 
-    return texts.mapInArrow(run, _KEYS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None  # rows of the open group
+        large = None  # the open group, if it is larger than `most`
+        for batch in (b.slice(i, 8192) for b in batches for i in range(0, b.num_rows, 8192)):
+            table = pa.Table.from_batches([batch])
+            k1 = np.asarray(batch.column(0))
+            if large is not None:
+                n = int(np.searchsorted(k1 != large, True)) if k1[-1] != large else len(k1)
+                if n:
+                    yield keyed(table.slice(0, n))
+                if n == len(k1):
+                    continue
+                large, table, k1 = None, table.slice(n), k1[n:]
+            if kept is not None:
+                table = pa.concat_tables([kept, table])
+                k1 = np.asarray(table.column("k1").combine_chunks())
+            cut = int(np.flatnonzero(k1 != k1[-1])[-1]) + 1 if k1[0] != k1[-1] else 0
+            if cut:
+                yield solved(table.slice(0, cut))
+            kept = table.slice(cut)
+            if kept.num_rows > most:
+                large = k1[-1]
+                yield keyed(kept)
+                kept = None
+        if kept is not None and kept.num_rows:
+            yield solved(kept)
+
+    return open_runs.repartition("k1").sortWithinPartitions("k1", "id", "pos").mapInArrow(run, _KEYS)
 
 
 def spans_of(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,17 +260,23 @@ def spans_of(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """(id, text, spans array<long>): every row of docs, and the packed ranges of bytes that occur earlier."""
+    """(id, text, spans array<long>): every row of docs, and the packed ranges of bytes that occur earlier.
+
+    What is listed for a text (its runs, its spans) is bounded by its own length.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    long_enough = texts.where("id IS NOT NULL").where(F.octet_length("text") >= width)
-    found = scratch.save(_sorted_groups(_first_pass(long_enough, width, gram), True))
-    waiting = found.where("NOT again").groupBy("id").agg(F.collect_list("pos").alias("open"))
-    opened = long_enough.join(waiting, "id").select("id", "text", "open")
-    windows = _sorted_groups(_last_pass(opened, width), False)
-    spans = found.where("again").unionByName(windows).groupBy("id").agg(F.collect_list("pos").alias("spans"))
-    return texts.join(spans, "id", "left")
+    named = texts.where("id IS NOT NULL")
+    found = scratch.save(_sorted_groups(_first_pass(named, width, gram), True))
+    waiting = found.where("k1 IS NOT NULL").groupBy("id").agg(F.collect_list(F.struct("pos", "k1")).alias("open"))
+    # both joins read the texts dealt out by id, so that one exchange of the texts serves them
+    opened = named.join(waiting, "id").select("id", "text", "open")
+    windows = _sorted_groups(_last_pass(_open_runs(opened, width), width), False)
+    again = found.where("k1 IS NULL").unionByName(windows)
+    spans = again.groupBy("id").agg(F.collect_list("pos").alias("spans"))
+    nameless = texts.where("id IS NULL").withColumn("spans", F.lit(None).cast("array<long>"))
+    return named.join(spans, "id", "left").unionByName(nameless)
 
 
 def remove_repeats(
