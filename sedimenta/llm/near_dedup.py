@@ -6,7 +6,9 @@
    emits all its pairs: in each round its hub (the member with most company over all buckets) is
    compared with the members of other components, components are merged, and only buckets that still
    hold several components go on. What is left after the star rounds is compared in full, so no link
-   between components is lost.
+   between components is lost: small buckets pair by pair; large buckets are joined to clusters, dealt
+   out as pairs of blocks, and a task counts all intersections of two blocks as a product of incidence
+   matrices and returns no more links than join them.
 3. A candidate pair's signatures are compared batch by batch; the pair is dropped as soon as the
    posterior probability that its similarity reaches the threshold falls below `miss`. Survivors are
    decided exactly on their full shingle sets.
@@ -22,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.components import connected
+from sedimenta.llm.components import connected, roots
 from sedimenta.llm.store import Scratch
 from sedimenta.llm.textbytes import distinct, mix, shingle_sets, shingles, slim_batches, utf8, word_hashes
 
 BANDS, ROWS = 32, 4
+#: Members of a bucket that is compared pair by pair at most; texts of a block of a larger one, and columns of a matrix product.
+SMALL, BLOCK, COLUMNS = 48, 512, 8192
 #: Miss probability of the Bayesian pruning, and signature values compared at once.
 MISS, BATCH = 1e-9, 32
 _A, _B = (np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2)) + np.array([[1], [0]], np.uint64)
@@ -119,6 +123,64 @@ def _linked(pairs: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFra
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def block_links(h: np.ndarray, row: np.ndarray, n: int, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between the rows `left` and `right` of distinct (hash, row) pairs, as few as join what they join."""
+    size = np.bincount(row, minlength=n)
+    _, shingle, many = np.unique(h, return_inverse=True, return_counts=True)
+    shared = many[shingle] > 1
+    _, shingle = np.unique(shingle[shared], return_inverse=True)
+    row, order = row[shared], np.argsort(shingle, kind="stable")
+    row, shingle = row[order], shingle[order]
+    both = np.zeros((n, n), np.float32)
+    for lo in range(0, int(shingle[-1]) + 1 if len(shingle) else 0, COLUMNS):
+        part = slice(*np.searchsorted(shingle, [lo, lo + COLUMNS]))
+        m = np.zeros((n, min(COLUMNS, int(shingle[-1]) + 1 - lo)), np.float32)
+        m[row[part], shingle[part] - lo] = 1
+        both += m @ m.T
+    both = both.astype(np.int64)
+    linked = (100 * both >= percent * (size[:, None] + size[None] - both)) & (size[:, None] > 0) & (size[None] > 0)
+    inside = np.zeros((n, n), bool)
+    inside[np.ix_(left, right)] = inside[np.ix_(right, left)] = True
+    linked &= inside
+    np.fill_diagonal(linked, False)
+    out, seen = [], np.zeros(n, bool)
+    for first in range(n):
+        if seen[first]:
+            continue
+        seen[first], stack = True, [first]
+        while stack:
+            i = stack.pop()
+            new = np.flatnonzero(linked[i] & ~seen)
+            seen[new] = True
+            out += [(i, int(j)) for j in new]
+            stack += new.tolist()
+    return out
+
+
+def _block_links(members: DataFrame, texts: DataFrame, scratch: Scratch, percent: int, k: int) -> DataFrame:
+    """Links (a, b) among the members (key, rep) of large buckets."""
+    star = members.groupBy("key").agg(F.min("rep").alias("v"))
+    names = roots(scratch, members.join(star, "key").select(F.col("rep").alias("u"), "v"))
+    cluster = members.select("rep").distinct().join(names.select(F.col("u").alias("rep"), "v"), "rep", "left").select("rep", F.coalesce("v", "rep").alias("cluster"))
+    cluster = scratch.save(cluster)
+    blocks = cluster.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = cluster.join(blocks, "cluster").join(texts, "rep").withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("rep", "text", "cluster", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    kind = members.schema["rep"].dataType.simpleString()
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        rep, own, i, j = group.column("rep"), np.asarray(group.column("own")), group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        h, row = _sets(group.column("text"), k)
+        found = block_links(h, row, group.num_rows, np.flatnonzero(own == i), np.flatnonzero(own == j), percent)
+        a, b = (rep.take(pa.array([x[side] for x in found], pa.int64())) for side in (0, 1))
+        return pa.table({"a": a, "b": b})
+
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(run, f"a {kind}, b {kind}").select(*_ordered("a", "b"))
+
+
 def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -171,13 +233,18 @@ def near_components(
             hub = hub.select("key", F.col("hub.rep").alias("hub"), F.col("hub.comp").alias("hub_comp"), F.col("hub.n").alias("n_b"))
             pairs = live.withColumnRenamed("n", "n_a").join(hub, "key").where("comp != hub_comp").where(near).select(*_ordered("rep", "hub"))
         else:
-            left, right = (live.select("key", F.col("rep").alias(f"rep_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+            sized = live.join(live.groupBy("key").agg(F.count("*").alias("size")), "key")
+            large, small = scratch.save(sized.where(F.col("size") > SMALL).select("key", "rep")), sized.where(F.col("size") <= SMALL)
+            left, right = (small.select("key", F.col("rep").alias(f"rep_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
             pairs = left.join(right, "key").where("comp_a < comp_b").where(near).select(*_ordered("rep_a", "rep_b"))
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.save(pairs)
-        edges = scratch.save(_linked(_plausible(pairs, sigs, percent / 100, miss), texts, percent, k))
+        edges = _linked(_plausible(pairs, sigs, percent / 100, miss), texts, percent, k)
+        if turn == stars and large.limit(1).count():
+            edges = edges.unionByName(_block_links(large, texts, scratch, percent, k))
+        edges = scratch.save(edges)
         labels = connected(scratch, labels, edges)
         tested = pairs if tested is None else tested.unionByName(pairs)
     named_classes = classes.join(labels, "rep", "left").select("h1", "h2", F.coalesce("comp", "rep").alias("comp"))
