@@ -1,0 +1 @@
+"""Operators over snapshots: each takes DataFrames and column names and returns a lazy DataFrame."""

@@ -1,0 +1 @@
+"""Readers and writers: strict CSV, paged JSON, Parquet, landing of files."""
