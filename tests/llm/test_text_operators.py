@@ -1,0 +1,230 @@
+"""op2, op3, op4, op5, op6, op7 and op9 on small inputs."""
+
+import collections
+import datetime
+import math
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from sedimenta.llm import html_extract as H
+from sedimenta.llm import pii
+from sedimenta.llm import sp_sampling as S
+from sedimenta.llm.knn import top_inner_products
+from sedimenta.llm.token_counts import count_tokens
+from sedimenta.llm.toxicity import Lexicon, _Known, score_toxicity, text_features
+from sedimenta.llm.url_filters import judge, validity
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+TEXTS = ["", " ", "  a", "a  b\n c", "▁x", "a▁b ▁ ", "<s>hi</s>", "a ", " a  ", "   ", "x\x00y z", "日本 語 🙂", "the quick brown fox " * 40, "ﬁ é", None, "x" * 3000]
+
+
+@pytest.mark.parametrize("cache", [1, 1000])
+def test_token_counts(spark, cache):
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TEXTS)], "doc_id long, text string, n_tokens int")
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in count_tokens(df, MODEL, cache=cache).collect()}
+    assert got == {i: (len((t or "").encode()), len(sp.encode(t or ""))) for i, t in enumerate(TEXTS)}
+    assert count_tokens(df.limit(0), MODEL).count() == 0
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        library = Tokenizer.from_file(public_tokenizers.path(name))
+        texts = [*TEXTS, "a<|endoftext|>b <|startoftext|>"]
+        rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r.doc_id: r.n_tokens for r in count_tokens(rows, public_tokenizers.path(name)).collect()}
+        assert got == {i: len(library.encode(t or "", add_special_tokens=False)) for i, t in enumerate(texts)}
+
+
+def test_url_intervals(spark):
+    day = datetime.date
+    log = [("l", "Bad.com ", "add", day(2024, 1, 1)), ("l", "bad.com", "add", day(2024, 1, 5)), ("l", "bad.com", "remove", day(2024, 2, 1)), ("l", "bad.com", "add", day(2024, 3, 1)), ("l", "a.org/x", "add", day(2024, 1, 1)), ("l", "b.org", "add", day(2024, 1, 1)), ("l", "b.org", "remove", day(2024, 1, 1)), ("l", None, "add", day(2024, 1, 1)), ("l", "c.org", "what", day(2024, 1, 1))]
+    entries = spark.createDataFrame(log, "list string, entry string, action string, since date")
+    assert sorted((r.key, r.valid_from.month, r.valid_to and r.valid_to.month) for r in validity(entries).collect()) == [("a.org/x", 1, None), ("bad.com", 1, 2), ("bad.com", 3, None)]
+    rows = [("https://u@www.BAD.com:80/p", day(2024, 1, 1), True), ("http://bad.com", day(2024, 2, 1), False), ("http://bad.com", day(2024, 3, 2), True), ("http://notbad.com", day(2024, 1, 2), False), ("http://a.org/x/y?z", day(2024, 1, 2), True), ("http://a.org/xy", day(2024, 1, 2), False), ("http://b.org", day(2024, 1, 2), False), (None, day(2024, 1, 2), False), ("http://bad.com", None, False), ("nonsense", day(2024, 1, 2), False)]
+    captures = spark.createDataFrame([(*r, "k") for r in rows + rows[:1]], "url string, fetched_at date, want boolean, key string")
+    for limit in (1000, 0):
+        got = judge(captures, entries, broadcast_rows=limit).collect()
+        assert len(got) == 11 and all(r.blocked == r.want for r in got)
+    assert judge(captures, entries.limit(0)).where("blocked").count() == 0
+
+
+def test_surrogates(spark):
+    text = "Call +1 (743) 555-3824 or mail ana.li@x.example.com from 227.5.221.1, card 4539 1488 0343 6467; Mrs. Anna Smith met Mr. John SMITH."
+    rows = [(1, text), (2, "again 227.5.221.1 and 4539148803436467, Frau Smith"), (3, "no data here"), (4, None), (5, ""), (6, 'key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"'), (7, "Г-жа Анна Петрова")]
+    got = {r.doc_id: r for r in pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), "k", count_to="n").collect()}
+    one, two = got[1].text, got[2].text
+    for old in ("743", "ana.li", "227.5.221.1", "4539", "Anna", "John", "Smith", "SMITH"):
+        assert old not in one
+    assert re.fullmatch(r"Call \+1 \(\d{3}\) \d{3}-\d{4} or mail \S+@mail\.invalid from [\d.]+, card \d{4} \d{4} \d{4} \d{4}; Mrs\. \w+ \w+ met Mr\. \w+ [A-Z]+\.", one)
+    ip, card, name = re.search(r"from ([\d.]+),", one)[1], re.search(r"card ([\d ]+);", one)[1].replace(" ", ""), re.search(r"Mrs\. (\w+) (\w+)", one)
+    assert ip in two and card in two and two.endswith("Frau " + name[2]) and name[2].upper() in one
+    assert name[1] in pii.FIRST_NAMES["latin", "f"] and re.search(r"Mr\. (\w+)", one)[1] in pii.FIRST_NAMES["latin", "m"]
+    digits = [int(c) for c in card][::-1]
+    assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+    assert (got[3].text, got[4].text, got[5].text, got[3].n, got[1].n) == ("no data here", None, "", 0, 6)
+    assert re.fullmatch(r'key = "[0-9a-f]{40}"', got[6].text) and got[6].text != rows[5][1]
+    assert re.fullmatch(r"Г-жа \w+ [а-яА-Я]+", got[7].text) and "Петрова" not in got[7].text
+
+
+def test_surrogates_stay_distinct(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SYLLABLES", {"latin": ["ba", "be"], "cyrillic": ["ба"]})
+    rows = [(i, f"Mr. {chr(65 + i)}xyz") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (50_000, 0):
+        monkeypatch.setattr(pii, "OVERRIDES", limit)
+        assert len({r.text for r in pii.replace_entities(df, "k").collect()}) == 12
+
+
+@pytest.mark.parametrize("size", range(1, 8))
+def test_digits_are_permuted(spark, size):
+    from pyspark.sql import functions as F
+
+    n = min(10**size, 2000)
+    out = spark.range(n).select(pii.permuted(F.lpad(F.col("id").cast("string"), size, "0"), "k").alias("x")).collect()
+    assert len({r.x for r in out}) == n and all(len(r.x) == size for r in out)
+
+
+def segmentations(word, v, index):
+    if not word:
+        return {(): 0.0}
+    out = {}
+    for n in range(1, min(v.longest, len(word)) + 1):
+        head = word[:n]
+        if head in index:
+            first, weight = (index[head],), v.weight[index[head]]
+        elif n == 1:
+            first, weight = tuple(int(v.byte_id[b]) for b in head.encode()), v.byte_weight * len(head.encode())
+        else:
+            continue
+        for rest, more in segmentations(word[n:], v, index).items():
+            out[first + rest] = weight + more
+    return out
+
+
+def test_sampling_against_enumeration():
+    v = S.vocabulary(MODEL, 1.0)
+    index = {p: i for i, p in enumerate(v.pieces) if v.raw[i] and not p.startswith("<0x")}
+    words, k, n = ["▁the", "▁ab\x01c"], 4, 2500
+    whole = {a + b: x + y for a, x in segmentations(words[0], v, index).items() for b, y in segmentations(words[1], v, index).items()}
+    z = math.log(sum(map(math.exp, whole.values())))
+    log = {s: x - z for s, x in whole.items()}
+    lat = S.Lattice(words, v)
+    seeds = np.arange(n, dtype=np.uint64) * np.uint64(7919) + np.uint64(3)
+    first, estimate = collections.Counter(), collections.Counter()
+    for paths, kappa in S.sample_paths(lat, np.tile([0, 1], n), np.repeat(np.arange(n), 2), seeds, k):
+        ids = [tuple(S._ids(p, lat, v).tolist()) for p in paths]
+        assert len(set(ids)) == k and [p.value for p in paths] == sorted((p.value for p in paths), reverse=True) and kappa <= paths[-1].value
+        first[ids[0]] += 1
+        for s, p in zip(ids, paths, strict=True):
+            assert abs(p.log - log[s]) < 1e-9
+            estimate[s] += math.exp(log[s]) / -math.expm1(-math.exp(p.log - kappa)) / n
+    for s, x in log.items():
+        p = math.exp(x)
+        assert abs(first[s] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-3
+        assert abs(estimate[s] - p) < 0.02  # inclusion scores give unbiased estimates
+
+
+def test_sampled_encodings(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = S.sample_encodings(df, MODEL, k=3)
+    texts = {(r.doc_id, r["sample"]): (tuple(r.ids), r.text) for r in S.decode_ids(out, MODEL).collect()}
+    for (i, _), (_, text) in texts.items():
+        assert text == (TEXTS[i] or "").replace("▁", " ")
+    assert all(len({ids for (j, _), (ids, _) in texts.items() if j == i}) == sum(j == i for j, _ in texts) for i in range(len(TEXTS)))
+    again = S.sample_encodings(df.unionByName(df).repartition(3), MODEL, k=3)
+    assert {(r.doc_id, r["sample"], tuple(r.ids)) for r in again.collect()} == {(i, n, ids) for (i, n), (ids, _) in texts.items()}
+    assert sum(i == 0 for i, _ in texts) == 1 and S.sample_encodings(df.limit(0), MODEL).count() == 0
+
+
+def test_misspelled_terms():
+    lexicon = Lexicon([("idiot", False, 1.0), ("scum", False, 1.0), ("achlich", True, 0.5)])
+    for token, want in (("idiot", ("idiot", 0)), ("id1ot", ("idiot", 1)), ("idot", ("idiot", 1)), ("idioot", ("idiot", 1)), ("ideot", ("idiot", 1)), ("i*iot", ("idiot", 1)), ("scum", ("scum", 0)), ("achlichen", ("achlich", 0)), ("achlchen", ("achlich", 1))):
+        found = lexicon.find(token)
+        assert found is not None and (found[0], found[3]) == want, token
+    for token in ("idea", "scam", "scums", "lich", "patriot", ""):
+        assert lexicon.find(token) is None, token
+    known = _Known(lexicon)
+    used, quoted = text_features("you are an idiot, you idiot", known), text_features('he said "idiot" and wrote "idiot"', known)
+    assert used[5] > quoted[5] > 0 and quoted[8] > 0 == used[8]
+    assert text_features("", known) == text_features("nothing here", known) == [0.0] * 9
+
+
+def test_toxicity_is_learned(spark):
+    import random
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abdeginorst") for _ in range(6))
+    rows, labels = [], []
+    for i in range(300):
+        words = [word() for _ in range(40)]
+        if i % 6 == 0:
+            words[5] = words[20] = rng.choice(("zorgle", "zorgel", "quibbon"))
+        rows.append((i, " ".join(words), "en"))
+        labels.append((i, int(i % 6 == 0)))
+    docs = spark.createDataFrame([*rows, (900, None, "x"), (None, "zorgle zorgle", "x")], "doc_id long, text string, score string")
+    table = spark.createDataFrame([*labels, (None, 1), (5, None)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in score_toxicity(docs, table).collect()}
+    held = [i for i in got if i is not None and got[i].held_out and i < 900]
+    assert held and sum(got[i].predicted == (i % 6 == 0) for i in held) >= 0.95 * len(held)
+    assert got[900].predicted == 0 and got[None].predicted == 1 and not got[None].held_out
+    assert {r.predicted for r in score_toxicity(docs, table.limit(0)).collect()} == {0}
+
+
+def test_nearest_by_inner_product(spark):
+    rng = np.random.default_rng(4)
+    vectors = [(int(i), [float(x) for x in rng.normal(0, 0.3, 8)]) for i in range(400)]
+    vectors += [(1000 + i, vectors[0][1]) for i in range(30)] + [(2000, None), (2050, [float("nan")] * 8), (2100, [float("inf")] + [0.0] * 7)]
+    vectors.append(vectors[50])
+    df = spark.createDataFrame([(i, v, 1) for i, v in vectors], "vec_id long, embedding array<float>, rank int")
+    ids = np.array([i for i, _ in vectors[:430]])
+    x = np.floor(256 * np.array([np.array(v, np.float32).astype(float) for _, v in vectors[:430]])).astype(int)
+    want = set()
+    for q in np.flatnonzero(ids % 50 == 0):
+        score = x @ x[q]
+        best = [m for m in np.lexsort((ids, -score)) if ids[m] != ids[q]][:5]
+        want |= {(int(ids[q]), n + 1, int(ids[m]), int(score[m])) for n, m in enumerate(best)}
+    for sizes in ({}, {"pivots": 5, "query_block": 3, "data_block": 40}):
+        assert {tuple(r) for r in top_inner_products(df, **sizes).collect()} == want
+    assert top_inner_products(df.limit(0)).count() == 0
+    assert top_inner_products(spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")).count() == 1
+
+
+def test_main_text(spark):
+    page = '<html><head><title>t</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice"><p>We use cookies.</p></div><article><h1>A &amp; B</h1><p>First  <b>bold</b>er&nbsp;text, with enough words to be prose.<br><p>Second paragraph,\n more words follow here.</article><section id="comments"><p>nice, thanks</p></section><footer>&copy; x</footer>'
+    rows = [(1, "u", page), (2, None, None), (3, "u", ""), (4, "u", "<nav>only <a href=x>links</a></nav>"), (5, "u", "<a title='x>broken " * 50)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, n_chars int")
+    got = {r.page_id: r for r in H.extract_main_text(df).collect()}
+    assert got[1].text == "A & B First bolder text, with enough words to be prose. Second paragraph, more words follow here."
+    assert got[1].n_chars == len(got[1].text) and (got[2].text, got[3].text, got[4].text) == ("", "", "")
+    forest, label = H.labelled_forest(120, seed=77)
+    kept = forest.decode(H.fit(spark).log_odds(forest.features()))
+    has_text = forest.text > 0
+    assert np.average(kept[has_text] == (label[has_text] == 1), weights=forest.text[has_text]) > 0.99
+    dropped = np.flatnonzero(~kept & (forest.parent >= 0))
+    assert len(dropped)  # decoding is consistent: content has only content or holders above it
+
+
+def test_pipeline_keeps_columns_and_decides(spark, tmp_path):
+    import corpus_pipeline as P
+
+    prose = [" ".join(f"w{(i * 37 + j * j * 11) % 5003}" for j in range(60)) for i in range(8)]
+    item = " ".join(f"b{j}" for j in range(30))
+    docs = [(i, t, "en", "s", len(t)) for i, t in enumerate(prose)]
+    docs += [(20, prose[0], "en", "s", 1), (21, prose[1] + " extra", "en", "s", 1), (22, "x y " + item + " z", "en", "s", 1), (23, "mail a.b@c.example.com now", "en", "s", 1), (24, None, "en", "s", None)]
+    folder = f"file://{tmp_path}"
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    now = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in P.STAGES[:-1]:
+        after = stage(spark, now, folder)
+        assert after.columns == now.columns
+        now = spark.createDataFrame(after.collect(), after.schema)
+    assert sorted(r.doc_id for r in now.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 23, 24]
+    assert now.where("text LIKE '%a.b@c%'").count() == 0
+    out = P.run(spark, folder)
+    assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == {0, 1, 2, 3, 4, 5, 6, 7, 23, 24}
