@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +15,11 @@ _SPACE = r"[\s\x1c-\x1f\x{85}\p{Z}]"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def trim(c: Column) -> Column:
     """Without leading and trailing white space of any script and control separators."""
     return F.regexp_replace(c, rf"^{_SPACE}+|{_SPACE}+$", "")

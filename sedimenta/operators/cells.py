@@ -57,7 +57,7 @@ def row_shares(df: DataFrame, row: str, column: str) -> DataFrame:
 
 def pivot_shares(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
     """A column of percents for each value, absent combinations 0."""
-    wide = df.groupBy(row).pivot(column, list(values)).agg(F.count("*")).na.fill(0)
+    wide = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1))).na.fill(0)
     total = sum((F.col(f"`{v}`") for v in values[1:]), F.col(f"`{values[0]}`"))
     return wide.select(row, *[F.round(100.0 * F.col(f"`{v}`") / F.nullif(total, F.lit(0)), 4).alias(v) for v in values])
 

@@ -9,7 +9,7 @@ from math import radians
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions.scalars import in_box, prefix_class
+from sedimenta.functions.scalars import in_box, let, prefix_class
 
 #: A transform takes the columns (easting, northing) and returns (longitude, latitude).
 Transform = Callable[[Column, Column], tuple[Column, Column]]
@@ -46,29 +46,46 @@ class TransverseMercator:
 
             return self.a * ((1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256) * phi - (3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024) * sin(2 * phi) + (15 * e2**2 / 256 + 45 * e2**3 / 1024) * sin(4 * phi) - (35 * e2**3 / 3072) * sin(6 * phi))
 
-        m = (y - self.false_northing) / self.scale + arc(radians(self.lat0))
-        mu = m / (self.a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))
         e1 = (1 - (1 - e2) ** 0.5) / (1 + (1 - e2) ** 0.5)
-        phi1 = mu + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * mu) + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * mu) + (151 * e1**3 / 96) * F.sin(6 * mu) + (1097 * e1**4 / 512) * F.sin(8 * mu)
-        c1, t1 = ep2 * F.cos(phi1) ** 2, F.tan(phi1) ** 2
-        sin2 = F.sin(phi1) ** 2
-        n1 = self.a / F.sqrt(1 - e2 * sin2)
-        r1 = self.a * (1 - e2) / (1 - e2 * sin2) ** 1.5
-        d = (x - self.false_easting) / (n1 * self.scale)
-        lat = phi1 - (n1 * F.tan(phi1) / r1) * (d**2 / 2 - (5 + 3 * t1 + 10 * c1 - 4 * c1**2 - 9 * ep2) * d**4 / 24 + (61 + 90 * t1 + 298 * c1 + 45 * t1**2 - 252 * ep2 - 3 * c1**2) * d**6 / 720)
-        lon = radians(self.lon0) + (d - (1 + 2 * t1 + c1) * d**3 / 6 + (5 - 2 * c1 + 28 * t1 - 3 * c1**2 + 8 * ep2 + 24 * t1**2) * d**5 / 120) / F.cos(phi1)
-        n = self.a / F.sqrt(1 - e2 * F.sin(lat) ** 2)
-        gx, gy, gz = n * F.cos(lat) * F.cos(lon), n * F.cos(lat) * F.sin(lon), n * (1 - e2) * F.sin(lat)
+        unit = self.a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256)
+        foot = ((y - self.false_northing) / self.scale + arc(radians(self.lat0))) / unit
+
+        def footpoint(mu: Column) -> Column:
+            return mu + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * mu) + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * mu) + (151 * e1**3 / 96) * F.sin(6 * mu) + (1097 * e1**4 / 512) * F.sin(8 * mu)
+
+        def local(phi: Column) -> Column:
+            sin2 = F.sin(phi) ** 2
+            n = self.a / F.sqrt(1 - e2 * sin2)
+            return F.struct(phi.alias("phi"), (ep2 * F.cos(phi) ** 2).alias("c"), (F.tan(phi) ** 2).alias("t"), n.alias("n"), (self.a * (1 - e2) / (1 - e2 * sin2) ** 1.5).alias("r"), ((x - self.false_easting) / (n * self.scale)).alias("d"))
+
+        def geographic(v: Column) -> Column:
+            phi, c, t, n, r, d = (v[k] for k in ("phi", "c", "t", "n", "r", "d"))
+            lat = phi - (n * F.tan(phi) / r) * (d**2 / 2 - (5 + 3 * t + 10 * c - 4 * c**2 - 9 * ep2) * d**4 / 24 + (61 + 90 * t + 298 * c + 45 * t**2 - 252 * ep2 - 3 * c**2) * d**6 / 720)
+            lon = radians(self.lon0) + (d - (1 + 2 * t + c) * d**3 / 6 + (5 - 2 * c + 28 * t - 3 * c**2 + 8 * ep2 + 24 * t**2) * d**5 / 120) / F.cos(phi)
+            return F.struct(lat.alias("lat"), lon.alias("lon"))
+
         dx, dy, dz, rx, ry, rz, ppm = self.shift
-        rx, ry, rz = (radians(r / 3600) for r in (rx, ry, rz))
+        rx, ry, rz = (radians(v / 3600) for v in (rx, ry, rz))
         s = 1 + ppm * 1e-6
-        wx, wy, wz = dx + s * (gx - rz * gy + ry * gz), dy + s * (rz * gx + gy - rx * gz), dz + s * (-ry * gx + rx * gy + gz)
+
+        def shifted(v: Column) -> Column:
+            lat, lon = v["lat"], v["lon"]
+            n = self.a / F.sqrt(1 - e2 * F.sin(lat) ** 2)
+            gx, gy, gz = n * F.cos(lat) * F.cos(lon), n * F.cos(lat) * F.sin(lon), n * (1 - e2) * F.sin(lat)
+            return F.struct((dx + s * (gx - rz * gy + ry * gz)).alias("x"), (dy + s * (rz * gx + gy - rx * gz)).alias("y"), (dz + s * (-ry * gx + rx * gy + gz)).alias("z"))
+
         wa, wf = 6378137.0, 1 / 298.257223563
         we2, wb = wf * (2 - wf), wa * (1 - wf)
-        p = F.sqrt(wx**2 + wy**2)
-        theta = F.atan2(wz * wa, p * wb)
-        out = F.atan2(wz + we2 / (1 - we2) * wb * F.sin(theta) ** 3, p - we2 * wa * F.cos(theta) ** 3)
-        return F.degrees(F.atan2(wy, wx)), F.degrees(out)
+
+        def ellipsoidal(v: Column) -> Column:
+            p = F.sqrt(v["x"] ** 2 + v["y"] ** 2)
+            theta = F.atan2(v["z"] * wa, p * wb)
+            lat = F.atan2(v["z"] + we2 / (1 - we2) * wb * F.sin(theta) ** 3, p - we2 * wa * F.cos(theta) ** 3)
+            return F.struct(F.degrees(F.atan2(v["y"], v["x"])).alias("lon"), F.degrees(lat).alias("lat"))
+
+        # each step is computed once and named, or the expressions would grow with every use
+        out = let(foot, lambda mu: let(footpoint(mu), lambda phi: let(local(phi), lambda v: let(geographic(v), lambda g: let(shifted(g), ellipsoidal)))))
+        return out["lon"], out["lat"]
 
 
 # Fixed values of a public registry: Korean 1985 / Modified Central Belt (EPSG:5174) and its usual shift.

@@ -187,7 +187,7 @@ def status_raw(spark, sf):
     return bind(spark, sf, "permit_v").groupBy("status_code", "detail_code").agg(F.count("*").alias("n"))
 
 
-@query("t_month_cyclic", "SELECT DISTINCT month, round(sin(2 * pi() * month(month + INTERVAL 1 MONTH) / 12), 9) AS month_sin, round(cos(2 * pi() * month(month + INTERVAL 1 MONTH) / 12), 9) AS month_cos FROM month_v")
+@query("t_month_cyclic", "SELECT DISTINCT month, round(sin(2 * pi() * month(month + INTERVAL 1 MONTH) / 12), 9) + 0.0::DOUBLE AS month_sin, round(cos(2 * pi() * month(month + INTERVAL 1 MONTH) / 12), 9) + 0.0::DOUBLE AS month_cos FROM month_v")
 def month_cyclic(spark, sf):
     """O-40"""
     s, c = S.month_cycle(F.col("month"))

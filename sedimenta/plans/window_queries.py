@@ -122,7 +122,7 @@ def w_target(spark, sf):
 _NAIVE = "lag_9 + lag_10 + lag_11"
 
 
-@query("w_derived", _FEATURES + f"SELECT month, authority_code, source_key, {_NAIVE} AS seasonal_naive_3m, lag_1 + lag_2 + lag_3 - lag_4 - lag_5 - lag_6 AS momentum, lag_1 - lag_13 AS year_over_year, round(sin(2 * pi() * month(month + INTERVAL 1 MONTH) / 12), 9) AS month_sin FROM f")
+@query("w_derived", _FEATURES + f"SELECT month, authority_code, source_key, {_NAIVE} AS seasonal_naive_3m, lag_1 + lag_2 + lag_3 - lag_4 - lag_5 - lag_6 AS momentum, lag_1 - lag_13 AS year_over_year, round(sin(2 * pi() * month(month + INTERVAL 1 MONTH) / 12), 9) + 0.0::DOUBLE AS month_sin FROM f")
 def w_derived(spark, sf):
     """O-89"""
     d = W.derived_features(_features(spark, sf), "month")
