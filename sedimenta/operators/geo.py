@@ -116,10 +116,16 @@ def identity(x: Column, y: Column) -> tuple[Column, Column]:
     return x, y
 
 
+def _projected(df: DataFrame, x: str, y: str, transform: Transform, to: str = "__g") -> DataFrame:
+    """df with a column of the transformed pair, so that it is computed once however often it is used."""
+    lon, lat = transform(F.col(x), F.col(y))
+    return df.withColumn(to, F.struct(lon.alias("lon"), lat.alias("lat")))
+
+
 def transform_counters(df: DataFrame, x: str, y: str, transform: Transform = MODIFIED_CENTRAL_BELT.to_wgs84, box: tuple = COUNTRY_BOX) -> DataFrame:
     """(transformed, missing, partial, not_finite, outside): pairs by what becomes of them, one scan."""
-    a, b = F.col(x), F.col(y)
-    lon, lat = transform(a, b)
+    df = _projected(df, x, y, transform)
+    a, b, lon, lat = F.col(x), F.col(y), F.col("__g.lon"), F.col("__g.lat")
     both = a.isNotNull() & b.isNotNull()
     finite = both & ~F.isnan(lon) & ~F.isnan(lat) & (F.abs(lon) < float("inf")) & (F.abs(lat) < float("inf"))
     inside = in_box(lon, lat, *box)
@@ -137,27 +143,28 @@ def with_geographic(df: DataFrame, x: str, y: str, transform: Transform = MODIFI
 
     Partial pairs and results that aren't finite or lie outside the box raise while the frame is computed.
     """
-    a, b = F.col(x), F.col(y)
-    lon, lat = transform(a, b)
+    df = _projected(df, x, y, transform)
+    a, b, lon, lat = F.col(x), F.col(y), F.col("__g.lon"), F.col("__g.lat")
     whole, none = a.isNotNull() & b.isNotNull(), a.isNull() & b.isNull()
     stop = lambda why: F.raise_error(F.lit(why)).cast("double")
     guard = lambda v: F.when(none, None).when(~whole, stop("half of a pair of coordinates is missing")).when(~in_box(lon, lat, *box), stop("a pair of coordinates lies outside the box")).otherwise(v)
-    return df.withColumns({"wgs84_longitude": guard(lon), "wgs84_latitude": guard(lat), "coordinate_quality": F.when(none, "MISSING_SOURCE_COORDINATES").otherwise("TRANSFORMED")})
+    return df.withColumns({"wgs84_longitude": guard(lon), "wgs84_latitude": guard(lat), "coordinate_quality": F.when(none, "MISSING_SOURCE_COORDINATES").otherwise("TRANSFORMED")}).drop("__g")
 
 
 def axis_probe(df: DataFrame, x: str, y: str, address: str, transform: Transform = MODIFIED_CENTRAL_BELT.to_wgs84, box: tuple = COUNTRY_BOX, regions: Mapping[str, tuple] = REGION_BOXES, prefixes: Mapping[str, tuple] = REGION_PREFIXES) -> DataFrame:
     """Both axis orders against the country's box and the box of the address's region: pairs, hits of either, both and none."""
-    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    region = prefix_class(F.col(address), prefixes)
+    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("__region", prefix_class(F.col(address), prefixes))
+    pairs = _projected(_projected(pairs, x, y, transform, "__xy"), y, x, transform, "__yx")
+    region = F.col("__region")
 
-    def hits(a: Column, b: Column) -> tuple[Column, Column]:
-        lon, lat = transform(a, b)
+    def hits(pair: str) -> tuple[Column, Column]:
+        lon, lat = F.col(f"{pair}.lon"), F.col(f"{pair}.lat")
         inside = F.lit(None).cast("boolean")
         for name, own in regions.items():
             inside = F.when(region == name, in_box(lon, lat, *own)).otherwise(inside)
         return in_box(lon, lat, *box), F.coalesce(inside, F.lit(False))
 
-    (xy, xy_region), (yx, yx_region) = hits(F.col(x), F.col(y)), hits(F.col(y), F.col(x))
+    (xy, xy_region), (yx, yx_region) = hits("__xy"), hits("__yx")
     return pairs.agg(
         F.count("*").alias("sampled"),
         F.count_if(xy).alias("xy_inside"),
