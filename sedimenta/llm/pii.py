@@ -58,6 +58,8 @@ PATTERNS = {
 #: Without one of these characters or titles, a text holds no entity; most texts need no more than this test.
 _HINT = r"[@0-9]|(?<!\p{L})" + _TITLE + r" \p{Lu}|[A-Fa-f]{32}"
 _ANY = "|".join(PATTERNS.values())
+#: Family names that collided so often are spelled twice as long, so a corpus with more names than short spellings still settles.
+LONGER = 3
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -167,7 +169,7 @@ def _pick(words: list[str], number: Column) -> Column:
 
 def _spelled(script: str, number: Column, syllables: int) -> Column:
     words = SYLLABLES[script]
-    return _let(number, lambda x: F.concat(*[_pick(words, F.floor(x / len(words) ** i).cast("long")) for i in range(syllables)]))
+    return _let(number, lambda x: F.concat(*[_pick(words, F.call_function("div", x, F.lit(len(words) ** i))) for i in range(syllables)]))
 
 
 def _name(entity: Column, key: str, attempt: Column) -> Column:
@@ -182,7 +184,8 @@ def _name(entity: Column, key: str, attempt: Column) -> Column:
     def of(s: str) -> tuple[Column, Column]:
         number = _number(key, "given", F.lower(F.coalesce(given, F.lit(""))))
         first = F.when(female, _pick(FIRST_NAMES[s, "f"], number)).otherwise(_pick(FIRST_NAMES[s, "m"], number))
-        return first, F.initcap(_spelled(s, _number(key, "family", F.lower(family), attempt.cast("string")), 4))
+        spelled = [_spelled(s, _number(key, part, F.lower(family), attempt.cast("string")), 4) for part in ("family", "longer")]
+        return first, F.initcap(F.when(attempt < LONGER, spelled[0]).otherwise(F.concat(*spelled)))
 
     first = F.when(script == "cyrillic", of("cyrillic")[0]).otherwise(of("latin")[0])
     last = F.when(script == "cyrillic", of("cyrillic")[1]).otherwise(of("latin")[1])
