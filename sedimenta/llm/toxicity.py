@@ -24,6 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from sedimenta.llm.store import Scratch
+from sedimenta.llm.textbytes import shingle_sets
+
 #: Labelled texts that the model is fitted on at most (those of the least hash), terms kept at most, tokens cached in a worker.
 SAMPLE, TERMS, CACHE = 12_000, 512, 1 << 18
 #: Tokens on either side of a hit that are its context; stem lengths; shortest term that may be misspelled.
@@ -180,11 +183,26 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, sample: int) -> DataFrame:
-    """(text, label double) of at most `sample` labelled rows that aren't held out; the ids are at most 16 * sample bytes of broadcast."""
+    """(text, label double) of at most `sample` labelled rows that aren't held out; the ids are at most 16 * sample bytes of broadcast.
+
+    Of texts with the same least hash of five-word shingles, as copies and most near copies have it, the one of the
+    least id stays: words of one text that was copied often are no evidence.
+    """
+    id_kind = docs.schema[doc_id].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, h, at in shingle_sets(batch.column(1), 5):
+                least = [int(h[a:b].min().view(np.int64)) if b > a else 0 for a, b in zip(at[:-1], at[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, pa.array(least, pa.int64())], ["__id", "text", "label", "least"])
+
     named = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).where(~held_out(doc_id))
     named = named.groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("double").alias("label"))
     named = named.orderBy(F.xxhash64("__id"), "__id").limit(sample)
-    return docs.select(F.col(doc_id).alias("__id"), F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(named), "__id").select("text", "label")
+    found = docs.select(F.col(doc_id).alias("__id"), F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(named), "__id").select("__id", "text", "label")
+    found = found.mapInArrow(run, f"__id {id_kind}, text string, label double, least long")
+    first = found.groupBy("least").agg(F.min_by(F.struct("text", "label"), F.struct("__id", "text")).alias("first"))
+    return Scratch(docs.sparkSession, "toxicity").save(first.select("first.text", "first.label"))
 
 
 def learn_lexicon(train: DataFrame, terms: int = TERMS, least_odds: float = 1.8, least_evidence: float = 30.0) -> list[tuple[str, bool, float]]:
