@@ -7,6 +7,7 @@ document that contains it, so one of its floor((1 - t) * size) + 1 least hash va
 bottom MinHash sketch) is always in the document. A document's shingle hashes are looked up among
 these sketches; each candidate is then decided by the exact share of the item's shingles that the
 document holds. No document that contains an item is missed and nothing of the corpus is shuffled.
+Words are compared in Unicode case folding, so a text in capitals holds what it holds in any case.
 """
 
 from __future__ import annotations
@@ -26,12 +27,18 @@ BLOCK = 1 << 20
 STEP = 1.25
 
 
+def _folded(column: pa.Array) -> pa.Array:
+    """A copy of the texts in full case folding ("STRASSE" is "straße"); shingle_sets folds A-Z itself. Bytes outside UTF-8 stay as they are."""
+    texts = [t if t is None or t.isascii() else t.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape") for t in column.cast(pa.large_binary()).to_pylist()]
+    return pa.array(texts, pa.large_binary()).view(pa.large_string())
+
+
 def item_sets(items: DataFrame, item_id: str = "item_id", text: str = "text", k: int = 5) -> DataFrame:
     """(item, hashes array<long>): the sorted k-word shingle set of each item; ids and texts that are null, and texts without words, are left out. Items of one id are one item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, h, at in shingle_sets(batch.column(1), k):
+            for lo, hi, h, at in shingle_sets(_folded(batch.column(1)), k):
                 sets = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sets], ["item", "hashes"])
 
@@ -135,7 +142,7 @@ def contained_items(
             names, lookup = shared.value
             sizes = np.diff(lookup[3])
             for batch in (x for whole in batches for x in slim_batches(whole, "__text")):
-                for lo, _, h, at in shingle_sets(batch.column(1), k):
+                for lo, _, h, at in shingle_sets(_folded(batch.column(1)), k):
                     if hits := list(_hits(h, at, lookup)):
                         r, i, n = (np.array(x) for x in zip(*hits, strict=True))
                         columns = [batch.column(0).take(pa.array(r + lo)), names.take(pa.array(i)), pa.array(n, pa.int64()), pa.array(sizes[i], pa.int64())]
@@ -172,7 +179,7 @@ def decontaminate(
             lookup = shared.value
             for batch in (x for whole in batches for x in slim_batches(whole, text)):
                 clean = np.ones(batch.num_rows, bool)
-                for lo, _, h, at in shingle_sets(batch.column(at_text), k):
+                for lo, _, h, at in shingle_sets(_folded(batch.column(at_text)), k):
                     clean[[lo + r for r, _, _ in _hits(h, at, lookup)]] = False
                 yield batch.filter(pa.array(clean))
 

@@ -112,3 +112,14 @@ def test_contained_items(spark):
         kept = decontaminate(d, b, block=block).collect()
         assert sorted(str(r.doc_id) for r in kept) == sorted(str(i) for i, _ in docs if i not in {x for x, _ in want})
     assert contained_items(d, b.limit(0)).count() == 0 and decontaminate(d, b.limit(0)).count() == len(docs)
+
+
+def test_items_in_any_case(spark):
+    words = "La canción de Émile más allá del corazón Straße über öffentliche Größe Ωμέγα ΟΔΟΣ привет мир".split()
+    item = " ".join(words)
+    docs = [(1, item), (2, "VORHER " + item.upper() + " NACHHER"), (3, item.lower()), (4, item.swapcase()), (5, " ".join(words[::-1]).upper())]
+    d, b = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert sorted((r.doc_id, r.n_shared, r.n_item) for r in contained_items(d, b).collect()) == [(i, 12, 12) for i in (1, 2, 3, 4)]
+    assert [tuple(r) for r in decontaminate(d, b).collect()] == docs[4:]
+    raw = spark.sql("SELECT 9L AS doc_id, CAST(concat(X'FF20C3C9', CAST(' b c d e É' AS BINARY)) AS STRING) AS text")
+    assert contained_items(raw, b).count() == 0 and decontaminate(raw, b).count() == 1
