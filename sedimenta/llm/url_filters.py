@@ -41,11 +41,14 @@ def validity(entries: DataFrame) -> DataFrame:
 
     entries: (list, entry, action 'add' or 'remove', since). Of several actions of one moment the removal
     counts; repeated additions are one; removals of what isn't there do nothing; an open end is null.
-    Rows with a null entry, date or another action are ignored. Keys are trimmed and lower-cased.
+    Rows with a null entry, date or another action are ignored. Keys are trimmed; their host, up to the
+    first slash, is lower-cased, and their path keeps its case, as that of a capture does.
     """
     # 'remove' is after 'add' by name, so the greatest action of a moment is the one that counts
     log = entries.where(F.col("entry").isNotNull() & F.col("since").isNotNull() & F.col("action").isin("add", "remove"))
-    log = log.groupBy("list", F.lower(F.trim("entry")).alias("key"), "since").agg(F.max("action").alias("action"))
+    host = F.substring_index(F.trim("entry"), "/", 1)
+    key = F.concat(F.lower(host), F.substr(F.trim("entry"), F.char_length(host) + 1))
+    log = log.groupBy("list", key.alias("key"), "since").agg(F.max("action").alias("action"))
     by = Window.partitionBy("list", "key").orderBy("since")
     changes = log.withColumn("before", F.lag("action").over(by)).where("NOT action <=> before")
     closed = changes.withColumn("valid_to", F.lead("since").over(by)).where("action = 'add'")

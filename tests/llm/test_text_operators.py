@@ -51,6 +51,16 @@ def test_url_intervals(spark):
     assert judge(captures, entries.limit(0)).where("blocked").count() == 0
 
 
+def test_url_paths_keep_their_case(spark):
+    day = datetime.date(2024, 1, 1)
+    log = [(" Example.ORG/Bad/Page ", "add"), ("example.org/bad/Page", "add"), ("example.org/bad/Page", "remove"), ("EXAMPLE.net", "add")]
+    entries = spark.createDataFrame([("l", e, a, day) for e, a in log], "list string, entry string, action string, since date")
+    wanted = {"https://EXAMPLE.org/Bad/Page/x": "example.org/Bad/Page", "https://example.org/bad/page/x": None, "https://example.org/bad/Page": None, "http://a.Example.net/Q": "example.net"}
+    captures = spark.createDataFrame([(u, day) for u in wanted], "url string, fetched_at date")
+    for limit in (1000, 0):
+        assert {r.url: r.blocked_by for r in judge(captures, entries, broadcast_rows=limit).collect()} == wanted
+
+
 def test_surrogates(spark):
     text = "Call +1 (743) 555-3824 or mail ana.li@x.example.com from 227.5.221.1, card 4539 1488 0343 6467; Mrs. Anna Smith met Mr. John SMITH."
     rows = [(1, text), (2, "again 227.5.221.1 and 4539148803436467, Frau Smith"), (3, "no data here"), (4, None), (5, ""), (6, 'key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"'), (7, "Г-жа Анна Петрова")]
