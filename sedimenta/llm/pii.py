@@ -7,8 +7,9 @@ one in every text (coreference), and it keeps the entity's type, format, script
 - phone, card, account and IPv4 numbers go through a keyed Feistel permutation of their digits (of
   the address's halves), within their own separators. A permutation gives different numbers different
   surrogates. Country codes stay; a valid card number stays valid and an invalid one invalid.
-- names keep the form of address, take a first name of the same gender and script, and a family name
-  spelled from syllables of that script; case is kept, and parts of a name map alike in every mention.
+- names keep the forms of address and particles, take first names of the same gender and script, and a
+  family name spelled from syllables of that script; initials go through a keyed cycle of the alphabet;
+  case is kept, and parts of a name map alike in every mention.
 - mail addresses get a new mailbox in their script under a reserved domain; hexadecimal secrets get
   hexadecimal digits of equal length and case.
 
@@ -19,7 +20,8 @@ anew until none is shared, or equals an entity that really occurs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,8 +43,27 @@ SYLLABLES = {
     "cyrillic": "ба бе бо ва ве ви во га го да де до за зи ка ке ко ла ле ли ло ма ме ми мо на не ни но па пе по ра ре ри ро са се си со та те ти то фа фе фо ха хо ча".split(),
 }
 
-_TITLE = "(?:" + "|".join(MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES) + r")\.?"
-_NAME = r"[\p{Lu}][\p{L}'’\-]*\p{L}"
+#: Lower-case parts of a name, kept as they are.
+PARTICLES = "von van der den de del della di da dos du la le ter ten zu zur bin ibn al el y".split()
+#: Capitals that initials may be; each row is permuted in itself.
+CAPITALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŁŠŽ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ")
+
+
+def _any_of(words: Iterable[str]) -> str:
+    """A pattern of these words, in listed case or capitals, that looks at one branch for each first letter."""
+    tails: dict[str, set[str]] = {}
+    for word in words:
+        for form in (word, word.upper()):
+            tails.setdefault(form[0], set()).add(form[1:])
+    return "(?:" + "|".join(f"{c}(?:{'|'.join(sorted(more, key=lambda x: (-len(x), x)))})" for c, more in sorted(tails.items())) + ")"
+
+
+_TITLE = rf"{_any_of(MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES)}\.?"
+_NAME = r"\p{Lu}[\p{L}\p{M}'’\-]*[\p{L}\p{M}]"
+#: A part is a word, or initials with full stops; particles and single letters may precede it. What an entity is never hangs on what follows it.
+_PART = rf"(?:(?:{'|'.join(PARTICLES)}|\p{{Lu}}) )*+(?!{_TITLE} )(?:{_NAME}|\p{{Lu}}\.(?:-?\p{{Lu}}\.)*+)"
+_FIRST = _any_of(name for names in FIRST_NAMES.values() for name in names)
+_PERSON = rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:(?:{_TITLE} ){{1,4}}(?:{_PART}|\p{{Lu}}(?![\p{{L}}\p{{N}}'’\-]))(?: {_PART})*+|{_FIRST}(?:-{_NAME})?(?: {_PART})++)"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: Kind -> pattern, in the order in which they are tried at a place.
 PATTERNS = {
@@ -53,10 +74,10 @@ PATTERNS = {
     "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}([ \-])\d{4}\1\d{4}\1\d{4})(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![\p{L}\p{N}])",
-    "name": rf"(?<!\p{{L}}){_TITLE} {_NAME}(?: {_NAME})?",
+    "name": _PERSON,
 }
-#: Without one of these characters or titles, a text holds no entity; most texts need no more than this test.
-_HINT = r"[@0-9]|(?<!\p{L})" + _TITLE + r" \p{Lu}|[A-Fa-f]{32}"
+#: Without one of these characters or names, a text holds no entity; most texts need no more than this test.
+_HINT = rf"[@0-9]|[A-Fa-f]{{32}}|{_PERSON}"
 _ANY = "|".join(PATTERNS.values())
 #: Family names that collided so often are spelled twice as long, so a corpus with more names than short spellings still settles.
 LONGER = 3
@@ -85,7 +106,7 @@ def canonical(entity: Column, kind: Column) -> Column:
     digits = F.regexp_replace(entity, r"[^0-9]", "")
     return (
         F.when(kind.isin("phone", "card", "ssn"), digits)
-        .when(kind == "name", F.lower(F.regexp_replace(entity, f"^{_TITLE} ", "")))
+        .when(kind == "name", F.lower(F.regexp_replace(entity, f"^(?:{_TITLE} )+", "")))
         .when(kind == "iban", F.regexp_replace(entity, " ", ""))
         .when(kind == "ip", F.array_join(F.transform(F.split(entity, r"\."), lambda x: x.cast("int").cast("string")), "."))
         .otherwise(F.lower(entity))
@@ -172,25 +193,44 @@ def _spelled(script: str, number: Column, syllables: int) -> Column:
     return _let(number, lambda x: F.concat(*[_pick(words, F.call_function("div", x, F.lit(len(words) ** i))) for i in range(syllables)]))
 
 
+def _initials(part: Column, key: str) -> Column:
+    """Each capital becomes the next one of its row in the key's order, so none stays and different ones stay different."""
+    rows = [sorted(row, key=lambda c: hashlib.sha256(f"{key}\x1finitial\x1f{c}".encode()).digest()) for row in CAPITALS]
+    return F.translate(part, "".join(c for row in rows for c in row), "".join(c for row in rows for c in row[1:] + row[:1]))
+
+
 def _name(entity: Column, key: str, attempt: Column) -> Column:
-    title = F.regexp_extract(entity, f"^({_TITLE}) ", 1)
-    parts = F.split(F.substr(entity, F.length(title) + 2, F.length(entity)), " ")
-    bare = F.regexp_replace(title, r"\.$", "")
-    given, family = F.when(F.size(parts) > 1, parts[0]), F.element_at(parts, -1)
+    title = F.regexp_extract(entity, f"^((?:{_TITLE} )*)", 1)
+    bare = F.upper(F.regexp_replace(F.split(title, " ")[0], r"\.$", ""))
     script = F.when(entity.rlike(r"\p{IsCyrillic} ?$|\p{IsCyrillic}{2}"), "cyrillic").otherwise("latin")
-    known_female = F.lower(F.coalesce(given, F.lit(""))).isin(*[x.lower() for (s, g), names in FIRST_NAMES.items() if g == "f" for x in names])
-    female = bare.isin(*FEMALE_TITLES) | (bare.isin(*NEUTRAL_TITLES) & known_female)
+    known = {g: [x.lower() for (_, of), names in FIRST_NAMES.items() if of == g for x in names] for g in "mf"}
+    titles = {g: [x.upper() for x in names] for g, names in (("m", MALE_TITLES), ("f", FEMALE_TITLES))}
+
+    def whole(parts: Column) -> Column:
+        # a title says the gender, else the first name does; once for all parts
+        first = F.lower(F.regexp_extract(parts[0], r"^[^\-]*", 0))
+        female = bare.isin(titles["f"]) | (~bare.isin(titles["m"]) & first.isin(known["f"]))
+
+        return _let(F.struct(parts.alias("parts"), female.alias("female"), script.alias("script")), renamed)
+
+    def renamed(who: Column) -> Column:
+        def one(part: Column, i: Column) -> Column:
+            number = _number(key, "given", F.lower(part))
+
+            def new(s: str) -> tuple[Column, Column]:
+                given = F.when(who["female"], _pick(FIRST_NAMES[s, "f"], number)).otherwise(_pick(FIRST_NAMES[s, "m"], number))
+                spelled = [_spelled(s, _number(key, kind, F.lower(part), attempt.cast("string")), 4) for kind in ("family", "longer")]
+                return given, F.initcap(F.when(attempt < LONGER, spelled[0]).otherwise(F.concat(*spelled)))
+
+            latin, cyrillic = new("latin"), new("cyrillic")
+            pick = lambda n: F.when(who["script"] == "cyrillic", cyrillic[n]).otherwise(latin[n])
+            is_given = (i < F.size(who["parts"]) - 1) & ((i == 0) | F.lower(part).isin(known["m"] + known["f"]))
+            cased = lambda new: F.when((F.upper(part) == part) & (F.length(part) > 1), F.upper(new)).otherwise(new)
+            return F.when(part.isin(PARTICLES), part).when(part.rlike(r"^\p{Lu}(?:$|\.)"), _initials(part, key)).when(is_given, cased(pick(0))).otherwise(cased(pick(1)))
 
-    def of(s: str) -> tuple[Column, Column]:
-        number = _number(key, "given", F.lower(F.coalesce(given, F.lit(""))))
-        first = F.when(female, _pick(FIRST_NAMES[s, "f"], number)).otherwise(_pick(FIRST_NAMES[s, "m"], number))
-        spelled = [_spelled(s, _number(key, part, F.lower(family), attempt.cast("string")), 4) for part in ("family", "longer")]
-        return first, F.initcap(F.when(attempt < LONGER, spelled[0]).otherwise(F.concat(*spelled)))
+        return F.array_join(F.transform(who["parts"], one), " ")
 
-    first = F.when(script == "cyrillic", of("cyrillic")[0]).otherwise(of("latin")[0])
-    last = F.when(script == "cyrillic", of("cyrillic")[1]).otherwise(of("latin")[1])
-    cased = lambda new, old: F.when((F.upper(old) == old) & (F.length(old) > 1), F.upper(new)).otherwise(new)
-    return F.when(given.isNotNull(), F.concat_ws(" ", title, cased(first, given), cased(last, family))).otherwise(F.concat_ws(" ", title, cased(last, family)))
+    return F.concat(title, _let(F.split(F.substr(entity, F.length(title) + 1, F.length(entity)), " "), whole))
 
 
 def _email(entity: Column, key: str, attempt: Column) -> Column:
@@ -241,7 +281,9 @@ OVERRIDES = 50_000
 
 def collisions(scratch: Scratch, docs: DataFrame, text: str, key: str, rounds: int = 16) -> DataFrame:
     """(kind, id, attempt): the entities whose first surrogate was another's, or a real entity, with the attempt that is theirs alone."""
-    every = scratch.save(entities(docs, text).where(F.col("kind").isin(*_HASHED)).withColumn("attempt", F.lit(0)))
+    # names of initials only are permuted
+    hashed = entities(docs, text).where(F.col("kind").isin(*_HASHED) & ((F.col("kind") != "name") | F.col("id").rlike(r"\p{L}[\p{L}\p{M}'’\-]")))
+    every = scratch.save(hashed.withColumn("attempt", F.lit(0)))
     for _ in range(rounds):
         made = every.withColumn("new", canonical(surrogate(F.col("entity"), F.col("kind"), key, F.col("attempt")), F.col("kind")))
         order = Window.partitionBy("kind", "new").orderBy("attempt", "id")

@@ -79,6 +79,30 @@ def test_surrogates(spark):
     assert re.fullmatch(r"Г-жа \w+ [а-яА-Я]+", got[7].text) and "Петрова" not in got[7].text
 
 
+@pytest.mark.parametrize(
+    ("text", "form"),
+    [
+        ("saw Dr. Anna Maria Schmidt today", r"saw Dr\. [A-Z]\w+ [A-Z]\w+ [A-Z]\w+ today"),
+        ("saw Mr. J. Smith.", r"saw Mr\. [A-Z]\. [A-Z]\w+\."),
+        ("MRS. ANNA SMITH, HERE", r"MRS\. [A-Z]+ [A-Z]+, HERE"),
+        ("then Anna Schmidt came", r"then [A-Z]\w+ [A-Z]\w+ came"),
+        ("Prof. Dr. J.R. van der Berg-Schmidt spoke", r"Prof\. Dr\. [A-Z]\.[A-Z]\. van der [A-Z]\w+ spoke"),
+        ("Mr. Smith Mrs. Schmidt", r"Mr\. [A-Z]\w+ Mrs\. [A-Z]\w+"),
+    ],
+)
+def test_whole_names_are_replaced(spark, text, form):
+    new = pii.replace_entities(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").first().text
+    assert re.fullmatch(form, new), new
+    assert not {"anna", "maria", "schmidt", "smith", "j.", "j", "r", "berg-schmidt"} & set(re.split(r"[ ,.]+", new.lower()))
+
+
+def test_names_of_many_parts(spark):
+    rows = [(1, "MRS. " + "ANNA " * 4_000 + "SMITH"), (2, "Anna went, Mark too"), (3, "Mr. J. and Mr. K.")]
+    got = {r.doc_id: r.text for r in pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    assert "SMITH" not in got[1] and len(got[1].split(" ")) == 4_002 and got[2] == rows[1][1]
+    assert re.fullmatch(r"Mr\. [^J]\. and Mr\. [^K]\.", got[3]) and got[3][4] != got[3][15]
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     monkeypatch.setattr(pii, "SYLLABLES", {"latin": ["ba", "be"], "cyrillic": ["ба"]})
     rows = [(i, f"Mr. {chr(65 + i)}xyz") for i in range(12)]
