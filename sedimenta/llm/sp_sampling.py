@@ -7,34 +7,41 @@ distinct segmentations without replacement. No path is listed for that: the sear
 of paths, best first by the set's perturbed maximum. The largest set yields its path; what is left of
 it, split by the first edge at which a path turns off, goes back with a maximum drawn from a Gumbel
 truncated at its parent's. The probability of a set is known exactly from backward sums over the
-lattice. All random numbers are hashes of the row's key, so a row has the same samples on every run.
+lattice. All random numbers are hashes of the row's key and the place in the text, so a row has the
+same samples on every run.
 
-The lattice splits at word-start marks, which no piece crosses, so backward sums are made once for each
-distinct word of a batch, for all words at a time.
+The lattice splits at word-start marks, which no piece crosses: words are entered once in a lattice that a
+worker keeps from batch to batch, up to a fixed size. The search takes all texts of a batch through each
+of its k steps at once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.textbytes import chunks, mix, powers
+from sedimenta.llm.textbytes import chunks, mix, powers, tidy, utf8
 
 _SPACE = "▁"
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), 0x165667B19E3779F9
 _BASE = 0x100000001B3 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-_WORDS = regex.compile(f"{_SPACE}+[^{_SPACE}]*")
+_WORDS = re.compile(f"{_SPACE}+[^{_SPACE}]*")
+#: Bytes of text sampled at once, positions that a worker's lattice keeps, positions worked on at once.
+TEXT, KEPT, SLICE = 400_000, 200_000, 1 << 16
+#: Longest stretches of a word that are summed, and words that are drawn, by steps over all of a batch; longer ones go one by one.
+STRETCH, WORD = 512, 64
 
 
 class Vocabulary:
-    """Pieces, their log-weights and a hashed index of them by length."""
+    """Pieces, their log-weights, their bytes, and a hashed index of their prefixes by length."""
 
     def __init__(self, path: str, alpha: float):
         import sentencepiece
@@ -59,24 +66,41 @@ class Vocabulary:
         for i in np.flatnonzero(is_byte):
             self.byte_id[int(self.pieces[i][3:-1], 16)] = i
         self.raw = [bytes([int(p[3:-1], 16)]) if b else p.replace(_SPACE, " ").encode() if not o else b"" for p, b, o in zip(self.pieces, is_byte, odd, strict=True)]
+        self.raw_size = np.array([len(x) for x in self.raw])
+        self.raw_at = np.cumsum(self.raw_size) - self.raw_size
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
         self.longest = max(len(self.pieces[i]) for i in plain)
+        if self.longest > 62:
+            raise ValueError("pieces must have 62 characters at most")
+        by_length: list[dict[str, int]] = [{} for _ in range(self.longest)]
+        for i in plain.tolist():
+            piece = self.pieces[i]
+            for size in range(1, len(piece)):
+                by_length[size - 1].setdefault(piece[:size], -1)
+            by_length[len(piece) - 1][piece] = i
         self.index = []
-        for size in range(1, self.longest + 1):
-            ids = np.array([i for i in plain if len(self.pieces[i]) == size], np.int64)
-            points = np.frombuffer("".join(self.pieces[i] for i in ids).encode("utf-32-le"), np.uint32).reshape(-1, size) if len(ids) else np.zeros((0, size), np.uint32)
-            h = mix((_points(points.ravel()).reshape(-1, size) * powers(_BASE, size)).sum(axis=1, dtype=np.uint64)) if len(ids) else np.zeros(0, np.uint64)
+        for size, found in enumerate(by_length, 1):
+            points = np.frombuffer("".join(found).encode("utf-32-le"), np.uint32).reshape(-1, size)
+            h = mix((_points(points.ravel()).reshape(-1, size) * powers(_BASE, size)).sum(axis=1, dtype=np.uint64))
             order = np.argsort(h)
-            self.index.append((h[order], ids[order]))
+            self.index.append((h[order], np.fromiter(found.values(), np.int64, len(found))[order]))
 
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
+    def joined(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of ids, and where those of each list ids[at[i]:at[i+1]] begin."""
+        size = self.raw_size[ids]
+        total = np.concatenate([[0], np.cumsum(size)])
+        return self.raw_bytes[_ranges(self.raw_at[ids], size)], total[at]
 
 
 def _points(points: np.ndarray) -> np.ndarray:
     return mix(points.astype(np.uint64) + _C2)
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0] .. start[0] + size[0] - 1, then the same of the others."""
+    return np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
 _LOADED: dict[tuple[str, float], Vocabulary] = {}
 
 
@@ -87,245 +111,360 @@ def vocabulary(path: str, alpha: float) -> Vocabulary:
 
 
 class Lattice:
-    """The lattices of many words: positions of all words in one row, edges as a matrix (position, length)."""
-
-    def __init__(self, words: list[str], v: Vocabulary):
-        joined = "".join(words)
-        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        size = np.array([len(w) for w in words])
-        end = np.cumsum(size)
-        self.start = end - size
-        n = len(points)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_points(points) * powers(_BASE, n), out=total[1:])
-        inverse = powers(_BASE_INV, n + 1)
-        left = np.repeat(end, size) - np.arange(n)  # characters up to the word's end
-        self.left = left
-        weight = np.full((n, v.longest), -np.inf)
-        self.piece = np.full((n, v.longest), -1, np.int32)
-        for length, (h, ids) in enumerate(v.index, 1):
-            at = np.flatnonzero(left >= length)
-            if not len(at) or not len(h):
-                continue
-            own = mix((total[at + length] - total[at]) * inverse[at])
-            spot = np.minimum(np.searchsorted(h, own), len(h) - 1)
-            hit = h[spot] == own
-            at, found = at[hit], ids[spot[hit]]
-            weight[at, length - 1], self.piece[at, length - 1] = v.weight[found], found
-        lone = np.flatnonzero(self.piece[:, 0] < 0)  # characters without a piece become bytes
-        self.points = points
-        weight[lone, 0] = v.byte_weight * (1 + (points[lone] > 0x7F) + (points[lone] > 0x7FF) + (points[lone] > 0xFFFF))
-        beta = np.zeros(n + v.longest + 1)
-        order = np.argsort(left, kind="stable")
-        cut = np.searchsorted(left[order], np.arange(1, (left.max() if n else 0) + 2))
-        steps = np.arange(1, v.longest + 1)
-        tops = beta  # beta[p] of a position; a word's end counts 0, and an edge to it is told by its length
-        for d in range(1, len(cut)):
-            at = order[cut[d - 1] : cut[d]]
-            if len(at):
-                reach = min(d, v.longest)
-                w = weight[at, :reach] + np.where(steps[:reach] == d, 0.0, tops[at[:, None] + steps[:reach]])
-                top = w.max(axis=1)
-                tops[at] = top + np.log(np.exp(w - top[:, None]).sum(axis=1))
-                weight[at, :reach] = w - tops[at][:, None]
-        self.log = weight  # conditional log-probability of each edge, given its position
-        self.cum = np.exp(weight)
-        np.cumsum(self.cum, axis=1, out=self.cum)
-
-
-def _uniform(seed: np.ndarray, sample: int, word: np.ndarray, step: np.ndarray | int) -> np.ndarray:
-    own = np.uint64((sample + 1) * _C3 % 2**64)
-    h = mix(seed ^ mix(word.astype(np.uint64) * _C1 + np.atleast_1d(step).astype(np.uint64) * _C2 + own))
-    return ((h >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
-
-
-def _draw(lat: Lattice, at: np.ndarray, seed: np.ndarray, sample: int, word: np.ndarray, first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Paths from position `at` to the word's end, for many words at once: (word row, position, length) by word row and step."""
-    rows, nodes, lengths = [], [], []
-    row, step = np.arange(len(at)), first
-    while len(row):
-        cum = lat.cum[at]
-        u = _uniform(seed[row], sample, word[row], step) * cum[:, -1]
-        length = np.minimum((cum <= u[:, None]).sum(axis=1), cum.shape[1] - 1) + 1
-        rows.append(row)
-        nodes.append(at)
-        lengths.append(length)
-        go = length < lat.left[at]
-        row, at, step = row[go], (at + length)[go], step + 1
-    if not rows:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    row, node, length = (np.concatenate(x) for x in (rows, nodes, lengths))
-    order = np.argsort(row, kind="stable")
-    return row[order], node[order], length[order]
-
-
-class _Path:
-    """A drawn path, and the set it was drawn from: its first `free` edges are the set's, `barred` lengths don't follow them."""
-
-    __slots__ = ("node", "length", "word", "log", "turns", "value", "rest", "free", "barred")
-
-    def __init__(self, lat: Lattice, node: np.ndarray, length: np.ndarray, word: np.ndarray, value: float, free: int, barred: tuple[int, ...]):
-        self.node, self.length, self.word, self.value, self.free, self.barred = node, length, word, value, free, barred
-        edge = lat.log[node, length - 1]
-        before = np.concatenate([[0.0], np.cumsum(edge)])
-        self.log = float(before[-1])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            off = np.log1p(-np.minimum(np.exp(edge), 1.0))
-        off[np.exp(edge) >= 1 - 1e-12] = -np.inf
-        self.turns = before[:-1] + off  # log-probability of turning off at each edge
-        self.turns[:free] = -np.inf
-        if free < len(node) and barred:
-            others = lat.log[node[free]].copy()
-            others[[x - 1 for x in (*barred, int(length[free]))]] = -np.inf
-            top = others.max()
-            self.turns[free] = before[free] + (top + np.log(np.exp(others - top).sum()) if np.isfinite(top) else -np.inf)
-        self.rest = -np.inf
-
+    """The lattices of many words, one after the other: the edges of a position lie together, by length.
 
-def _mass(logs: np.ndarray) -> float:
-    top = logs.max() if len(logs) else -np.inf
-    return float(top + np.log(np.exp(logs - top).sum())) if np.isfinite(top) else -np.inf
-
-
-def _truncated(mass: float, bound: float, u: float) -> float:
-    """A Gumbel of location `mass`, given that it is at most `bound`."""
-    return -np.logaddexp(np.log(-np.log(u)) - mass, -bound) if np.isfinite(mass) else -np.inf
+    log: the edge's log-probability, given its position; cum: the same, cumulative, no logarithm; piece: the
+    piece, or ~character for one that becomes bytes; left: characters up to the word's end.
+    """
 
+    def __init__(self, v: Vocabulary):
+        self.v, self.known = v, {}
+        self.start, self.size, self.left, self.ptr = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.length, self.piece, self.log, self.cum = np.zeros(0, np.uint8), np.zeros(0, np.int32), np.zeros(0), np.zeros(0)
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """The numbers of these words; new ones are entered."""
+        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        if new:
+            self._add(new)
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def _add(self, words: list[str]) -> None:
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        end, n = np.cumsum(size), len(points)
+        left = np.repeat(end, size) - np.arange(n)
+        parts = [_edges(points[lo : lo + SLICE + self.v.longest], left[lo : lo + SLICE], self.v) for lo in range(0, n, SLICE)]
+        count = np.concatenate([p[0] for p in parts])
+        length, piece, weight = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        del parts
+        ptr = np.concatenate([[0], np.cumsum(count)])
+        log = _conditional(ptr, length, weight, self.v.longest)
+        before, edges = len(self.left), len(self.log)
+        cum = np.cumsum(np.exp(log))
+        cum -= np.repeat(np.append(0.0, cum)[ptr[:-1]], count)
+        cum[ptr[1:] - 1] = 1
+        self.known.update(zip(words, range(len(self.start), len(self.start) + len(words)), strict=True))
+        self.start, self.size = np.append(self.start, before + end - size), np.append(self.size, size)
+        self.left, self.ptr = np.append(self.left, left.astype(np.int32)), np.append(self.ptr, edges + ptr[1:])
+        self.length, self.piece = np.append(self.length, length), np.append(self.piece, piece)
+        self.log, self.cum = np.append(self.log, log), np.append(self.cum, cum)
+
+    def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """An edge of each position, by uniform numbers."""
+        edge = self.ptr[node]
+        wait = np.arange(len(node))
+        while len(wait):
+            wait = wait[self.cum[edge[wait]] <= u[wait]]
+            edge[wait] += 1
+        return edge
+
+    def others(self, node: np.ndarray, barred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log-probability, edge) of the edges of each position but those of barred lengths: rows of `longest`, filled up with -inf."""
+        edge = self.ptr[node][:, None] + np.arange(self.v.longest)
+        there = edge < self.ptr[node + 1][:, None]
+        edge = np.where(there, edge, self.ptr[node][:, None])
+        gone = barred[:, None] >> self.length[edge].astype(np.int64) & 1
+        return np.where(there & (gone == 0), self.log[edge], -np.inf), edge
+
+    def ids(self, edge: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of edges, and where those of each list edge[at[i]:at[i+1]] begin."""
+        piece = self.piece[edge]
+        lone = np.flatnonzero(piece < 0)
+        if not len(lone):
+            return piece, at
+        c = ~piece[lone].astype(np.int64)
+        lead, more = np.array([0, 0xC0, 0xE0, 0xF0]), (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF)
+        count = np.ones(len(piece), np.int64)
+        count[lone] += more
+        first = np.cumsum(count) - count
+        out = np.empty(int(count.sum()), np.int32)
+        out[first[piece >= 0]] = piece[piece >= 0]
+        out[first[lone]] = self.v.byte_id[lead[more] + (c >> 6 * more)]
+        for i in range(1, 4):
+            deep = more >= i
+            out[first[lone[deep]] + i] = self.v.byte_id[0x80 + (c[deep] >> 6 * (more[deep] - i) & 0x3F)]
+        return out, np.concatenate([first, [len(out)]])[at]
+
+
+def _edges(points: np.ndarray, left: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, ...]:
+    """(edges of each position; length, piece, weight of each edge), by position and length; no edge leaves its word."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_points(points) * powers(_BASE, len(points)))])
+    inverse, at, n = powers(_BASE_INV, len(points) + 1), np.arange(len(left)), len(left)
+    found, plain = [], np.zeros(n, bool)
+    for length, (h, ids) in enumerate(v.index, 1):
+        at = at[left[at] >= length]
+        own = mix((total[at + length] - total[at]) * inverse[at])
+        spot = np.minimum(np.searchsorted(h, own), len(h) - 1)
+        hit = h[spot] == own
+        at, spot = at[hit], ids[spot[hit]]  # beginnings of pieces go on
+        whole = spot >= 0
+        found.append((at[whole], np.full(int(whole.sum()), length, np.uint8), spot[whole].astype(np.int32), v.weight[spot[whole]]))
+        if length == 1:
+            plain[at[whole]] = True
+    lone = np.flatnonzero(~plain)  # characters without a piece become bytes
+    c = points[lone].astype(np.int64)
+    found.append((lone, np.ones(len(lone), np.uint8), (~c).astype(np.int32), v.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))))
+    at, length, piece, weight = (np.concatenate([f[i] for f in found]) for i in range(4))
+    order = np.argsort(at * 64 + length)
+    return np.bincount(at, minlength=n), length[order], piece[order], weight[order]
+
+
+def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longest: int) -> np.ndarray:
+    """The log-probability of each edge, given its position, from backward sums.
+
+    Sums run within stretches that no edge leaves, so what follows a stretch cancels out.
+    """
+    n, count = len(ptr) - 1, np.diff(ptr)
+    reach = np.maximum.accumulate(np.arange(n) + length[ptr[1:] - 1])
+    cut = np.flatnonzero(np.append(True, reach[:-1] <= np.arange(1, n)))
+    size = np.diff(np.append(cut, n))
+    far = np.repeat(np.append(cut[1:], n), size) - np.arange(n)  # to the end of the stretch
+    log, beta = np.empty(len(weight)), np.zeros(n + longest + 1)
+    order = np.argsort(far, kind="stable")
+    order = order[: np.searchsorted(far[order], STRETCH, "right")]
+    many = count[order]
+    edges, first = _ranges(ptr[order], many), np.concatenate([[0], np.cumsum(many)])
+    bound = np.searchsorted(far[order], np.arange(1, (far[order[-1]] if len(order) else 0) + 2))
+    for d in range(1, len(bound)):
+        lo, hi = bound[d - 1], bound[d]
+        if lo < hi:
+            at, e, starts = order[lo:hi], edges[first[lo] : first[hi]], first[lo:hi] - first[lo]
+            step = length[e].astype(np.int64)
+            x = weight[e] + np.where(step == d, 0.0, beta[np.repeat(at, many[lo:hi]) + step])
+            top = np.maximum.reduceat(x, starts)
+            beta[at] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, many[lo:hi])), starts))
+            log[e] = x - np.repeat(beta[at], many[lo:hi])
+    for a, b in zip(cut[size > STRETCH].tolist(), (cut + size)[size > STRETCH].tolist(), strict=True):
+        for hi in range(b - STRETCH, a, -SLICE):
+            lo = max(a, hi - SLICE)
+            e0, e1 = int(ptr[lo]), int(ptr[hi])
+            starts, steps, w, sums = (ptr[lo : hi + 1] - e0).tolist(), length[e0:e1].tolist(), weight[e0:e1].tolist(), beta[lo : hi + longest].tolist()
+            for p in range(hi - lo - 1, -1, -1):
+                x = [w[e] + sums[p + steps[e]] for e in range(starts[p], starts[p + 1])]
+                top = max(x)
+                sums[p] = top + math.log(sum([math.exp(y - top) for y in x]))
+            beta[lo:hi] = sums[: hi - lo]
+            at = np.repeat(np.arange(lo, hi), count[lo:hi])
+            log[e0:e1] = weight[e0:e1] + beta[at + length[e0:e1]] - beta[at]
+    return log
+
+
+def _uniform(seed: np.ndarray, sample: int, at: np.ndarray) -> np.ndarray:
+    h = mix(seed ^ mix(at.astype(np.uint64) * _C1 + np.uint64((sample + 1) * _C3 % 2**64)))
+    return ((h >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
 
-def sample_paths(lat: Lattice, words: np.ndarray, doc: np.ndarray, seeds: np.ndarray, k: int) -> list[tuple[list[_Path], float]]:
-    """For each document the k (or all, if fewer) paths of the largest perturbed log-probability, and the next such value.
 
-    words: the lattice's word at each place of the documents, one after the other; doc: its document.
+def _key(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return doc.astype(np.int64) << 40 | at
+
+
+def _draw(lat: Lattice, doc: np.ndarray, node: np.ndarray, at: np.ndarray, seeds: np.ndarray, sample: int) -> tuple[np.ndarray, ...]:
+    """Paths from these positions to their words' ends: (doc, node, edge, at), in no order; at is the place in the text."""
+    long = lat.left[node] > WORD
+    out = []
+    d, p, a = doc[~long], node[~long], at[~long]
+    while len(p):
+        e = lat.pick(p, _uniform(seeds[d], sample, a))
+        out.append((d, p, e, a))
+        step = lat.length[e].astype(np.int64)
+        go = step < lat.left[p]
+        d, p, a = d[go], (p + step)[go], (a + step)[go]
+    for j in np.flatnonzero(long).tolist():
+        n, spot = int(lat.left[node[j]]), 0
+        for lo in range(0, n, SLICE):  # an edge for every position; those on the path count
+            every = np.arange(lo, min(n, lo + SLICE))
+            e = lat.pick(node[j] + every, _uniform(np.full(len(every), seeds[doc[j]]), sample, at[j] + every))
+            steps, visited = lat.length[e].tolist(), []
+            while spot < lo + len(every):
+                visited.append(spot)
+                spot += steps[spot - lo]
+            seen = np.array(visited, np.int64)
+            out.append((np.full(len(seen), doc[j]), node[j] + seen, e[seen - lo], at[j] + seen))
+    return tuple(np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in range(4))
+
+
+def _log_sums(x: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """log of the sum of exp of each stretch of x; -inf for empty ones."""
+    out, full = np.full(len(size), -np.inf), size > 0
+    if full.any():
+        starts, many = (np.cumsum(size) - size)[full], size[full]
+        top = np.maximum.reduceat(x, starts)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out[full] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(np.where(np.isfinite(top), top, 0.0), many)), starts))
+    return out
+
+
+def _truncated(mass: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Gumbels of location `mass`, given that they are at most `bound`; -inf for sets without paths."""
+    some, out = np.isfinite(mass) & np.isfinite(bound), np.full(len(mass), -np.inf)
+    out[some] = -np.logaddexp(np.log(-np.log(u[some])) - mass[some], -bound[some])
+    return out
+
+
+class Paths:
+    """A path of each text (none: value -inf), and the set it was drawn from: its first `free` edges are the set's, `barred` lengths (bits) don't follow them."""
+
+    def __init__(self, lat: Lattice, drawn: tuple[np.ndarray, ...], value: np.ndarray, free: np.ndarray, barred: np.ndarray):
+        order = np.argsort(_key(drawn[0], drawn[3]), kind="stable")
+        doc, self.node, self.edge, self.at = (x[order] for x in drawn)
+        self.value, self.free, self.barred = value, free, barred
+        self.ptr = np.searchsorted(doc, np.arange(len(value) + 1))
+        edge = lat.log[self.edge]
+        total = np.concatenate([[0.0], np.cumsum(edge)])
+        before = total[:-1] - total[self.ptr[:-1]][doc]
+        self.log, full = np.zeros(len(value)), np.diff(self.ptr) > 0
+        if full.any():
+            self.log[full] = np.add.reduceat(edge, self.ptr[:-1][full])
+        sure = edge > -1e-12
+        off = np.log1p(-np.exp(np.where(sure, -1.0, edge)))
+        self.turns = np.where(sure | (np.arange(len(doc)) < (self.ptr[:-1] + free)[doc]), -np.inf, before + off)  # log-probability of turning off at each edge
+        some = np.flatnonzero(barred)
+        if len(some):
+            f = (self.ptr[:-1] + free)[some]
+            rest, _ = lat.others(self.node[f], barred[some] | 1 << lat.length[self.edge[f]].astype(np.int64))
+            self.turns[f] = before[f] + _log_sums(rest.ravel(), np.full(len(some), rest.shape[1]))
+        self.rest = np.full(len(value), -np.inf)  # perturbed maximum of what is left of the set
+
+    def left_over(self, doc: np.ndarray) -> np.ndarray:
+        size = self.ptr[doc + 1] - self.ptr[doc]
+        return _log_sums(self.turns[_ranges(self.ptr[doc], size)], size)
+
+    def turn(self, doc: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """An edge (its place in the arrays) at which to turn off, in proportion to the probabilities of the sets."""
+        size = self.ptr[doc + 1] - self.ptr[doc]
+        starts = np.cumsum(size) - size
+        logs = self.turns[_ranges(self.ptr[doc], size)]
+        total = np.concatenate([[0.0], np.cumsum(np.exp(logs - np.repeat(np.maximum.reduceat(logs, starts), size)))])
+        low, high = total[starts], total[starts + size]
+        want = np.clip(low + u * (high - low), low, np.nextafter(high, -np.inf))
+        return self.ptr[doc] + np.searchsorted(total[1:], want, "right") - starts
+
+
+def sample_paths(lat: Lattice, words: np.ndarray, doc: np.ndarray, seeds: np.ndarray, k: int) -> tuple[list[Paths], np.ndarray]:
+    """The k (or all, if fewer) paths of the largest perturbed log-probability of each text, and the next such value.
+
+    words: the lattice's word at each place of the texts, one after the other; doc: its text.
     """
-    n = len(seeds)
-    lo, hi = np.searchsorted(doc, np.arange(n)), np.searchsorted(doc, np.arange(n), "right")
-    place = np.arange(len(doc)) - lo[doc] if len(doc) else doc
-    noise = np.stack([_uniform(seeds, 1_000 + i, np.full(n, 1 << 40), 0) for i in range(4 * (k + 1))], axis=1)
-    row, node, length = _draw(lat, lat.start[words], seeds[doc], 0, place)
-    bound = np.searchsorted(row, np.append(lo, len(doc)))
-    out: list[list[_Path]] = []
-    for i in range(n):
-        part = slice(bound[i], bound[i + 1] if i + 1 < n else len(row))
-        out.append([_Path(lat, node[part], length[part], row[part], -float(np.log(-np.log(noise[i, 0]))), 0, ())])
-        out[i][0].rest = _truncated(_mass(out[i][0].turns), out[i][0].value, noise[i, 1])
+    n, start, size = len(seeds), lat.start[words], lat.size[words]
+    first = np.searchsorted(doc, np.arange(n + 1))
+    at = np.cumsum(size) - size
+    at = at - np.append(at, 0)[first[:-1]][doc] if len(at) else at
+    place = _key(doc, at)
+    noise = [_uniform(seeds, 1_000 + i, np.full(n, 1 << 39)) for i in range(4 * (k + 1))]
+    none = np.zeros(n, np.int64)
+    out = [Paths(lat, _draw(lat, doc, start, at, seeds, 0), -np.log(-np.log(noise[0])), none, none)]
+    out[0].rest = _truncated(out[0].left_over(np.arange(n)), out[0].value, noise[1])
     for turn in range(1, k):
-        jobs = []
-        for i in range(n):
-            parent = max(out[i], key=lambda p: p.rest)
-            if not np.isfinite(parent.rest):
-                continue
-            # where to turn off: in proportion to the probabilities of the sets, and by an edge that isn't barred
-            logs = parent.turns
-            weight = np.cumsum(np.exp(logs - logs.max()))
-            at = min(int(np.searchsorted(weight, noise[i, 4 * turn] * weight[-1], "right")), len(weight) - 1)
-            barred = ((*parent.barred, int(parent.length[at])) if at == parent.free else (int(parent.length[at]),))
-            edges = np.exp(lat.log[parent.node[at]])
-            edges[[b - 1 for b in barred]] = 0
-            edges = np.cumsum(edges)
-            other = min(int(np.searchsorted(edges, noise[i, 4 * turn + 1] * edges[-1], "right")), len(edges) - 1) + 1
-            jobs.append((i, parent, at, barred, other))
-        if not jobs:
+        rests = np.stack([p.rest for p in out])
+        parent, live = rests.argmax(axis=0), np.isfinite(rests.max(axis=0))
+        if not live.any():
             break
-        # all that follows the turns is drawn anew, for all documents at once: the rest of the word, then the words after it
-        starts, at_word, at_doc = [], [], []
-        for i, parent, at, _, other in jobs:
-            w, p = int(parent.word[at]), int(parent.node[at]) + other
-            inside = other < lat.left[parent.node[at]]
-            after = np.arange(w + 1, hi[i])
-            starts.append(np.concatenate([[p] * int(inside), lat.start[words[after]]]).astype(np.int64))
-            at_word.append(np.concatenate([[w] * int(inside), after]).astype(np.int64))
-            at_doc.append(np.full(len(at_word[-1]), i))
-        word, owner = np.concatenate(at_word), np.concatenate(at_doc)
-        row, node, length = _draw(lat, np.concatenate(starts), seeds[owner], turn, place[word] if len(word) else word, first=64)
-        cut = np.searchsorted(row, np.cumsum([0, *map(len, at_word)]))
-        for j, (i, parent, at, barred, other) in enumerate(jobs):
-            part = slice(cut[j], cut[j + 1])
-            join = lambda old, mid, new, at=at: np.concatenate([old[:at], [mid], new]).astype(np.int64)
-            child = _Path(lat, join(parent.node, parent.node[at], node[part]), join(parent.length, other, length[part]), join(parent.word, parent.word[at], word[row[part]]), parent.rest, at, barred)
-            child.rest = _truncated(_mass(child.turns), child.value, noise[i, 4 * turn + 2])
-            parent.turns[at] = -np.inf
-            parent.rest = _truncated(_mass(parent.turns), child.value, noise[i, 4 * turn + 3])
-            out[i].append(child)
-    return [(paths, max(p.rest for p in paths)) for paths in out]
-
-
-def _ids(path: _Path, lat: Lattice, v: Vocabulary) -> np.ndarray:
-    ids = lat.piece[path.node, path.length - 1]
-    lone = np.flatnonzero(ids < 0)
-    if not len(lone):
-        return ids
-    parts, last = [], 0
-    for i in lone:
-        parts += [ids[last:i], v.byte_id[np.frombuffer(chr(lat.points[path.node[i]]).encode("utf-8", "surrogatepass"), np.uint8)]]
-        last = i + 1
-    return np.concatenate([*parts, ids[last:]])
+        value, free, barred, old, new = np.full(n, -np.inf), none.copy(), none.copy(), [], []
+        for s, p in enumerate(out):
+            own = np.flatnonzero(live & (parent == s))
+            if not len(own):
+                continue
+            e = p.turn(own, noise[4 * turn][own])
+            node, spot, count = p.node[e], p.at[e], e - p.ptr[own]
+            bars = np.where(count == p.free[own], p.barred[own], 0) | 1 << lat.length[p.edge[e]].astype(np.int64)
+            logs, edges = lat.others(node, bars)
+            mass = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
+            pick = (mass <= np.minimum(noise[4 * turn + 1][own] * mass[:, -1], np.nextafter(mass[:, -1], 0))[:, None]).sum(axis=1)
+            other = edges[np.arange(len(own)), pick]
+            kept = _ranges(p.ptr[own], count)
+            old += [(np.repeat(own, count), p.node[kept], p.edge[kept], p.at[kept]), (own, node, other, spot)]
+            value[own], free[own], barred[own] = p.rest[own], count, bars
+            p.turns[e] = -np.inf
+            p.rest[own] = _truncated(p.left_over(own), value[own], noise[4 * turn + 3][own])
+            # all that follows the turn is drawn anew: the rest of the word, then the words after it
+            step = lat.length[other].astype(np.int64)
+            inside = step < lat.left[node]
+            new.append((own[inside], (node + step)[inside], (spot + step)[inside]))
+            after = np.searchsorted(place, _key(own, spot), "right")
+            after = _ranges(after, first[own + 1] - after)
+            new.append((doc[after], start[after], at[after]))
+        old.append(_draw(lat, *(np.concatenate([x[i] for x in new]) for i in range(3)), seeds, turn))
+        child = Paths(lat, tuple(np.concatenate([x[i] for x in old]) for i in range(4)), value, free, barred)
+        child.rest = _truncated(child.left_over(np.arange(n)), value, noise[4 * turn + 2])
+        out.append(child)
+    return out, np.max([p.rest for p in out], axis=0)
 
 
 def _seeds(keys: pa.Array, seed: int) -> np.ndarray:
-    return np.array([int.from_bytes(hashlib.blake2b(f"{seed}\x1f{k.as_py()}".encode(), digest_size=8).digest(), "little") for k in keys], np.uint64)
+    return np.array([int.from_bytes(hashlib.blake2b(f"{seed}\x1f{k}".encode(), digest_size=8).digest(), "little") for k in keys.to_pylist()], np.uint64)
 
 
 def sample_encodings(
-    docs: DataFrame, tokenizer: str, k: int = 3, alpha: float = 1.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", digest: bool = False
+    docs: DataFrame, tokenizer: str, k: int = 3, alpha: float = 1.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, decode_to: str | None = None
 ) -> DataFrame:
     """(id, sample int, ids array<int>, n_tokens long, log_prob double, inclusion double), k rows for each row of docs.
 
     The samples of a text are distinct segmentations, in the order of their perturbed log-probabilities
     (sample 1 is an ordinary draw); a text with fewer than k segmentations returns them all. log_prob is the
     segmentation's log-probability, scaled by alpha before normalising; inclusion is the probability that
-    it is among the k, given the k+1st value (1 if there is none). ids have no begin or end tokens.
-    digest: instead of ids, ids_sha256 of their 32-bit little-endian bytes and round_trip, whether they
-    decode to the text. The row's key seeds its samples: equal keys and texts have equal ones, null keys
-    too. Null and empty texts have one empty segmentation. U+2581 counts as the space it stands for.
-    Whole texts are sampled; other columns are left out, whatever their names.
+    it is among the k, given the k+1st value (1 if there is none; its last digits may vary from run to run).
+    ids have no begin or end tokens. digest: instead of ids, ids_sha256 of their 32-bit little-endian bytes
+    and round_trip, whether they decode to the text. decode_to names a further column for the text that the
+    ids decode to. The row's key seeds its samples: equal keys and texts have equal ones, null keys too.
+    Null and empty texts have one empty segmentation. U+2581 counts as the space it stands for. Whole texts
+    are sampled, words of any length too; other columns are left out, whatever their names; an empty table
+    gives an empty result.
     """
     narrow = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     kind = docs.schema[id_col].dataType.simpleString()
     value = "ids_sha256 string, round_trip boolean" if digest else "ids array<int>"
-    names = [id_col, "sample", "n_tokens", "log_prob", "inclusion", *(["ids_sha256", "round_trip"] if digest else ["ids"])]
+    names = [id_col, "sample", "n_tokens", "log_prob", "inclusion", *(["ids_sha256", "round_trip"] if digest else ["ids"]), *[decode_to] * bool(decode_to)]
 
-    def some(batch: pa.RecordBatch, v: Vocabulary) -> pa.RecordBatch:
+    def some(batch: pa.RecordBatch, lat: Lattice) -> Iterator[pa.RecordBatch]:
         texts = batch.column(1).to_pylist()
         found = [_WORDS.findall(_SPACE + t.replace(" ", _SPACE)) if t else [] for t in texts]
-        flat = [w for x in found for w in x]
-        known = {w: i for i, w in enumerate(dict.fromkeys(flat))}
-        lat = Lattice(list(known), v)
-        doc = np.repeat(np.arange(len(texts)), [len(x) for x in found])
-        words = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
-        at, sample, log, included, outs, round_trip, counts = [], [], [], [], [], [], []
-        for i, (paths, kappa) in enumerate(sample_paths(lat, words, doc, _seeds(batch.column(0), seed), k)):
-            for n, p in enumerate(paths, 1):
-                ids = _ids(p, lat, v)
-                at.append(i)
-                sample.append(n)
-                log.append(p.log)
-                included.append(float(-np.expm1(-np.exp(min(700.0, p.log - kappa)))) if np.isfinite(kappa) else 1.0)
-                counts.append(len(ids))
-                if digest:
-                    outs.append(hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest())
-                    round_trip.append(v.decode(ids.tolist()) == texts[i].replace(_SPACE, " "))
-                else:
-                    outs.append(ids)
-        columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(sample, pa.int32()), pa.array(counts, pa.int64()), pa.array(log, pa.float64()), pa.array(included, pa.float64())]
-        columns += [pa.array(outs, pa.string()), pa.array(round_trip, pa.bool_())] if digest else [pa.array(outs, pa.list_(pa.int32()))]
-        return pa.RecordBatch.from_arrays(columns, names)
+        doc = np.repeat(np.arange(len(texts)), np.fromiter(map(len, found), np.int64, len(found)))
+        words = lat.rows([w for x in found for w in x])
+        del found
+        want = [t.replace(_SPACE, " ").encode() for t in texts] if digest else []
+        samples, kappa = sample_paths(lat, words, doc, _seeds(batch.column(0), seed), k)
+        for n, p in enumerate(samples, 1):
+            there = np.isfinite(p.value)
+            with np.errstate(over="ignore"):
+                included = np.where(np.isfinite(kappa), -np.expm1(-np.exp(np.minimum(700.0, p.log - np.where(np.isfinite(kappa), kappa, 0.0)))), 1.0)
+            ids, at = lat.ids(p.edge, p.ptr)
+            ids = ids.astype("<i4", copy=False)
+            columns = [batch.column(0), pa.array(np.full(len(texts), n, np.int32)), pa.array(np.diff(at)), pa.array(p.log), pa.array(included)]
+            bounds = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
+            raw = []
+            if digest or decode_to:
+                data, cut = lat.v.joined(ids, at)
+                data, cut = memoryview(data), cut.tolist()
+                raw = [data[a + 1 : b] if b > a and data[a] == 32 else data[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            if digest:
+                view = memoryview(ids)
+                columns += [pa.array([hashlib.sha256(view[a:b]).hexdigest() for a, b in bounds]), pa.array([x == y for x, y in zip(raw, want, strict=True)], pa.bool_())]
+            else:
+                columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids)))
+            if decode_to:
+                columns.append(pa.array([str(x, "utf-8", "replace") for x in raw], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(there))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(tokenizer, alpha)
+        lat = Lattice(v)
         for batch in batches:
-            sizes = np.cumsum([0, *(x.as_buffer().size for x in batch.column(1))])
-            for lo, hi in chunks(sizes, 1_000_000):
-                yield some(batch.slice(lo, hi - lo), v)
+            for lo, hi in chunks(utf8(batch.column(1))[1], TEXT):
+                yield from some(batch.slice(lo, hi - lo), lat)
+                if len(lat.left) > KEPT:
+                    lat = Lattice(v)
+        tidy()
 
-    return narrow.mapInArrow(run, f"`{id_col}` {kind}, sample int, n_tokens long, log_prob double, inclusion double, {value}")
+    return narrow.mapInArrow(run, f"`{id_col}` {kind}, sample int, n_tokens long, log_prob double, inclusion double, {value}" + (f", `{decode_to}` string" if decode_to else ""))
 
 
 def decode_ids(df: DataFrame, tokenizer: str, ids_col: str = "ids", to: str = "text") -> DataFrame:
     """df and a column of the texts of ids: pieces and bytes joined, marks as spaces, without the one in front.
 
-    Null ids give null, empty ones an empty text; bytes that aren't UTF-8 become U+FFFD. A column of the
-    name `to` is replaced.
+    Null ids give null, empty ones an empty text; bytes that aren't UTF-8 become U+FFFD; null ids in a list
+    and numbers outside the vocabulary are an error. A column of the name `to` is replaced; other columns
+    stay, whatever their names.
     """
     rest = df.drop(to)
     at, names = rest.columns.index(ids_col), [*rest.columns, to]
@@ -333,7 +472,11 @@ def decode_ids(df: DataFrame, tokenizer: str, ids_col: str = "ids", to: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(tokenizer, 1.0)
         for batch in batches:
-            texts = [None if x is None else v.decode(x) for x in batch.column(at).to_pylist()]
+            texts: list[str | None] = []
+            for ids in batch.column(at):
+                data, _ = v.joined(np.asarray(ids.values, np.int64), np.zeros(1, np.int64)) if ids.is_valid else (None, None)
+                text = None if data is None else data.tobytes().decode("utf-8", "replace")
+                texts.append(text[1:] if text and text[0] == " " else text)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
     return rest.mapInArrow(run, rest.withColumn(to, F.lit("")).schema)

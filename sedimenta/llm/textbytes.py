@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, grown on demand and kept per worker."""
+    """base**0 .. base**(n-1) modulo 2**64; up to 2**20 of them are kept in the worker."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
         size = 1 << max(16, (n - 1).bit_length())
@@ -44,7 +44,7 @@ def powers(base: int, n: int) -> np.ndarray:
             have[filled : 2 * filled] = have[:filled] * np.uint64(step)
             step = step * step % (1 << 64)
             filled *= 2
-        if size <= 1 << 24:
+        if size <= 1 << 20:
             _POWERS[base] = have
     return have[:n]
 
@@ -153,3 +153,8 @@ def slim_batches(batch: pa.RecordBatch, text: str, most: int = 16_000_000) -> It
     _, offsets = utf8(batch.column(batch.schema.get_field_index(text)))
     for lo, hi in chunks(offsets, most):
         yield batch.slice(lo, hi - lo)
+
+
+def tidy() -> None:
+    """Give freed Arrow memory of this worker back, for the tasks that use the machine next."""
+    pa.default_memory_pool().release_unused()

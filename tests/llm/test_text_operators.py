@@ -145,16 +145,18 @@ def test_sampling_against_enumeration():
     whole = {a + b: x + y for a, x in segmentations(words[0], v, index).items() for b, y in segmentations(words[1], v, index).items()}
     z = math.log(sum(map(math.exp, whole.values())))
     log = {s: x - z for s, x in whole.items()}
-    lat = S.Lattice(words, v)
+    lat = S.Lattice(v)
     seeds = np.arange(n, dtype=np.uint64) * np.uint64(7919) + np.uint64(3)
     first, estimate = collections.Counter(), collections.Counter()
-    for paths, kappa in S.sample_paths(lat, np.tile([0, 1], n), np.repeat(np.arange(n), 2), seeds, k):
-        ids = [tuple(S._ids(p, lat, v).tolist()) for p in paths]
-        assert len(set(ids)) == k and [p.value for p in paths] == sorted((p.value for p in paths), reverse=True) and kappa <= paths[-1].value
+    paths, kappa = S.sample_paths(lat, lat.rows(words * n), np.repeat(np.arange(n), 2), seeds, k)
+    listed = [lat.ids(p.edge, p.ptr) for p in paths]
+    for i in range(n):
+        ids = [tuple(x[at[i] : at[i + 1]].tolist()) for x, at in listed]
+        assert len(set(ids)) == k and [p.value[i] for p in paths] == sorted((p.value[i] for p in paths), reverse=True) and kappa[i] <= paths[-1].value[i]
         first[ids[0]] += 1
         for s, p in zip(ids, paths, strict=True):
-            assert abs(p.log - log[s]) < 1e-9
-            estimate[s] += math.exp(log[s]) / -math.expm1(-math.exp(p.log - kappa)) / n
+            assert abs(p.log[i] - log[s]) < 1e-9
+            estimate[s] += math.exp(log[s]) / -math.expm1(-math.exp(p.log[i] - kappa[i])) / n
     for s, x in log.items():
         p = math.exp(x)
         assert abs(first[s] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-3
@@ -174,6 +176,34 @@ def test_sampled_encodings(spark):
     assert sum(i == 0 for i, _ in texts) == 1 and S.sample_encodings(df.limit(0), MODEL).count() == 0
 
 
+@pytest.mark.parametrize("text", ["a" * 3_000, "aGVsbG8gd29ybGQ" * 300, "日本語の文章" * 400, "x \x01" * 500], ids=["one stretch", "base64", "no pieces", "short"])
+def test_long_words_have_the_same_lattice(monkeypatch, text):
+    """Stretches and words that go one by one give what the steps over a batch give."""
+    v, got = S.vocabulary(MODEL, 1.0), []
+    for limit in (1 << 20, 8):
+        monkeypatch.setattr(S, "STRETCH", limit)
+        monkeypatch.setattr(S, "WORD", limit)
+        monkeypatch.setattr(S, "SLICE", 1 << 16 if limit > 8 else 1000)
+        lat = S.Lattice(v)
+        words = lat.rows(S._WORDS.findall("▁" + text.replace(" ", "▁")))
+        paths, _ = S.sample_paths(lat, words, np.zeros(len(words), np.int64), np.array([5], np.uint64), 3)
+        got.append((lat.log, [p.edge for p in paths]))
+    assert np.allclose(got[0][0], got[1][0], atol=1e-9) and all(np.array_equal(a, b) for a, b in zip(got[0][1], got[1][1], strict=True))
+
+
+def test_long_texts_without_spaces_stay_in_bounds():
+    import resource
+
+    v, before = S.vocabulary(MODEL, 1.0), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    rng = np.random.default_rng(1)
+    for text in ("".join(map(chr, rng.integers(48, 123, 1_000_000))), "a" * 200_000):
+        lat = S.Lattice(v)
+        paths, _ = S.sample_paths(lat, lat.rows(["▁" + text]), np.zeros(1, np.int64), np.array([5], np.uint64), 3)
+        for p in paths:
+            assert bytes(v.joined(*lat.ids(p.edge, p.ptr))[0]).decode() == " " + text
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600_000  # 600 bytes a character
+
+
 def test_misspelled_terms():
     lexicon = Lexicon([("idiot", False, 1.0), ("scum", False, 1.0), ("achlich", True, 0.5)])
     for token, want in (("idiot", ("idiot", 0)), ("id1ot", ("idiot", 1)), ("idot", ("idiot", 1)), ("idioot", ("idiot", 1)), ("ideot", ("idiot", 1)), ("i*iot", ("idiot", 1)), ("scum", ("scum", 0)), ("achlichen", ("achlich", 0)), ("achlchen", ("achlich", 1))):
