@@ -22,22 +22,36 @@ PII_KEY = "corpus-pipeline"
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go.
+
+    Null and empty texts have no hits and stay; repeated rows are judged alike; an empty table stays empty;
+    without labels of both classes a base lexicon decides.
+    """
     return reject_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, similarity of 0.8 or more) one document stays."""
+    """Of each group of near copies (five words, similarity of 0.8 or more) one document stays, that of the least id.
+
+    Null, empty and blank texts are copies of nothing and stay, as do rows without an id; of repeated rows one stays.
+    """
     return deduplicate(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item go."""
+    """Documents that contain a benchmark item go.
+
+    Null and empty texts contain nothing and stay; null and empty items are in nothing; an empty benchmark
+    or table changes nothing; repeated rows are judged alike.
+    """
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data becomes surrogates; n_chars is that of the new text."""
+    """Personal data becomes surrogates; n_chars is that of the new text.
+
+    Null texts stay null with their n_chars, empty ones stay empty; repeated rows are changed alike.
+    """
     out = replace_entities(docs, PII_KEY)
     if "n_chars" in out.columns:
         kind = docs.schema["n_chars"].dataType
@@ -46,8 +60,13 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of each text, as piece ids with their inclusion scores."""
-    return sample_encodings(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2)
+    """Two sampled segmentations of each text, as piece ids with their inclusion scores, and the text that the ids decode to.
+
+    A row for each document and sample, of the columns doc_id, sample, n_tokens, log_prob, inclusion, ids and
+    text; lang, source and n_chars end here. Null and empty texts have one sample without ids; repeated rows
+    have equal samples; an empty table gives an empty result.
+    """
+    return sample_encodings(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2, decode_to="text")
 
 
 STAGES = [
