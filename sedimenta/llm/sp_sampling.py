@@ -35,7 +35,7 @@ _BASE = 0x100000001B3 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _WORDS = re.compile(f"{_SPACE}+[^{_SPACE}]*")
 #: Bytes of text sampled at once, positions that a worker's lattice keeps, positions worked on at once.
-TEXT, KEPT, SLICE = 400_000, 200_000, 1 << 16
+TEXT, KEPT, SLICE = 150_000, 400_000, 1 << 16
 #: Longest stretches of a word that are summed, and words that are drawn, by steps over all of a batch; longer ones go one by one.
 STRETCH, WORD = 512, 64
 
@@ -78,12 +78,23 @@ class Vocabulary:
             for size in range(1, len(piece)):
                 by_length[size - 1].setdefault(piece[:size], -1)
             by_length[len(piece) - 1][piece] = i
-        self.index = []
+        hashes, ids = [], []
         for size, found in enumerate(by_length, 1):
             points = np.frombuffer("".join(found).encode("utf-32-le"), np.uint32).reshape(-1, size)
-            h = mix((_points(points.ravel()).reshape(-1, size) * powers(_BASE, size)).sum(axis=1, dtype=np.uint64))
-            order = np.argsort(h)
-            self.index.append((h[order], np.fromiter(found.values(), np.int64, len(found))[order]))
+            hashes.append(mix((_points(points.ravel()).reshape(-1, size) * powers(_BASE, size)).sum(axis=1, dtype=np.uint64) + np.uint64(size)))
+            ids.append(np.fromiter(found.values(), np.int32, len(found)))
+        order = np.argsort(h := np.concatenate(hashes))
+        self.hashes, self.ids = np.append(h[order], np.uint64(2**64 - 1)), np.append(np.concatenate(ids)[order], np.int32(-2))
+        self.first = np.searchsorted(self.hashes, np.arange(1 << 18, dtype=np.uint64) << np.uint64(46)).astype(np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The piece of each hash; -1: a beginning of pieces only, -2: nothing."""
+        spot = self.first[h >> np.uint64(46)]
+        wait = np.flatnonzero(self.hashes[spot] < h)
+        while len(wait):
+            spot[wait] += 1
+            wait = wait[self.hashes[spot[wait]] < h[wait]]
+        return np.where(self.hashes[spot] == h, self.ids[spot], -2)
 
     def joined(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of ids, and where those of each list ids[at[i]:at[i+1]] begin."""
@@ -190,24 +201,27 @@ class Lattice:
 def _edges(points: np.ndarray, left: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, ...]:
     """(edges of each position; length, piece, weight of each edge), by position and length; no edge leaves its word."""
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_points(points) * powers(_BASE, len(points)))])
-    inverse, at, n = powers(_BASE_INV, len(points) + 1), np.arange(len(left)), len(left)
-    found, plain = [], np.zeros(n, bool)
-    for length, (h, ids) in enumerate(v.index, 1):
-        at = at[left[at] >= length]
-        own = mix((total[at + length] - total[at]) * inverse[at])
-        spot = np.minimum(np.searchsorted(h, own), len(h) - 1)
-        hit = h[spot] == own
-        at, spot = at[hit], ids[spot[hit]]  # beginnings of pieces go on
-        whole = spot >= 0
-        found.append((at[whole], np.full(int(whole.sum()), length, np.uint8), spot[whole].astype(np.int32), v.weight[spot[whole]]))
-        if length == 1:
-            plain[at[whole]] = True
-    lone = np.flatnonzero(~plain)  # characters without a piece become bytes
-    c = points[lone].astype(np.int64)
-    found.append((lone, np.ones(len(lone), np.uint8), (~c).astype(np.int32), v.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))))
-    at, length, piece, weight = (np.concatenate([f[i] for f in found]) for i in range(4))
-    order = np.argsort(at * 64 + length)
-    return np.bincount(at, minlength=n), length[order], piece[order], weight[order]
+    inverse, at = powers(_BASE_INV, len(points) + 1), np.arange(len(left))
+    found, count = [], np.ones(len(left), np.int64)
+    for size in range(1, v.longest + 1):
+        at = at[left[at] >= size]
+        ids = v.find(mix((total[at + size] - total[at]) * inverse[at] + np.uint64(size)))
+        if size == 1:  # characters without a piece become bytes
+            found.append((at, np.where(ids < 0, ~points[at].astype(np.int32), ids)))
+        else:
+            found.append((at[ids >= 0], ids[ids >= 0]))
+            count[found[-1][0]] += 1
+        at = at[ids > -2]  # beginnings of pieces go on
+    free = np.cumsum(count) - count
+    length, piece = np.empty(int(count.sum()), np.uint8), np.empty(int(count.sum()), np.int32)
+    for size, (at, ids) in enumerate(found, 1):
+        spot = free[at]
+        length[spot], piece[spot] = size, ids
+        free[at] += 1
+    weight, lone = v.weight[np.maximum(piece, 0)], np.flatnonzero(piece < 0)
+    c = ~piece[lone]
+    weight[lone] = v.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
+    return count, length, piece, weight
 
 
 def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longest: int) -> np.ndarray:
