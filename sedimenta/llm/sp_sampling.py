@@ -38,6 +38,10 @@ _WORDS = re.compile(f"{_SPACE}+[^{_SPACE}]*")
 TEXT, KEPT, SLICE = 150_000, 400_000, 1 << 16
 #: Longest stretches of a word that are summed, and words that are drawn, by steps over all of a batch; longer ones go one by one.
 STRETCH, WORD = 512, 64
+#: Longest distance from the end of a stretch of sums that aren't logarithms, and the logarithm of their factor a character.
+SHORT, FACTOR = 32, 4.0
+#: Characters that begin longer pieces or come second in them, up to which pairs of them are kept as a table.
+PAIRS = 2048
 
 
 class Vocabulary:
@@ -86,6 +90,17 @@ class Vocabulary:
         order = np.argsort(h := np.concatenate(hashes))
         self.hashes, self.ids = np.append(h[order], np.uint64(2**64 - 1)), np.append(np.concatenate(ids)[order], np.int32(-2))
         self.first = np.searchsorted(self.hashes, np.arange(1 << 18, dtype=np.uint64) << np.uint64(46)).astype(np.int32)
+        # beginnings of one and two characters are looked up by character; the last number is that of all other characters
+        self.ones = np.full(0x110000, -2, np.int32)
+        self.ones[[ord(c) for c in by_length[0]]] = list(by_length[0].values())
+        letters = sorted({c for two in (by_length[1] if self.longest > 1 else ()) for c in two})
+        self.number = np.full(0x110000, len(letters), np.int16)
+        self.twos = None
+        if len(letters) < PAIRS:
+            self.number[[ord(c) for c in letters]] = np.arange(len(letters))
+            self.twos = np.full((len(letters) + 1, len(letters) + 1), -2, np.int32)
+            for two, i in (by_length[1] if self.longest > 1 else {}).items():
+                self.twos[self.number[ord(two[0])], self.number[ord(two[1])]] = i
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """The piece of each hash; -1: a beginning of pieces only, -2: nothing."""
@@ -121,24 +136,48 @@ def vocabulary(path: str, alpha: float) -> Vocabulary:
     return _LOADED[path, alpha]
 
 
+class _Numbers(dict):
+    """Words and their numbers; those not seen before are numbered on and listed as new."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = n = len(self)
+        return n
+
+
+def split_words(text: str) -> list[str]:
+    """A word for each mark in front of one or more others: what follows its first mark."""
+    if not text:
+        return []
+    if "  " not in text and text[0] != " " and _SPACE not in text:
+        return text.split(" ")
+    return [w[1:] for w in _WORDS.findall(_SPACE + text.replace(" ", _SPACE))]
+
+
 class Lattice:
-    """The lattices of many words, one after the other: the edges of a position lie together, by length.
+    """The lattices of many words, one after the other: the edges of a position lie together, the longest first,
+    as it is the likeliest.
 
     log: the edge's log-probability, given its position; cum: the same, cumulative, no logarithm; piece: the
     piece, or ~character for one that becomes bytes; left: characters up to the word's end.
     """
 
     def __init__(self, v: Vocabulary):
-        self.v, self.known = v, {}
+        self.v, self.known = v, _Numbers()
         self.start, self.size, self.left, self.ptr = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(1, np.int64)
         self.length, self.piece, self.log, self.cum = np.zeros(0, np.uint8), np.zeros(0, np.int32), np.zeros(0), np.zeros(0)
 
     def rows(self, words: list[str]) -> np.ndarray:
-        """The numbers of these words; new ones are entered."""
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        if new:
-            self._add(new)
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        """The numbers of these words, given without the mark in front; new ones are entered."""
+        out = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        if self.known.new:
+            self._add([_SPACE + w for w in self.known.new])
+            self.known.new.clear()
+        return out
 
     def _add(self, words: list[str]) -> None:
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
@@ -150,16 +189,25 @@ class Lattice:
         length, piece, weight = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
         del parts
         ptr = np.concatenate([[0], np.cumsum(count)])
-        log = _conditional(ptr, length, weight, self.v.longest)
+        log, cum = _conditional(ptr, length, weight, self.v.longest)
         before, edges = len(self.left), len(self.log)
-        cum = np.cumsum(np.exp(log))
+        np.cumsum(cum, out=cum)
         cum -= np.repeat(np.append(0.0, cum)[ptr[:-1]], count)
         cum[ptr[1:] - 1] = 1
-        self.known.update(zip(words, range(len(self.start), len(self.start) + len(words)), strict=True))
-        self.start, self.size = np.append(self.start, before + end - size), np.append(self.size, size)
-        self.left, self.ptr = np.append(self.left, left.astype(np.int32)), np.append(self.ptr, edges + ptr[1:])
-        self.length, self.piece = np.append(self.length, length), np.append(self.piece, piece)
-        self.log, self.cum = np.append(self.log, log), np.append(self.cum, cum)
+        self.start, self.size = self._grown("start", before + end - size), self._grown("size", size)
+        self.left, self.ptr = self._grown("left", left), self._grown("ptr", edges + ptr[1:])
+        self.length, self.piece = self._grown("length", length), self._grown("piece", piece)
+        self.log, self.cum = self._grown("log", log), self._grown("cum", cum)
+
+    def _grown(self, name: str, more: np.ndarray) -> np.ndarray:
+        """The array of that name and more, in room that at least doubles when it runs out."""
+        have = getattr(self, name)
+        room, n = have if have.base is None else have.base, len(have) + len(more)
+        if n > len(room):
+            room = np.empty(max(n, 2 * len(room)), have.dtype)
+            room[: len(have)] = have
+        room[len(have) : n] = more
+        return room[:n]
 
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each position, by uniform numbers."""
@@ -199,56 +247,81 @@ class Lattice:
 
 
 def _edges(points: np.ndarray, left: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, ...]:
-    """(edges of each position; length, piece, weight of each edge), by position and length; no edge leaves its word."""
+    """(edges of each position; length, piece, weight of each edge), by position, the longest first; no edge leaves its word."""
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_points(points) * powers(_BASE, len(points)))])
     inverse, at = powers(_BASE_INV, len(points) + 1), np.arange(len(left))
-    found, count = [], np.ones(len(left), np.int64)
+    found, count, number = [], np.ones(len(left), np.int64), v.number[points]
     for size in range(1, v.longest + 1):
-        at = at[left[at] >= size]
-        ids = v.find(mix((total[at + size] - total[at]) * inverse[at] + np.uint64(size)))
+        at = at[left[at] >= size] if size > 1 else at
+        if size == 1:
+            ids = v.ones[points[: len(left)]]
+        elif size == 2 and v.twos is not None:
+            ids = v.twos[number[at], number[at + 1]]
+        else:
+            ids = v.find(mix((total[at + size] - total[at]) * inverse[at] + np.uint64(size)))
         if size == 1:  # characters without a piece become bytes
             found.append((at, np.where(ids < 0, ~points[at].astype(np.int32), ids)))
         else:
             found.append((at[ids >= 0], ids[ids >= 0]))
             count[found[-1][0]] += 1
         at = at[ids > -2]  # beginnings of pieces go on
-    free = np.cumsum(count) - count
+    free = np.cumsum(count)
     length, piece = np.empty(int(count.sum()), np.uint8), np.empty(int(count.sum()), np.int32)
     for size, (at, ids) in enumerate(found, 1):
+        free[at] -= 1
         spot = free[at]
         length[spot], piece[spot] = size, ids
-        free[at] += 1
     weight, lone = v.weight[np.maximum(piece, 0)], np.flatnonzero(piece < 0)
     c = ~piece[lone]
     weight[lone] = v.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
     return count, length, piece, weight
 
 
-def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longest: int) -> np.ndarray:
-    """The log-probability of each edge, given its position, from backward sums.
+def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The log-probability and the probability of each edge, given its position, from backward sums.
 
     Sums run within stretches that no edge leaves, so what follows a stretch cancels out.
     """
     n, count = len(ptr) - 1, np.diff(ptr)
-    reach = np.maximum.accumulate(np.arange(n) + length[ptr[1:] - 1])
+    reach = np.maximum.accumulate(np.arange(n) + length[ptr[:-1]])
     cut = np.flatnonzero(np.append(True, reach[:-1] <= np.arange(1, n)))
     size = np.diff(np.append(cut, n))
     far = np.repeat(np.append(cut[1:], n), size) - np.arange(n)  # to the end of the stretch
-    log, beta = np.empty(len(weight)), np.zeros(n + longest + 1)
+    log, share, beta = np.empty(len(weight)), np.empty(len(weight)), np.zeros(n + longest + 1)
     order = np.argsort(far, kind="stable")
     order = order[: np.searchsorted(far[order], STRETCH, "right")]
     many = count[order]
     edges, first = _ranges(ptr[order], many), np.concatenate([[0], np.cumsum(many)])
     bound = np.searchsorted(far[order], np.arange(1, (far[order[-1]] if len(order) else 0) + 2))
-    for d in range(1, len(bound)):
+    step, near = length[edges].astype(np.int64), min(len(bound), SHORT + 1)
+    to, mass, w = np.repeat(order, many) + step, np.empty(len(edges)), weight[edges]
+    # near the end of a stretch sums are taken as they are, a factor for each character keeps them in range; if that fails, and farther on, as logarithms
+    scaled, sums = np.exp(w + FACTOR * step), np.ones(n + longest + 1)
+    for d in range(1, near):
+        lo, hi = bound[d - 1], bound[d]
+        if lo < hi:
+            e = slice(first[lo], first[hi])
+            x = scaled[e] * np.where(step[e] == d, 1.0, sums[to[e]])
+            total = np.add.reduceat(x, first[lo:hi] - first[lo])
+            sums[order[lo:hi]] = total
+            mass[e] = x / np.repeat(total, many[lo:hi])
+    done = order[: bound[near - 1]] if near > 1 else order[:0]
+    if len(done) and not (1e-250 < sums[done].min() and sums[done].max() < 1e250):
+        done, near = done[:0], 1
+    beta[done] = np.log(sums[done]) - FACTOR * far[done]
+    e = edges[: first[len(done)]]
+    share[e] = mass[: len(e)]
+    with np.errstate(divide="ignore"):
+        log[e] = np.log(mass[: len(e)])
+    for d in range(near, len(bound)):
         lo, hi = bound[d - 1], bound[d]
         if lo < hi:
-            at, e, starts = order[lo:hi], edges[first[lo] : first[hi]], first[lo:hi] - first[lo]
-            step = length[e].astype(np.int64)
-            x = weight[e] + np.where(step == d, 0.0, beta[np.repeat(at, many[lo:hi]) + step])
+            e, starts = slice(first[lo], first[hi]), first[lo:hi] - first[lo]
+            x = w[e] + np.where(step[e] == d, 0.0, beta[to[e]])
             top = np.maximum.reduceat(x, starts)
-            beta[at] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, many[lo:hi])), starts))
-            log[e] = x - np.repeat(beta[at], many[lo:hi])
+            beta[order[lo:hi]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, many[lo:hi])), starts))
+            log[edges[e]] = x - np.repeat(beta[order[lo:hi]], many[lo:hi])
+            share[edges[e]] = np.exp(log[edges[e]])
     for a, b in zip(cut[size > STRETCH].tolist(), (cut + size)[size > STRETCH].tolist(), strict=True):
         for hi in range(b - STRETCH, a, -SLICE):
             lo = max(a, hi - SLICE)
@@ -261,7 +334,8 @@ def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longes
             beta[lo:hi] = sums[: hi - lo]
             at = np.repeat(np.arange(lo, hi), count[lo:hi])
             log[e0:e1] = weight[e0:e1] + beta[at + length[e0:e1]] - beta[at]
-    return log
+            share[e0:e1] = np.exp(log[e0:e1])
+    return log, share
 
 
 def _uniform(seed: np.ndarray, sample: int, at: np.ndarray) -> np.ndarray:
@@ -274,28 +348,40 @@ def _key(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _draw(lat: Lattice, doc: np.ndarray, node: np.ndarray, at: np.ndarray, seeds: np.ndarray, sample: int) -> tuple[np.ndarray, ...]:
-    """Paths from these positions to their words' ends: (doc, node, edge, at), in no order; at is the place in the text."""
+    """Paths from these positions to their words' ends, one after the other: (doc, node, edge, at); at is the place in the text."""
     long = lat.left[node] > WORD
-    out = []
-    d, p, a = doc[~long], node[~long], at[~long]
+    seed, ahead, out, count = seeds[doc], at - node, [], np.zeros(len(node), np.int64)
+    row = np.flatnonzero(~long)
+    p = node[row]
     while len(p):
-        e = lat.pick(p, _uniform(seeds[d], sample, a))
-        out.append((d, p, e, a))
-        step = lat.length[e].astype(np.int64)
-        go = step < lat.left[p]
-        d, p, a = d[go], (p + step)[go], (a + step)[go]
+        e = lat.pick(p, _uniform(seed[row], sample, p + ahead[row]))
+        out.append((row, p, e))
+        count[row] += 1
+        p = p + lat.length[e]
+        go = lat.left[out[-1][1]] > lat.length[e]
+        row, p = row[go], p[go]
     for j in np.flatnonzero(long).tolist():
         n, spot = int(lat.left[node[j]]), 0
         for lo in range(0, n, SLICE):  # an edge for every position; those on the path count
             every = np.arange(lo, min(n, lo + SLICE))
-            e = lat.pick(node[j] + every, _uniform(np.full(len(every), seeds[doc[j]]), sample, at[j] + every))
+            e = lat.pick(node[j] + every, _uniform(np.full(len(every), seed[j]), sample, at[j] + every))
             steps, visited = lat.length[e].tolist(), []
             while spot < lo + len(every):
                 visited.append(spot)
                 spot += steps[spot - lo]
             seen = np.array(visited, np.int64)
-            out.append((np.full(len(seen), doc[j]), node[j] + seen, e[seen - lo], at[j] + seen))
-    return tuple(np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in range(4))
+            out.append((np.full(len(seen), j), node[j] + seen, e[seen - lo]))
+            count[j] += len(seen)
+    total, free = int(count.sum()), np.cumsum(count) - count
+    nodes, edges = np.empty(total, np.int64), np.empty(total, np.int64)
+    for row, p, e in out:
+        spot = free[row] if len(row) < 2 or row[0] != row[-1] else free[row[0]] + np.arange(len(row))
+        nodes[spot], edges[spot] = p, e
+        if len(row) < 2 or row[0] != row[-1]:
+            free[row] += 1
+        else:
+            free[row[0]] += len(row)
+    return np.repeat(doc, count), nodes, edges, nodes + np.repeat(ahead, count)
 
 
 def _log_sums(x: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -320,8 +406,7 @@ class Paths:
     """A path of each text (none: value -inf), and the set it was drawn from: its first `free` edges are the set's, `barred` lengths (bits) don't follow them."""
 
     def __init__(self, lat: Lattice, drawn: tuple[np.ndarray, ...], value: np.ndarray, free: np.ndarray, barred: np.ndarray):
-        order = np.argsort(_key(drawn[0], drawn[3]), kind="stable")
-        doc, self.node, self.edge, self.at = (x[order] for x in drawn)
+        doc, self.node, self.edge, self.at = drawn
         self.value, self.free, self.barred = value, free, barred
         self.ptr = np.searchsorted(doc, np.arange(len(value) + 1))
         edge = lat.log[self.edge]
@@ -342,13 +427,13 @@ class Paths:
 
     def left_over(self, doc: np.ndarray) -> np.ndarray:
         size = self.ptr[doc + 1] - self.ptr[doc]
-        return _log_sums(self.turns[_ranges(self.ptr[doc], size)], size)
+        return _log_sums(self.turns if len(doc) == len(self.value) else self.turns[_ranges(self.ptr[doc], size)], size)
 
     def turn(self, doc: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge (its place in the arrays) at which to turn off, in proportion to the probabilities of the sets."""
         size = self.ptr[doc + 1] - self.ptr[doc]
         starts = np.cumsum(size) - size
-        logs = self.turns[_ranges(self.ptr[doc], size)]
+        logs = self.turns if len(doc) == len(self.value) else self.turns[_ranges(self.ptr[doc], size)]
         total = np.concatenate([[0.0], np.cumsum(np.exp(logs - np.repeat(np.maximum.reduceat(logs, starts), size)))])
         low, high = total[starts], total[starts + size]
         want = np.clip(low + u * (high - low), low, np.nextafter(high, -np.inf))
@@ -398,13 +483,33 @@ def sample_paths(lat: Lattice, words: np.ndarray, doc: np.ndarray, seeds: np.nda
             after = np.searchsorted(place, _key(own, spot), "right")
             after = _ranges(after, first[own + 1] - after)
             new.append((doc[after], start[after], at[after]))
-        old.append(_draw(lat, *(np.concatenate([x[i] for x in new]) for i in range(3)), seeds, turn))
-        child = Paths(lat, tuple(np.concatenate([x[i] for x in old]) for i in range(4)), value, free, barred)
+        before, starts = _sorted(old, 3), _sorted(new, 2)
+        child = Paths(lat, _after(before, _draw(lat, *starts, seeds, turn), n), value, free, barred)
         child.rest = _truncated(child.left_over(np.arange(n)), value, noise[4 * turn + 2])
         out.append(child)
     return out, np.max([p.rest for p in out], axis=0)
 
 
+def _sorted(parts: list[tuple[np.ndarray, ...]], at: int) -> tuple[np.ndarray, ...]:
+    """All parts, by text and place (the columns 0 and `at`)."""
+    columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    order = np.argsort(_key(columns[0], columns[at]), kind="stable")
+    return tuple(x[order] for x in columns)
+
+
+def _after(first: tuple[np.ndarray, ...], then: tuple[np.ndarray, ...], n: int) -> tuple[np.ndarray, ...]:
+    """Of each of n texts the rows of `first`, then those of `then`; column 0 is the text."""
+    a, b = (np.bincount(x[0], minlength=n) for x in (first, then))
+    place_a = np.arange(len(first[0])) + (np.cumsum(b) - b)[first[0]]
+    place_b = np.arange(len(then[0])) + np.cumsum(a)[then[0]]
+    out = []
+    for x, y in zip(first, then, strict=True):
+        z = np.empty(len(x) + len(y), np.int64)
+        z[place_a], z[place_b] = x, y
+        out.append(z)
+    return tuple(out)
+
+
 def _seeds(keys: pa.Array, seed: int) -> np.ndarray:
     return np.array([int.from_bytes(hashlib.blake2b(f"{seed}\x1f{k}".encode(), digest_size=8).digest(), "little") for k in keys.to_pylist()], np.uint64)
 
@@ -432,7 +537,7 @@ def sample_encodings(
 
     def some(batch: pa.RecordBatch, lat: Lattice) -> Iterator[pa.RecordBatch]:
         texts = batch.column(1).to_pylist()
-        found = [_WORDS.findall(_SPACE + t.replace(" ", _SPACE)) if t else [] for t in texts]
+        found = list(map(split_words, texts))
         doc = np.repeat(np.arange(len(texts)), np.fromiter(map(len, found), np.int64, len(found)))
         words = lat.rows([w for x in found for w in x])
         del found
