@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +32,8 @@ _SPACE = "▁"
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), 0x165667B19E3779F9
 _BASE = 0x100000001B3 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-_WORDS = re.compile(f"{_SPACE}+[^{_SPACE}]*")
 #: Bytes of text sampled at once, positions that a worker's lattice keeps, positions worked on at once.
-TEXT, KEPT, SLICE = 150_000, 400_000, 1 << 16
+TEXT, KEPT, SLICE = 150_000, 600_000, 1 << 16
 #: Longest stretches of a word that are summed, and words that are drawn, by steps over all of a batch; longer ones go one by one.
 STRETCH, WORD = 512, 64
 #: Longest distance from the end of a stretch of sums that aren't logarithms, and the logarithm of their factor a character.
@@ -136,86 +134,110 @@ def vocabulary(path: str, alpha: float) -> Vocabulary:
     return _LOADED[path, alpha]
 
 
-class _Numbers(dict):
-    """Words and their numbers; those not seen before are numbered on and listed as new."""
+def split(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """(points, start, size, doc): the characters of all texts, spaces as marks and one in front of each, and their words.
 
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self.new.append(word)
-        self[word] = n = len(self)
-        return n
-
-
-def split_words(text: str) -> list[str]:
-    """A word for each mark in front of one or more others: what follows its first mark."""
-    if not text:
-        return []
-    if "  " not in text and text[0] != " " and _SPACE not in text:
-        return text.split(" ")
-    return [w[1:] for w in _WORDS.findall(_SPACE + text.replace(" ", _SPACE))]
+    A word is one mark or more and what follows them; empty texts have none.
+    """
+    marked = [_SPACE + t.replace(" ", _SPACE) if t else "" for t in texts]
+    points = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32)
+    size = np.fromiter(map(len, marked), np.int64, len(marked))
+    mark = points == ord(_SPACE)
+    first = mark.copy()
+    first[1:] &= ~mark[:-1]
+    first[(np.cumsum(size) - size)[size > 0]] = True
+    start = np.flatnonzero(first)
+    doc = np.searchsorted(np.cumsum(size), start, "right")
+    return points, start, np.diff(np.append(start, len(points))), doc
 
 
 class Lattice:
     """The lattices of many words, one after the other: the edges of a position lie together, the longest first,
     as it is the likeliest.
 
-    log: the edge's log-probability, given its position; cum: the same, cumulative, no logarithm; piece: the
-    piece, or ~character for one that becomes bytes; left: characters up to the word's end.
+    share: the edge's probability, given its position; piece: the piece, or ~character for one that becomes
+    bytes; left: characters up to the word's end. Words are told apart by 64-bit hashes. Those that come
+    again are kept for the next texts, the others are forgotten.
     """
 
     def __init__(self, v: Vocabulary):
-        self.v, self.known = v, _Numbers()
+        self.v = v
+        self.hashes, self.numbers, self.seen = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1 << 22, bool)
         self.start, self.size, self.left, self.ptr = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(1, np.int64)
-        self.length, self.piece, self.log, self.cum = np.zeros(0, np.uint8), np.zeros(0, np.int32), np.zeros(0), np.zeros(0)
-
-    def rows(self, words: list[str]) -> np.ndarray:
-        """The numbers of these words, given without the mark in front; new ones are entered."""
-        out = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        if self.known.new:
-            self._add([_SPACE + w for w in self.known.new])
-            self.known.new.clear()
-        return out
-
-    def _add(self, words: list[str]) -> None:
-        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        end, n = np.cumsum(size), len(points)
+        self.length, self.piece, self.share = np.zeros(0, np.uint8), np.zeros(0, np.int32), np.zeros(0)
+        self.kept = 0, 0, 0  # words, positions, edges
+
+    def rows(self, points: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The numbers of these words; new ones are entered."""
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_points(points) * powers(_BASE, len(points)))])
+        inverse = powers(_BASE_INV, len(points) + 1)
+        h = mix((total[start + size] - total[start]) * inverse[start] + size.astype(np.uint64))
+        h, first, back, many = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        spot = np.searchsorted(self.hashes, h)
+        known = np.append(self.hashes, np.uint64(0))[spot] == h
+        known &= spot < len(self.hashes)
+        number = np.empty(len(h), np.int64)
+        number[known] = self.numbers[spot[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            place = (h[new] >> np.uint64(42)).astype(np.int64)
+            again = (many[new] > 1) | self.seen[place]
+            self.seen[place] = True
+            number[new[again]] = len(self.start) + np.arange(int(again.sum()))
+            self.hashes, self.numbers = (np.insert(x, spot[new[again]], y[new[again]]) for x, y in ((self.hashes, h), (self.numbers, number)))
+            words = first[new[again]]
+            self._add(points, total, inverse, start[words], size[words])
+            self.kept = len(self.start), len(self.left), len(self.share)
+            number[new[~again]] = len(self.start) + np.arange(int((~again).sum()))
+            words = first[new[~again]]
+            self._add(points, total, inverse, start[words], size[words])
+        return number[back]
+
+    def forget(self) -> None:
+        """Words that came once are forgotten; if too many are left, all are."""
+        words, positions, edges = self.kept
+        if positions > KEPT or len(self.share) > 12 * KEPT:
+            self.__init__(self.v)
+            return
+        self.start, self.size, self.left, self.ptr = self.start[:words], self.size[:words], self.left[:positions], self.ptr[: positions + 1]
+        self.length, self.piece, self.share = self.length[:edges], self.piece[:edges], self.share[:edges]
+
+    def _add(self, points: np.ndarray, total: np.ndarray, inverse: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        if not len(start):
+            return
+        end, at = np.cumsum(size), _ranges(start, size)
+        n = len(at)
         left = np.repeat(end, size) - np.arange(n)
-        parts = [_edges(points[lo : lo + SLICE + self.v.longest], left[lo : lo + SLICE], self.v) for lo in range(0, n, SLICE)]
+        parts = [_edges(points, total, inverse, at[lo : lo + SLICE], left[lo : lo + SLICE], self.v) for lo in range(0, n, SLICE)]
         count = np.concatenate([p[0] for p in parts])
         length, piece, weight = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
         del parts
         ptr = np.concatenate([[0], np.cumsum(count)])
-        log, cum = _conditional(ptr, length, weight, self.v.longest)
-        before, edges = len(self.left), len(self.log)
-        np.cumsum(cum, out=cum)
-        cum -= np.repeat(np.append(0.0, cum)[ptr[:-1]], count)
-        cum[ptr[1:] - 1] = 1
+        share = _conditional(ptr, length, weight, self.v.longest)
+        before, edges = len(self.left), len(self.share)
         self.start, self.size = self._grown("start", before + end - size), self._grown("size", size)
         self.left, self.ptr = self._grown("left", left), self._grown("ptr", edges + ptr[1:])
-        self.length, self.piece = self._grown("length", length), self._grown("piece", piece)
-        self.log, self.cum = self._grown("log", log), self._grown("cum", cum)
+        self.length, self.piece, self.share = self._grown("length", length), self._grown("piece", piece), self._grown("share", share)
 
     def _grown(self, name: str, more: np.ndarray) -> np.ndarray:
-        """The array of that name and more, in room that at least doubles when it runs out."""
+        """The array of that name and more, in room that grows by half when it runs out."""
         have = getattr(self, name)
         room, n = have if have.base is None else have.base, len(have) + len(more)
         if n > len(room):
-            room = np.empty(max(n, 2 * len(room)), have.dtype)
+            room = np.empty(max(n, len(room) * 3 // 2), have.dtype)
             room[: len(have)] = have
         room[len(have) : n] = more
         return room[:n]
 
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each position, by uniform numbers."""
-        edge = self.ptr[node]
-        wait = np.arange(len(node))
+        edge, last = self.ptr[node], self.ptr[node + 1] - 1
+        rest = u - self.share[edge]
+        wait = np.flatnonzero((rest >= 0) & (edge < last))
         while len(wait):
-            wait = wait[self.cum[edge[wait]] <= u[wait]]
             edge[wait] += 1
+            rest[wait] -= self.share[edge[wait]]
+            wait = wait[(rest[wait] >= 0) & (edge[wait] < last[wait])]
         return edge
 
     def others(self, node: np.ndarray, barred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,7 +246,8 @@ class Lattice:
         there = edge < self.ptr[node + 1][:, None]
         edge = np.where(there, edge, self.ptr[node][:, None])
         gone = barred[:, None] >> self.length[edge].astype(np.int64) & 1
-        return np.where(there & (gone == 0), self.log[edge], -np.inf), edge
+        with np.errstate(divide="ignore"):
+            return np.where(there & (gone == 0), np.log(self.share[edge]), -np.inf), edge
 
     def ids(self, edge: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of edges, and where those of each list edge[at[i]:at[i+1]] begin."""
@@ -246,21 +269,26 @@ class Lattice:
         return out, np.concatenate([first, [len(out)]])[at]
 
 
-def _edges(points: np.ndarray, left: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, ...]:
-    """(edges of each position; length, piece, weight of each edge), by position, the longest first; no edge leaves its word."""
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_points(points) * powers(_BASE, len(points)))])
-    inverse, at = powers(_BASE_INV, len(points) + 1), np.arange(len(left))
-    found, count, number = [], np.ones(len(left), np.int64), v.number[points]
+def _edges(points: np.ndarray, total: np.ndarray, inverse: np.ndarray, place: np.ndarray, left: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, ...]:
+    """(edges of each position; length, piece, weight of each edge), by position, the longest first; no edge leaves its word.
+
+    place: where the positions are among the points, of which total and inverse are the running hashes.
+    """
+    at, p, found, count = np.arange(len(place)), place, [], np.ones(len(place), np.int64)
+    own = points[place]
+    number = v.number[own]
     for size in range(1, v.longest + 1):
-        at = at[left[at] >= size] if size > 1 else at
+        if size > 1:
+            at = at[left[at] >= size]
+            p = place[at]
         if size == 1:
-            ids = v.ones[points[: len(left)]]
+            ids = v.ones[own]
         elif size == 2 and v.twos is not None:
-            ids = v.twos[number[at], number[at + 1]]
+            ids = v.twos[number[at], v.number[points[p + 1]]]
         else:
-            ids = v.find(mix((total[at + size] - total[at]) * inverse[at] + np.uint64(size)))
+            ids = v.find(mix((total[p + size] - total[p]) * inverse[p] + np.uint64(size)))
         if size == 1:  # characters without a piece become bytes
-            found.append((at, np.where(ids < 0, ~points[at].astype(np.int32), ids)))
+            found.append((at, np.where(ids < 0, ~own.astype(np.int32), ids)))
         else:
             found.append((at[ids >= 0], ids[ids >= 0]))
             count[found[-1][0]] += 1
@@ -277,8 +305,8 @@ def _edges(points: np.ndarray, left: np.ndarray, v: Vocabulary) -> tuple[np.ndar
     return count, length, piece, weight
 
 
-def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """The log-probability and the probability of each edge, given its position, from backward sums.
+def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longest: int) -> np.ndarray:
+    """The probability of each edge, given its position, from backward sums.
 
     Sums run within stretches that no edge leaves, so what follows a stretch cancels out.
     """
@@ -287,7 +315,7 @@ def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longes
     cut = np.flatnonzero(np.append(True, reach[:-1] <= np.arange(1, n)))
     size = np.diff(np.append(cut, n))
     far = np.repeat(np.append(cut[1:], n), size) - np.arange(n)  # to the end of the stretch
-    log, share, beta = np.empty(len(weight)), np.empty(len(weight)), np.zeros(n + longest + 1)
+    share, beta = np.empty(len(weight)), np.zeros(n + longest + 1)
     order = np.argsort(far, kind="stable")
     order = order[: np.searchsorted(far[order], STRETCH, "right")]
     many = count[order]
@@ -308,11 +336,9 @@ def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longes
     done = order[: bound[near - 1]] if near > 1 else order[:0]
     if len(done) and not (1e-250 < sums[done].min() and sums[done].max() < 1e250):
         done, near = done[:0], 1
-    beta[done] = np.log(sums[done]) - FACTOR * far[done]
-    e = edges[: first[len(done)]]
-    share[e] = mass[: len(e)]
-    with np.errstate(divide="ignore"):
-        log[e] = np.log(mass[: len(e)])
+    if len(done) < n:
+        beta[done] = np.log(sums[done]) - FACTOR * far[done]
+    share[edges[: first[len(done)]]] = mass[: first[len(done)]]
     for d in range(near, len(bound)):
         lo, hi = bound[d - 1], bound[d]
         if lo < hi:
@@ -320,8 +346,7 @@ def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longes
             x = w[e] + np.where(step[e] == d, 0.0, beta[to[e]])
             top = np.maximum.reduceat(x, starts)
             beta[order[lo:hi]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, many[lo:hi])), starts))
-            log[edges[e]] = x - np.repeat(beta[order[lo:hi]], many[lo:hi])
-            share[edges[e]] = np.exp(log[edges[e]])
+            share[edges[e]] = np.exp(x - np.repeat(beta[order[lo:hi]], many[lo:hi]))
     for a, b in zip(cut[size > STRETCH].tolist(), (cut + size)[size > STRETCH].tolist(), strict=True):
         for hi in range(b - STRETCH, a, -SLICE):
             lo = max(a, hi - SLICE)
@@ -333,9 +358,8 @@ def _conditional(ptr: np.ndarray, length: np.ndarray, weight: np.ndarray, longes
                 sums[p] = top + math.log(sum([math.exp(y - top) for y in x]))
             beta[lo:hi] = sums[: hi - lo]
             at = np.repeat(np.arange(lo, hi), count[lo:hi])
-            log[e0:e1] = weight[e0:e1] + beta[at + length[e0:e1]] - beta[at]
-            share[e0:e1] = np.exp(log[e0:e1])
-    return log, share
+            share[e0:e1] = np.exp(weight[e0:e1] + beta[at + length[e0:e1]] - beta[at])
+    return share
 
 
 def _uniform(seed: np.ndarray, sample: int, at: np.ndarray) -> np.ndarray:
@@ -409,7 +433,7 @@ class Paths:
         doc, self.node, self.edge, self.at = drawn
         self.value, self.free, self.barred = value, free, barred
         self.ptr = np.searchsorted(doc, np.arange(len(value) + 1))
-        edge = lat.log[self.edge]
+        edge = np.log(lat.share[self.edge])
         total = np.concatenate([[0.0], np.cumsum(edge)])
         before = total[:-1] - total[self.ptr[:-1]][doc]
         self.log, full = np.zeros(len(value)), np.diff(self.ptr) > 0
@@ -537,10 +561,8 @@ def sample_encodings(
 
     def some(batch: pa.RecordBatch, lat: Lattice) -> Iterator[pa.RecordBatch]:
         texts = batch.column(1).to_pylist()
-        found = list(map(split_words, texts))
-        doc = np.repeat(np.arange(len(texts)), np.fromiter(map(len, found), np.int64, len(found)))
-        words = lat.rows([w for x in found for w in x])
-        del found
+        *words, doc = split(texts)
+        words = lat.rows(*words)
         want = [t.replace(_SPACE, " ").encode() for t in texts] if digest else []
         samples, kappa = sample_paths(lat, words, doc, _seeds(batch.column(0), seed), k)
         for n, p in enumerate(samples, 1):
@@ -571,8 +593,7 @@ def sample_encodings(
         for batch in batches:
             for lo, hi in chunks(utf8(batch.column(1))[1], TEXT):
                 yield from some(batch.slice(lo, hi - lo), lat)
-                if len(lat.left) > KEPT:
-                    lat = Lattice(v)
+                lat.forget()
         tidy()
 
     return narrow.mapInArrow(run, f"`{id_col}` {kind}, sample int, n_tokens long, log_prob double, inclusion double, {value}" + (f", `{decode_to}` string" if decode_to else ""))

@@ -148,7 +148,8 @@ def test_sampling_against_enumeration():
     lat = S.Lattice(v)
     seeds = np.arange(n, dtype=np.uint64) * np.uint64(7919) + np.uint64(3)
     first, estimate = collections.Counter(), collections.Counter()
-    paths, kappa = S.sample_paths(lat, lat.rows([w[1:] for w in words] * n), np.repeat(np.arange(n), 2), seeds, k)
+    *parts, doc = S.split([" ".join(w[1:] for w in words)] * n)
+    paths, kappa = S.sample_paths(lat, lat.rows(*parts), doc, seeds, k)
     listed = [lat.ids(p.edge, p.ptr) for p in paths]
     for i in range(n):
         ids = [tuple(x[at[i] : at[i + 1]].tolist()) for x, at in listed]
@@ -185,9 +186,9 @@ def test_long_words_have_the_same_lattice(monkeypatch, text):
         monkeypatch.setattr(S, "WORD", limit)
         monkeypatch.setattr(S, "SLICE", 1 << 16 if limit > 8 else 1000)
         lat = S.Lattice(v)
-        words = lat.rows(S.split_words(text))
-        paths, _ = S.sample_paths(lat, words, np.zeros(len(words), np.int64), np.array([5], np.uint64), 3)
-        got.append((lat.log, [p.edge for p in paths]))
+        *words, doc = S.split([text])
+        paths, _ = S.sample_paths(lat, lat.rows(*words), doc, np.array([5], np.uint64), 3)
+        got.append((np.log(lat.share), [p.edge for p in paths]))
     assert np.allclose(got[0][0], got[1][0], atol=1e-9) and all(np.array_equal(a, b) for a, b in zip(got[0][1], got[1][1], strict=True))
 
 
@@ -198,7 +199,8 @@ def test_long_texts_without_spaces_stay_in_bounds():
     rng = np.random.default_rng(1)
     for text in ("".join(map(chr, rng.integers(48, 123, 1_000_000))), "a" * 200_000):
         lat = S.Lattice(v)
-        paths, _ = S.sample_paths(lat, lat.rows([text]), np.zeros(1, np.int64), np.array([5], np.uint64), 3)
+        *words, doc = S.split([text])
+        paths, _ = S.sample_paths(lat, lat.rows(*words), doc, np.array([5], np.uint64), 3)
         for p in paths:
             assert bytes(v.joined(*lat.ids(p.edge, p.ptr))[0]).decode() == " " + text
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600_000  # 600 bytes a character
