@@ -259,6 +259,28 @@ def test_nearest_by_inner_product(spark):
     assert top_inner_products(spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")).count() == 1
 
 
+@pytest.mark.parametrize("size", [1e4, 1e6, 1e7])
+def test_large_components_and_several_vectors_of_an_id(spark, size):
+    rng = np.random.default_rng(6)
+    rows = [(int(i), [float(x) for x in rng.normal(0, size / 8, 4)]) for i in rng.integers(0, 60, 400)]
+    rows += [(0, [size, 1.0]), (1, [size, 2.0]), (50, [1.0])]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, score string")
+    whole = [(i, [math.floor(256 * x) for x in v] + [0] * (4 - len(v))) for i, v in rows]
+    want = set()
+    for q in {i for i, _ in rows if i % 50 == 0}:
+        best = {}
+        for i, x in whole:
+            for j, y in whole:
+                if i == q != j:
+                    score = sum(a * b for a, b in zip(x, y, strict=True))
+                    best[j] = max(best.get(j, score), score)
+        want |= {(q, n, j, s) for n, (j, s) in enumerate(sorted(best.items(), key=lambda e: (-e[1], e[0]))[:5], 1)}
+    for sizes in ({}, {"pivots": 7, "query_block": 3, "data_block": 20}):
+        assert {tuple(r) for r in top_inner_products(df, **sizes).collect()} == want
+    with pytest.raises(ValueError, match="64 bits"):
+        top_inner_products(spark.createDataFrame([(0, [1e8 * size, 1.0])], "vec_id long, embedding array<double>"))
+
+
 def test_main_text(spark):
     page = '<html><head><title>t</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice"><p>We use cookies.</p></div><article><h1>A &amp; B</h1><p>First  <b>bold</b>er&nbsp;text, with enough words to be prose.<br><p>Second paragraph,\n more words follow here.</article><section id="comments"><p>nice, thanks</p></section><footer>&copy; x</footer>'
     rows = [(1, "u", page), (2, None, None), (3, "u", ""), (4, "u", "<nav>only <a href=x>links</a></nav>"), (5, "u", "<a title='x>broken " * 50)]
