@@ -1,15 +1,20 @@
 """Exact substring dedup by a depth-limited radix sort of suffixes.
 
 Suffixes are told apart only through their first `width` bytes, by most-significant-digit passes over
-ever longer keys; suffixes that are still equal then are exactly the repeated windows.
+consecutive bytes; those that are still equal then are exactly the repeated windows. Only groups of two
+or more suffixes go on from pass to pass.
 
-Digit one: each window of `width` bytes is filed under the least hash among its `gram`-byte grams, a
+To shuffle every suffix would take many times the size of the corpus, so a sieve comes first, which no
+repeated window falls through: each window is filed under the least hash among its `gram`-byte grams, a
 key that equal windows share. Neighbouring windows share it too, so a text sends one row for each run
-of windows, about one for 40 bytes, instead of one for each suffix. Digit two: the hash of the run's
-bytes. Runs equal in both digits repeat as a whole. A run alone in its first digit repeats nothing.
-Only runs that share the first digit and differ in the second take the last pass, where each of
-their windows is compared by its own bytes: within the group of the first digit, or, if that is large,
-dealt out by the window.
+of windows, about one for 40 bytes. A run alone under its key repeats nothing; runs under one key that are
+equal (by a further hash of all their bytes) repeat as a whole; the suffixes of the other runs are sorted.
+
+A group of suffixes is sorted in one task: digits are the first 4 bytes, the next 16, then the rest, and
+what is equal is confirmed on the bytes. Suffixes of runs under a key of many (a passage that many texts
+share, with a different text before it in each) are never gathered: the tasks that read the texts send a
+row for each, dealt out by 128 bits of hash of the whole window.
+
 Equal keys of one Arrow batch are combined before any shuffle, and groups are streamed in sorted
 order, so a key that holds a large part of all rows needs no memory of its size.
 """
@@ -28,11 +33,17 @@ from pyspark.sql import functions as F
 from sedimenta.llm.store import Scratch
 from sedimenta.llm.textbytes import _BYTE, _P, _P_INV, chunks, mix, powers, utf8
 
-#: `width`, the grams' length, and the runs of one first digit that a task compares in its memory (at most 10 MB of text).
-WIDTH, GRAM, GROUP = 100, 20, 50_000
+#: `width`, the grams' length, and the runs under one key whose suffixes one task sorts at most.
+WIDTH, GRAM, GROUP = 100, 20, 512
+#: Leading bytes of the first digits; the last digit is the rest of the window.
+DIGITS = (4, 16)
+#: Keys of more than GROUP runs that are sent to all tasks at most; more are joined.
+BROADCAST = 200_000
 _KEYS = "k1 long, k2 long, id long, pos long"
 _NAMES = ["k1", "k2", "id", "pos"]
 _START, _LEN = 31, 8
+_Q = 0x9FB21C651E98DF25
+_Q_INV = pow(_Q, -1, 1 << 64)
 
 
 def _pack(tag: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -163,7 +174,7 @@ def _first_pass(texts: DataFrame, width: int, gram: int) -> DataFrame:
 
 
 def _open_runs(texts: DataFrame, width: int) -> DataFrame:
-    """(k1, id, pos, piece): the bytes of the runs that are listed in `open`."""
+    """(k1, id, pos, piece, many): the bytes of the runs that are listed in `open`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,84 +182,116 @@ def _open_runs(texts: DataFrame, width: int) -> DataFrame:
             rows: list[tuple] = []
             for i in range(batch.num_rows):
                 raw, listed = memoryview(batch.column(1)[i].as_buffer()), batch.column(2)[i].values
-                pos, k1 = np.asarray(listed.field("pos")), np.asarray(listed.field("k1"))
+                pos, k1, many = np.asarray(listed.field("pos")), np.asarray(listed.field("k1")), listed.field("many").to_pylist()
                 own, start, more = _unpack(pos)
                 for j in np.flatnonzero(own == tags[i]).tolist():
-                    rows.append((k1[j], ids[i], pos[j], raw[start[j] : start[j] + more[j] + width].tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], ["k1", "id", "pos", "piece"])
-
-    return texts.mapInArrow(run, "k1 long, id long, pos long, piece binary")
-
+                    rows.append((k1[j], ids[i], pos[j], raw[start[j] : start[j] + more[j] + width].tobytes(), many[j]))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], ["k1", "id", "pos", "piece", "many"])
+
+    return texts.mapInArrow(run, "k1 long, id long, pos long, piece binary, many boolean")
+
+
+class _Windows:
+    """Every window of some pieces, in order: key of its run, piece, text and start."""
+
+    def __init__(self, part: pa.Table, width: int):
+        part = part.combine_chunks()
+        pieces = part.column("piece").chunk(0)
+        at = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
+        self.data = np.frombuffer(pieces.buffers()[2], np.uint8)[at[0] : at[-1]]
+        at = at - at[0]
+        many = np.diff(at) - width + 1
+        self.row = np.repeat(np.arange(part.num_rows), many)
+        offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        tag, start, _ = _unpack(np.asarray(part.column("pos").chunk(0)))
+        self.at, self.width, self.offset = at[self.row] + offset, width, offset
+        self.k1, self.id = np.asarray(part.column("k1").chunk(0))[self.row], np.asarray(part.column("id").chunk(0))[self.row]
+        self.tag, self.start = tag[self.row], start[self.row] + offset
+
+    def hashes(self, at: np.ndarray, size: int, second: bool = False) -> np.ndarray:
+        """Of the `size` bytes from each place; `second`: an independent one."""
+        base, inverse = (_Q, _Q_INV) if second else (_P, _P_INV)
+        total = np.empty(len(self.data) + 1, np.uint64)
+        total[0] = 0
+        np.cumsum((_BYTE[::-1] if second else _BYTE)[self.data] * powers(base, len(self.data)), out=total[1:])
+        return mix((total[at + size] - total[at]) * powers(inverse, len(self.data) + 1)[at])
+
+    def digit(self, at: np.ndarray, size: int) -> list[np.ndarray]:
+        """The `size` bytes from each place as numbers in the order of the bytes, the most significant first."""
+        out = []
+        for lo in range(0, size, 8):
+            number = np.zeros(len(at), np.uint64)
+            for i in range(lo, min(lo + 8, size)):
+                number = number << np.uint64(8) | self.data[at + i]
+            out.append(number)
+        return out
+
+    def equal(self) -> tuple[np.ndarray, np.ndarray]:
+        """(window, group): the windows that occur at least twice under their key; in a group the first comes first."""
+        at, depth = np.arange(len(self.at)), 0
+        _, group = np.unique(self.k1, return_inverse=True)
+        for size in [d for d in DIGITS if sum(DIGITS) < self.width] + [0]:
+            place = self.at[at] + depth
+            keys = self.digit(place, size) if size else [self.hashes(place, self.width - depth)]
+            depth += size
+            order = np.lexsort((*keys[::-1], group))  # stable, so places stay in order within a group
+            at, group, keys = at[order], group[order], [k[order] for k in keys]
+            new = np.append(True, group[1:] != group[:-1])[: len(at)]
+            for k in keys:
+                new[1:] |= k[1:] != k[:-1]
+            group = np.cumsum(new) - 1
+            shared = np.bincount(group, minlength=1)[group] > 1 if len(group) else np.zeros(0, bool)
+            at, group = at[shared], group[shared]
+        for lo in range(0, len(at), 50_000):  # confirmed on the bytes of the first
+            part = slice(lo, lo + 50_000)
+            head = at[np.searchsorted(group, group[part])]
+            across = np.arange(self.width)
+            if (self.data[self.at[at[part]][:, None] + across] != self.data[self.at[head][:, None] + across]).any():
+                raise ValueError("two different windows have one 64-bit hash; choose another base")
+        return at, group
+
+
+def _of_hot_runs(open_runs: DataFrame, width: int) -> DataFrame:
+    """Keyed rows as of _first_pass, one for each window, keyed by two hashes of the window itself."""
 
-def _windows(part: pa.Table, width: int) -> tuple[np.ndarray, ...]:
-    """(k1, hash, row, id, tag, start) of every window of the pieces, in order."""
-    part = part.combine_chunks()
-    pieces = part.column("piece").chunk(0)
-    at = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
-    data = np.frombuffer(pieces.buffers()[2], np.uint8)[at[0] : at[-1]]
-    at = at - at[0]
-    total, inverse = _sums(data), powers(_P_INV, len(data) + 1)
-    many = np.diff(at) - width + 1
-    row = np.repeat(np.arange(part.num_rows), many)
-    offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    s = at[row] + offset
-    tag, start, _ = _unpack(np.asarray(part.column("pos").chunk(0)))
-    return np.asarray(part.column("k1").chunk(0))[row], mix((total[s + width] - total[s]) * inverse[s]).view(np.int64), row, np.asarray(part.column("id").chunk(0))[row], tag[row], start[row] + offset
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, 8192) for b in batches for i in range(0, b.num_rows, 8192)):
+            w = _Windows(pa.Table.from_batches([batch]), width)
+            yield _combined(w.hashes(w.at, width), w.hashes(w.at, width, True), w.id, _pack(w.tag, w.start, np.zeros(len(w.start), np.int64)))
 
+    return open_runs.mapInArrow(run, _KEYS)
 
-def _last_pass(open_runs: DataFrame, width: int, most: int = GROUP) -> DataFrame:
-    """Keyed rows as of _first_pass: repeats are found here in groups of up to `most` runs of one k1; of larger
-    groups every window goes on, keyed by its own bytes."""
 
-    def keyed(part: pa.Table) -> pa.RecordBatch:
-        k1, h, _, ids, tag, start = _windows(part, width)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (k1, h, ids, _pack(tag, start, np.zeros(len(start), np.int64)))], _NAMES)
+def _sorted_suffixes(open_runs: DataFrame, width: int) -> DataFrame:
+    """(id, pos): the ranges of windows that occur earlier under the key of their run; groups are of GROUP runs at most."""
 
     def solved(part: pa.Table) -> pa.RecordBatch:
-        k1, h, row, ids, tag, start = _windows(part, width)
-        order = np.lexsort((np.arange(len(h)), h, k1))
-        k1, h, row, ids, tag, start = (x[order] for x in (k1, h, row, ids, tag, start))
-        new = np.append(True, (k1[1:] != k1[:-1]) | (h[1:] != h[:-1]))[: len(h)]
-        head = np.flatnonzero(new)[np.cumsum(new) - 1]
-        again = (ids != ids[head]) | (tag != tag[head]) | (start != start[head])
-        row, ids, tag, start = row[again], ids[again], tag[again], start[again]
-        order = np.lexsort((start, row))
-        row, ids, tag, start = row[order], ids[order], tag[order], start[order]
+        w = _Windows(part, width)
+        at, group = w.equal()
+        head = at[np.searchsorted(group, group)]
+        again = at[(w.id[at] != w.id[head]) | (w.tag[at] != w.tag[head]) | (w.start[at] != w.start[head])]
+        again.sort()  # by piece and offset
+        row, start = w.row[again], w.start[again]
         first = np.append(True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1))[: len(row)]
         a = np.flatnonzero(first)
         more = np.append(a[1:], len(row))[: len(a)] - a - 1
-        none = pa.nulls(len(a), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, pa.array(ids[a]), pa.array(_pack(tag[a], start[a], more))], _NAMES)
+        return pa.RecordBatch.from_arrays([pa.array(w.id[again][a]), pa.array(_pack(w.tag[again][a], start[a], more))], ["id", "pos"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None  # rows of the open group
-        large = None  # the open group, if it is larger than `most`
         for batch in (b.slice(i, 8192) for b in batches for i in range(0, b.num_rows, 8192)):
             table = pa.Table.from_batches([batch])
-            k1 = np.asarray(batch.column(0))
-            if large is not None:
-                n = int(np.searchsorted(k1 != large, True)) if k1[-1] != large else len(k1)
-                if n:
-                    yield keyed(table.slice(0, n))
-                if n == len(k1):
-                    continue
-                large, table, k1 = None, table.slice(n), k1[n:]
-            if kept is not None:
-                table = pa.concat_tables([kept, table])
-                k1 = np.asarray(table.column("k1").combine_chunks())
-            cut = int(np.flatnonzero(k1 != k1[-1])[-1]) + 1 if k1[0] != k1[-1] else 0
+            table = table if kept is None else pa.concat_tables([kept, table])
+            k1 = np.asarray(table.column("k1").combine_chunks())
+            cut = int(np.flatnonzero(k1 != k1[-1])[-1]) + 1 if len(k1) and k1[0] != k1[-1] else 0
             if cut:
                 yield solved(table.slice(0, cut))
             kept = table.slice(cut)
-            if kept.num_rows > most:
-                large = k1[-1]
-                yield keyed(kept)
-                kept = None
         if kept is not None and kept.num_rows:
             yield solved(kept)
 
-    return open_runs.repartition("k1").sortWithinPartitions("k1", "id", "pos").mapInArrow(run, _KEYS)
+    return open_runs.repartition("k1").sortWithinPartitions("k1", "id", "pos").mapInArrow(run, "id long, pos long")
 
 
 def spans_of(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -264,16 +307,23 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     What is listed for a text (its runs, its spans) is bounded by its own length.
     """
+    if not 0 < gram <= width or width - gram >= 1 << _LEN:
+        raise ValueError(f"grams must be no longer than the width, and shorter by {(1 << _LEN) - 1} bytes at most")
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     named = texts.where("id IS NOT NULL")
     found = scratch.save(_sorted_groups(_first_pass(named, width, gram), True))
-    waiting = found.where("k1 IS NOT NULL").groupBy("id").agg(F.collect_list(F.struct("pos", "k1")).alias("open"))
+    waiting = found.where("k1 IS NOT NULL")
+    many = scratch.save(waiting.groupBy("k1").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("k1", F.lit(True).alias("many")))
+    few = many.count() <= BROADCAST
+    waiting = waiting.join(F.broadcast(many) if few else many, "k1", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    waiting = waiting.groupBy("id").agg(F.collect_list(F.struct("pos", "k1", "many")).alias("open"))
     # both joins read the texts dealt out by id, so that one exchange of the texts serves them
     opened = named.join(waiting, "id").select("id", "text", "open")
-    windows = _sorted_groups(_last_pass(_open_runs(opened, width), width), False)
-    again = found.where("k1 IS NULL").unionByName(windows)
+    runs = scratch.save(_open_runs(opened, width))
+    again = found.where("k1 IS NULL").select("id", "pos").unionByName(_sorted_suffixes(runs.where("NOT many"), width))
+    again = again.unionByName(_sorted_groups(_of_hot_runs(runs.where("many"), width), False).select("id", "pos"))
     spans = again.groupBy("id").agg(F.collect_list("pos").alias("spans"))
     nameless = texts.where("id IS NULL").withColumn("spans", F.lit(None).cast("array<long>"))
     return named.join(spans, "id", "left").unionByName(nameless)

@@ -69,13 +69,37 @@ def repeats():
 
 @pytest.mark.parametrize("group", [1, 50_000])
 def test_repeats_against_brute_force(spark, monkeypatch, group):
-    passes = suffix_dedup._last_pass
-    monkeypatch.setattr(suffix_dedup, "_last_pass", lambda runs, width: passes(runs, width, group))
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
     rows = repeats()
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA + ", spans string")
     assert {r[0]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(df, width=20, gram=6).collect()} == without_repeats(rows, 20)
 
 
+@pytest.mark.parametrize("group", [1, 20, 512])
+def test_repeats_at_full_width(spark, monkeypatch, group):
+    """Passages of more and less than 100 bytes in common, in texts of up to 40,000 bytes, and periodic texts."""
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghé") for _ in range(rng.randint(1, 9)))
+    passages = [" ".join(word() for _ in range(n)) for n in (12, 18, 25, 60, 200)]
+    rows = []
+    for i in range(80):
+        parts = [word() for _ in range(rng.randint(0, 120))]
+        for _ in range(rng.randint(0, 3)):
+            parts.insert(rng.randint(0, len(parts)), rng.choice(passages))
+        rows.append((i, " ".join(parts)))
+    rows += [(100, "ab" * 300), (101, "x" * 99), (102, "x" * 100), (103, "x" * 101), (104, " ".join(word() for _ in range(6_000)) + passages[3]), (105, None), (106, rows[3][1])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {r[0]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(df).collect()} == without_repeats(rows, 100)
+
+
+def test_lengths_that_dont_fit_are_refused(spark):
+    df = spark.createDataFrame([(1, "a")], SCHEMA)
+    for width, gram in ((400, 20), (100, 101), (100, 0)):
+        with pytest.raises(ValueError, match="grams"):
+            suffix_dedup.remove_repeats(df, width=width, gram=gram)
+
+
 def test_repeats_of_odd_rows(spark):
     text = "the quick brown fox jumps over the lazy dog again and again"
     df = spark.createDataFrame([(3, text), (3, text), (9, text), (None, text), (1, "short")], SCHEMA)
