@@ -1,7 +1,8 @@
 """Where intermediate results of the iterative operators live.
 
 They are written to the shared folder named by spark.checkpoint.dir, which survives the loss of
-any executor, and read back, which also cuts lineage.
+any executor, and read back, which also cuts lineage. clean() deletes them once what was made of
+them is written.
 """
 
 from __future__ import annotations
@@ -13,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset, as in tests, a new local folder."""
+    """spark.checkpoint.dir of the session; where it is unset and Spark runs on this machine alone, as in tests, a new local folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="sedimenta-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -24,19 +28,30 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """A folder of Parquet tables of one operator run."""
 
+    open: list[Scratch] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        Scratch.open.append(self)
 
     def save(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
         """Write df once and return what was written."""
         self.n += 1
         path = f"{self.root}/{self.n}"
         df.write.option("compression", codec).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch_path = path
+        return out
 
     def drop(self, df: DataFrame | None = None) -> None:
-        """Delete one table, or the whole folder."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0].rsplit("/", 1)[0] if df is not None and df.inputFiles() else self.root)
-        if df is None or df.inputFiles():
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        """Delete one table that save() returned, or the whole folder."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root if df is None else df._scratch_path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clean(spark: SparkSession, keep: Scratch | None = None) -> None:
+    """Delete the tables of all operator runs of this session so far but `keep`; their results must have been written."""
+    for scratch in [s for s in Scratch.open if s.spark is spark and s is not keep]:
+        scratch.drop()
+        Scratch.open.remove(scratch)

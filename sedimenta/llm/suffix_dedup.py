@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from sedimenta.llm.store import Scratch
 from sedimenta.llm.textbytes import _BYTE, _P, _P_INV, chunks, mix, powers, utf8
 
-#: `width`, the grams' length, and the runs under one key whose suffixes one task sorts at most.
-WIDTH, GRAM, GROUP = 100, 20, 512
+#: `width`, the grams' length, and the runs under one key whose suffixes one task sorts at most (3 MB of text, 130 MB as it sorts them).
+WIDTH, GRAM, GROUP = 100, 20, 16_384
 #: Leading bytes of the first digits; the last digit is the rest of the window.
 DIGITS = (4, 16)
 #: Keys of more than GROUP runs that are sent to all tasks at most; more are joined.
