@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.textbytes import shingle_sets, slim_batches
+from sedimenta.llm.textbytes import lean, shingle_sets, slim_batches
 
 #: Shingle hashes of items held by a worker at once: 8 MB; further items take further passes.
 BLOCK = 1 << 20
@@ -44,7 +44,7 @@ def item_sets(items: DataFrame, item_id: str = "item_id", text: str = "text", k:
 
     kind = items.schema[item_id].dataType.simpleString()
     found = items.select(F.col(item_id).alias("item"), F.col(text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    found = found.mapInArrow(run, f"item {kind}, hashes array<long>").where("size(hashes) > 0")
+    found = found.mapInArrow(lean(run), f"item {kind}, hashes array<long>").where("size(hashes) > 0")
     return found.groupBy("item").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hashes")))).alias("hashes"))
 
 
@@ -148,7 +148,7 @@ def contained_items(
                         columns = [batch.column(0).take(pa.array(r + lo)), names.take(pa.array(i)), pa.array(n, pa.int64()), pa.array(sizes[i], pa.int64())]
                         yield pa.RecordBatch.from_arrays(columns, [doc_id, item_id, "n_shared", "n_item"])
 
-        out = narrow.mapInArrow(run, schema)
+        out = narrow.mapInArrow(lean(run), schema)
         found = out if found is None else found.unionByName(out)
     if found is None:
         found = spark.createDataFrame([], schema)
@@ -183,5 +183,5 @@ def decontaminate(
                     clean[[lo + r for r, _, _ in _hits(h, at, lookup)]] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs

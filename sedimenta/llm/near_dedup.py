@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.components import connected, roots
 from sedimenta.llm.store import Scratch
-from sedimenta.llm.textbytes import distinct, mix, shingle_sets, shingles, slim_batches, utf8, word_hashes
+from sedimenta.llm.textbytes import distinct, lean, mix, shingle_sets, shingles, slim_batches, utf8, word_hashes
 
 BANDS, ROWS = 32, 4
 #: Members of a bucket that is compared pair by pair at most; texts of a block of a larger one, and columns of a matrix product.
@@ -63,7 +63,7 @@ def features(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n", "h1", "h2", "sig"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, n long, h1 long, h2 long, sig binary")
+    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(lean(run), f"id {kind}, n long, h1 long, h2 long, sig binary")
 
 
 def least_matches(n: int, threshold: float, miss: float) -> int:
@@ -94,7 +94,7 @@ def _plausible(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: float)
 
     kind = pairs.schema["a"].dataType.simpleString()
     left, right = (sigs.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(lean(run), f"a {kind}, b {kind}")
 
 
 def _sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +120,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFra
 
     kind = pairs.schema["a"].dataType.simpleString()
     left, right = (texts.select(F.col("rep").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(lean(run), f"a {kind}, b {kind}")
 
 
 def block_links(h: np.ndarray, row: np.ndarray, n: int, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.textbytes import chunks, mix, powers, tidy, utf8
+from sedimenta.llm.textbytes import chunks, lean, mix, powers, utf8
 
 _SPACE = "▁"
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), 0x165667B19E3779F9
@@ -594,9 +594,8 @@ def sample_encodings(
             for lo, hi in chunks(utf8(batch.column(1))[1], TEXT):
                 yield from some(batch.slice(lo, hi - lo), lat)
                 lat.forget()
-        tidy()
 
-    return narrow.mapInArrow(run, f"`{id_col}` {kind}, sample int, n_tokens long, log_prob double, inclusion double, {value}" + (f", `{decode_to}` string" if decode_to else ""))
+    return narrow.mapInArrow(lean(run), f"`{id_col}` {kind}, sample int, n_tokens long, log_prob double, inclusion double, {value}" + (f", `{decode_to}` string" if decode_to else ""))
 
 
 def decode_ids(df: DataFrame, tokenizer: str, ids_col: str = "ids", to: str = "text") -> DataFrame:
@@ -619,4 +618,4 @@ def decode_ids(df: DataFrame, tokenizer: str, ids_col: str = "ids", to: str = "t
                 texts.append(text[1:] if text and text[0] == " " else text)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
-    return rest.mapInArrow(run, rest.withColumn(to, F.lit("")).schema)
+    return rest.mapInArrow(lean(run), rest.withColumn(to, F.lit("")).schema)

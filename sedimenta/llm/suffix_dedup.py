@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.store import Scratch
-from sedimenta.llm.textbytes import _BYTE, _P, _P_INV, chunks, mix, powers, utf8
+from sedimenta.llm.textbytes import _BYTE, _P, _P_INV, chunks, lean, mix, powers, utf8
 
 #: `width`, the grams' length, and the runs under one key whose suffixes one task sorts at most (3 MB of text, 130 MB as it sorts them).
 WIDTH, GRAM, GROUP = 100, 20, 16_384
@@ -155,7 +155,7 @@ def _sorted_groups(keyed: DataFrame, pending: bool) -> DataFrame:
 
     spread = F.coalesce("k1", F.xxhash64("id", "pos"))
     dealt = keyed.repartition(spread).sortWithinPartitions("k1", "k2", "id", "pos")
-    return dealt.mapInArrow(run, "id long, pos long, k1 long")
+    return dealt.mapInArrow(lean(run), "id long, pos long, k1 long")
 
 
 def _first_pass(texts: DataFrame, width: int, gram: int) -> DataFrame:
@@ -170,7 +170,7 @@ def _first_pass(texts: DataFrame, width: int, gram: int) -> DataFrame:
                 parts.append((k1, k2, ids[lo + row], _pack(tags[lo + row], start, size - width)))
             yield _combined(*(np.concatenate(x) for x in zip(*parts, strict=True))) if parts else _combined(*(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64)))
 
-    return texts.mapInArrow(run, _KEYS)
+    return texts.mapInArrow(lean(run), _KEYS)
 
 
 def _open_runs(texts: DataFrame, width: int) -> DataFrame:
@@ -189,7 +189,7 @@ def _open_runs(texts: DataFrame, width: int) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], ["k1", "id", "pos", "piece", "many"])
 
-    return texts.mapInArrow(run, "k1 long, id long, pos long, piece binary, many boolean")
+    return texts.mapInArrow(lean(run), "k1 long, id long, pos long, piece binary, many boolean")
 
 
 class _Windows:
@@ -260,7 +260,7 @@ def _of_hot_runs(open_runs: DataFrame, width: int) -> DataFrame:
             w = _Windows(pa.Table.from_batches([batch]), width)
             yield _combined(w.hashes(w.at, width), w.hashes(w.at, width, True), w.id, _pack(w.tag, w.start, np.zeros(len(w.start), np.int64)))
 
-    return open_runs.mapInArrow(run, _KEYS)
+    return open_runs.mapInArrow(lean(run), _KEYS)
 
 
 def _sorted_suffixes(open_runs: DataFrame, width: int) -> DataFrame:
@@ -291,7 +291,7 @@ def _sorted_suffixes(open_runs: DataFrame, width: int) -> DataFrame:
         if kept is not None and kept.num_rows:
             yield solved(kept)
 
-    return open_runs.repartition("k1").sortWithinPartitions("k1", "id", "pos").mapInArrow(run, "id long, pos long")
+    return open_runs.repartition("k1").sortWithinPartitions("k1", "id", "pos").mapInArrow(lean(run), "id long, pos long")
 
 
 def spans_of(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -360,4 +360,4 @@ def remove_repeats(
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds))], names)
 
     schema = f"`{doc_id}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return repeated_spans(docs, doc_id, text, width, gram).select("id", "text", "spans").mapInArrow(run, schema)
+    return repeated_spans(docs, doc_id, text, width, gram).select("id", "text", "spans").mapInArrow(lean(run), schema)

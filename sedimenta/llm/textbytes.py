@@ -6,7 +6,8 @@ hashed with a fixed number of numpy passes instead of a Python loop over words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +65,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def chunks(offsets: np.ndarray, most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def chunks(offsets: np.ndarray, most: int = 500_000) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `most` bytes; a longer text is a range of its own."""
     n, lo = len(offsets) - 1, 0
     while lo < n:
@@ -138,7 +139,7 @@ def distinct(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[keep], row[keep]
 
 
-def shingle_sets(column: pa.Array, k: int = 5, most: int = 2_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def shingle_sets(column: pa.Array, k: int = 5, most: int = 500_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, hashes, offsets) of each chunk: the sorted shingle set of row i is hashes[offsets[i]:offsets[i+1]]."""
     data, offsets = utf8(column)
     for lo, hi in chunks(offsets, most):
@@ -156,5 +157,18 @@ def slim_batches(batch: pa.RecordBatch, text: str, most: int = 16_000_000) -> It
 
 
 def tidy() -> None:
-    """Give freed Arrow memory of this worker back, for the tasks that use the machine next."""
+    """Give the freed memory of this worker back to the machine, for the tasks that come next."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function of a task's batches, tidied up after."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        tidy()
+
+    return wrapped

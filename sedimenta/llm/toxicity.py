@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from sedimenta.llm.store import Scratch
-from sedimenta.llm.textbytes import shingle_sets
+from sedimenta.llm.textbytes import lean, shingle_sets
 
 #: Labelled texts that the model is fitted on at most (those of the least hash), terms kept at most, tokens cached in a worker.
 SAMPLE, TERMS, CACHE = 12_000, 512, 1 << 18
@@ -200,7 +200,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
     named = named.groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("double").alias("label"))
     named = named.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     found = docs.select(F.col(doc_id).alias("__id"), F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(named), "__id").select("__id", "text", "label")
-    found = found.mapInArrow(run, f"__id {id_kind}, text string, label double, least long")
+    found = found.mapInArrow(lean(run), f"__id {id_kind}, text string, label double, least long")
     first = found.groupBy("least").agg(F.min_by(F.struct("text", "label"), F.struct("__id", "text")).alias("first"))
     return Scratch(docs.sparkSession, "toxicity").save(first.select("first.text", "first.label"))
 
@@ -230,7 +230,7 @@ def learn_lexicon(train: DataFrame, terms: int = TERMS, least_odds: float = 1.8,
     if not size.bad or not size.good:
         return [(t, False, 1.0) for t in BASE_LEXICON]
     odds = F.log((F.col("bad") + 0.5) / (size.bad + 1) / ((F.col("good") + 0.5) / (size.good + 1)))
-    counted = train.mapInArrow(run, "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counted = train.mapInArrow(lean(run), "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     # 2 * sum of observed * log(observed / expected) over the four cells of (term, class)
     every = size.bad + size.good
     seen = F.col("bad") + F.col("good")
@@ -266,7 +266,7 @@ def with_features(df: DataFrame, text: str, lexicon: list[tuple[str, bool, float
             f = [text_features(x.as_py() or "", known) for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(f, pa.list_(pa.float64()))], names)
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("__f", ArrayType(DoubleType()))]))
+    return df.mapInArrow(lean(run), StructType([*df.schema.fields, StructField("__f", ArrayType(DoubleType()))]))
 
 
 class ToxicityModel:
