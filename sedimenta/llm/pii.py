@@ -6,16 +6,18 @@ one in every text (coreference), and it keeps the entity's type, format, script
 
 - phone, card, account and IPv4 numbers go through a keyed Feistel permutation of their digits (of
   the address's halves), within their own separators. A permutation gives different numbers different
-  surrogates. Country codes stay; a valid card number stays valid and an invalid one invalid.
+  surrogates. The country code of a phone number is told from its digits and stays, as does a trunk zero;
+  what follows is permuted, so all formats of a number keep one surrogate. A valid card number or IBAN
+  stays valid and an invalid one invalid; letters of an IBAN's bank code are permuted too.
 - names keep the forms of address and particles, take first names of the same gender and script, and a
   family name spelled from syllables of that script; initials go through a keyed cycle of the alphabet;
-  case is kept, and parts of a name map alike in every mention.
-- mail addresses get a new mailbox in their script under a reserved domain; hexadecimal secrets get
-  hexadecimal digits of equal length and case.
+  case is kept, and parts of a name map alike in every mention. Parts of a text's names that occur again
+  in that text, alone and capitalised, are replaced too.
+- mail addresses get a new mailbox in their script under a reserved domain; hexadecimal secrets and
+  access tokens get characters of the same classes at the same places, after the same prefix.
 
-Names, mailboxes and secrets come from hashes, so their surrogates are checked: all distinct entities
-are grouped by surrogate over the whole corpus, and all but the first of a shared surrogate are keyed
-anew until none is shared, or equals an entity that really occurs.
+All surrogates are checked: all distinct entities are grouped by surrogate over the whole corpus, and all
+but the first of a shared surrogate are keyed anew until none is shared, or equals an entity that really occurs.
 """
 
 from __future__ import annotations
@@ -29,24 +31,34 @@ from pyspark.sql import functions as F
 from sedimenta.llm.store import Scratch
 
 # Forms of address by gender, first names by gender and script, syllables by script.
-MALE_TITLES = ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Don", "Sr", "Г-н", "Господин")
-FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Doña", "Sra", "Г-жа", "Госпожа")
+MALE_TITLES = ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Don", "Sr", "Г-н", "Господин", "Κύριος", "Κ", "Պարոն")
+FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Doña", "Sra", "Г-жа", "Госпожа", "Κυρία", "Κα", "Տիկին")
 NEUTRAL_TITLES = ("Dr", "Prof", "Professor")
 FIRST_NAMES = {
     ("latin", "m"): "Adam Alan Bruno Carl Daniel David Emil Felix George Hugo Ivan Jacob James John Julian Leo Louis Lucas Mark Martin Max Michael Nils Oscar Pablo Paul Peter Robert Simon Thomas Victor William".split(),
     ("latin", "f"): "Ada Alice Amelia Anna Bella Carla Clara Diana Elena Ella Emma Eva Flora Grace Helen Ida Irene Jane Julia Laura Lena Linda Lucia Maria Mary Nina Nora Olivia Rosa Sarah Sofia Vera".split(),
+    ("greek", "m"): "Αλέξανδρος Ανδρέας Γιώργος Δημήτρης Ιωάννης Κώστας Μιχάλης Νίκος Παύλος Πέτρος Σταύρος Χρήστος".split(),
+    ("greek", "f"): "Αγγελική Άννα Βασιλική Δέσποινα Ειρήνη Ελένη Κατερίνα Μαρία Νίκη Σοφία Χριστίνα Ζωή".split(),
+    ("armenian", "m"): "Արամ Արմեն Գագիկ Դավիթ Հակոբ Կարեն Սամվել Վահան".split(),
+    ("armenian", "f"): "Անահիտ Աննա Գայանե Լուսինե Կարինե Մարիամ Նարե Սոնա".split(),
     ("cyrillic", "m"): "Алексей Андрей Борис Виктор Глеб Денис Егор Иван Игорь Кирилл Лев Максим Никита Олег Павел Роман".split(),
     ("cyrillic", "f"): "Алина Анна Вера Галина Дарья Елена Ирина Ксения Лидия Мария Нина Ольга Полина Раиса Софья Татьяна".split(),
 }
 SYLLABLES = {
     "latin": "ba be bi bo bu da de di do du fa fe fi fo ga ge go ha he ho ka ke ki ko la le li lo lu ma me mi mo mu na ne ni no ra re ri ro ru sa se si so ta te ti to tu va ve vi vo wa we wi ya yo za ze zi zo".split(),
+    "greek": "βα βε βο γα γε γο δα δε δο θα θε κα κε κι κο λα λε λι λο μα με μι μο να νε νι νο πα πε πο ρα ρε ρι ρο σα σε σο τα τε τι το φα φο χα χο".split(),
+    "armenian": "բա բե բո գա գե գո դա դե զա կա կե կի կո լա լե լի լո մա մե մի մո նա նե նի նո պա պե սա սե սի սո տա տե վա վե".split(),
     "cyrillic": "ба бе бо ва ве ви во га го да де до за зи ка ке ко ла ле ли ло ма ме ми мо на не ни но па пе по ра ре ри ро са се си со та те ти то фа фе фо ха хо ча".split(),
 }
 
 #: Lower-case parts of a name, kept as they are.
 PARTICLES = "von van der den de del della di da dos du la le ter ten zu zur bin ibn al el y".split()
 #: Capitals that initials may be; each row is permuted in itself.
-CAPITALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŁŠŽ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ")
+CAPITALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŁŠŽ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", "ԱԲԳԴԵԶԷԸԹԺԻԼԽԾԿՀՁՂՃՄՅՆՇՈՉՊՋՌՍՎՏՐՑՓՔ")
+#: Country calling codes: of one digit, of two, else of three.
+CALLING_CODE = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+#: Prefixes of access tokens, which stay.
+TOKEN = r"(?:AKIA|ASIA|AIza|gh[pousr]_|xox[abprs]-|glpat-|(?:sk|pk|rk)[-_](?:live_|test_|proj-)?|eyJ)"
 
 
 def _any_of(words: Iterable[str]) -> str:
@@ -69,15 +81,16 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,5}\)[ .\-]?)?\d{2,5}(?:[ .\-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\p{L}\p{N}])",
+    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,5}\)[ .\-]?)?\d{2,5}(?:[ .\-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}|(?:\(0\d{2,4}\)|0\d{2,4})[ /\-]\d{3,4}[ \-]?\d{3,4})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])",
     "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}([ \-])\d{4}\1\d{4}\1\d{4})(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "token": rf"(?<![\p{{L}}\p{{N}}_\-]){TOKEN}[A-Za-z0-9_\-]{{16,}}(?:\.[A-Za-z0-9_\-]+){{0,2}}(?![\p{{L}}\p{{N}}])",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![\p{L}\p{N}])",
     "name": _PERSON,
 }
 #: Without one of these characters or names, a text holds no entity; most texts need no more than this test.
-_HINT = rf"[@0-9]|[A-Fa-f]{{32}}|{_PERSON}"
+_HINT = rf"[@0-9]|[A-Fa-f]{{32}}|{TOKEN}[A-Za-z0-9_\-]{{16}}|{_PERSON}"
 _ANY = "|".join(PATTERNS.values())
 #: Family names that collided so often are spelled twice as long, so a corpus with more names than short spellings still settles.
 LONGER = 3
@@ -105,19 +118,28 @@ def canonical(entity: Column, kind: Column) -> Column:
     """What mentions of one entity share: digits of numbers, lower case of the rest, names without title."""
     digits = F.regexp_replace(entity, r"[^0-9]", "")
     return (
-        F.when(kind.isin("phone", "card", "ssn"), digits)
+        F.when(kind == "phone", F.substr(digits, F.length(_leading(entity)) + 1, F.length(digits)))
+        .when(kind.isin("card", "ssn"), digits)
         .when(kind == "name", F.lower(F.regexp_replace(entity, f"^(?:{_TITLE} )+", "")))
         .when(kind == "iban", F.regexp_replace(entity, " ", ""))
         .when(kind == "ip", F.array_join(F.transform(F.split(entity, r"\."), lambda x: x.cast("int").cast("string")), "."))
+        .when(kind == "token", entity)
         .otherwise(F.lower(entity))
     )
 
 
+def _leading(phone: Column) -> Column:
+    """The digits of a phone number that stay: country code and trunk zero."""
+    digits = F.regexp_replace(phone, r"[^0-9]", "")
+    code = F.when(phone.startswith("+"), F.regexp_extract(digits, CALLING_CODE, 1)).otherwise("")
+    return F.concat(code, F.when(F.substr(digits, F.length(code) + 1, F.lit(1)) == "0", "0").otherwise(""))
+
+
 def _power(n: Column) -> Column:
     return F.pow(F.lit(10.0), n).cast("long")
 
 
-def permuted(digits: Column, key: str) -> Column:
+def permuted(digits: Column, key: Column | str) -> Column:
     """Digits to as many digits by a keyed, unbalanced Feistel network: a permutation for each length."""
 
     def network(digits: Column, n: Column, left: Column) -> Column:
@@ -153,30 +175,32 @@ def _digits(c: Column) -> Column:
     return F.regexp_replace(c, r"[^0-9]", "")
 
 
-def _card(entity: Column, key: str) -> Column:
+def _card(entity: Column, key: Column) -> Column:
     def whole(digits: Column) -> Column:
         body, last = F.substr(digits, F.lit(1), F.length(digits) - 1), F.substr(digits, F.length(digits), F.lit(1)).cast("int")
-        return _let(permuted(body, key + "card"), lambda new: F.concat(new, F.pmod(_luhn(new) + last - _luhn(body), F.lit(10)).cast("string")))
+        return _let(permuted(body, key), lambda new: F.concat(new, F.pmod(_luhn(new) + last - _luhn(body), F.lit(10)).cast("string")))
 
     return _refill(entity, _let(_digits(entity), whole))
 
 
-def _phone(entity: Column, key: str) -> Column:
-    code = F.regexp_extract(entity, r"^(\+\d{1,3})[ .\-(]", 1)
-    return _let(code, lambda c: _let(F.substr(entity, F.length(c) + 1, F.length(entity)), lambda rest: F.concat(c, _refill(rest, permuted(_digits(rest), key + "phone")))))
+def _phone(entity: Column, key: Column) -> Column:
+    def whole(at: Column) -> Column:
+        return _refill(entity, F.concat(at["lead"], permuted(F.substr(at["digits"], F.length(at["lead"]) + 1, F.length(at["digits"])), key)))
 
+    return _let(F.struct(_leading(entity).alias("lead"), _digits(entity).alias("digits")), whole)
 
-def _plain_digits(entity: Column, key: str) -> Column:
+
+def _plain_digits(entity: Column, key: Column) -> Column:
     return _refill(entity, permuted(_digits(entity), key))
 
 
-def _ip(entity: Column, key: str) -> Column:
+def _ip(entity: Column, key: Column) -> Column:
     def network(octet: Column) -> Column:
         start = F.struct((octet[0] * 256 + octet[1]).alias("l"), (octet[2] * 256 + octet[3]).alias("r"))
 
         def turn(at: Column, i: Column) -> Column:
-            new_l = F.pmod(at["l"] + _number(key, "ip", i.cast("string"), at["r"].cast("string")), F.lit(65536))
-            return _let(new_l, lambda l: F.struct(l.alias("l"), F.pmod(at["r"] + _number(key, "ip2", i.cast("string"), l.cast("string")), F.lit(65536)).alias("r")))  # noqa: E741
+            new_l = F.pmod(at["l"] + _number(key, "l", i.cast("string"), at["r"].cast("string")), F.lit(65536))
+            return _let(new_l, lambda l: F.struct(l.alias("l"), F.pmod(at["r"] + _number(key, "r", i.cast("string"), l.cast("string")), F.lit(65536)).alias("r")))  # noqa: E741
 
         return F.aggregate(F.array(*[F.lit(i) for i in range(3)]), start, turn)
 
@@ -188,6 +212,11 @@ def _pick(words: list[str], number: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, words)), (F.pmod(number, F.lit(len(words))) + 1).cast("int"))
 
 
+def _other(words: list[str], number: Column, than: Column) -> Column:
+    """One of the words by number, but not the one that it stands for."""
+    return _let(_pick(words, number), lambda w: F.when(F.lower(w) == F.lower(than), _pick(words, number + 1)).otherwise(w))
+
+
 def _spelled(script: str, number: Column, syllables: int) -> Column:
     words = SYLLABLES[script]
     return _let(number, lambda x: F.concat(*[_pick(words, F.call_function("div", x, F.lit(len(words) ** i))) for i in range(syllables)]))
@@ -202,7 +231,9 @@ def _initials(part: Column, key: str) -> Column:
 def _name(entity: Column, key: str, attempt: Column) -> Column:
     title = F.regexp_extract(entity, f"^((?:{_TITLE} )*)", 1)
     bare = F.upper(F.regexp_replace(F.split(title, " ")[0], r"\.$", ""))
-    script = F.when(entity.rlike(r"\p{IsCyrillic} ?$|\p{IsCyrillic}{2}"), "cyrillic").otherwise("latin")
+    script = F.lit("latin")
+    for name in (n for n in SYLLABLES if n != "latin"):
+        script = F.when(entity.rlike(rf"\p{{Is{name.title()}}}[.]? ?$|\p{{Is{name.title()}}}{{2}}"), name).otherwise(script)
     known = {g: [x.lower() for (_, of), names in FIRST_NAMES.items() if of == g for x in names] for g in "mf"}
     titles = {g: [x.upper() for x in names] for g, names in (("m", MALE_TITLES), ("f", FEMALE_TITLES))}
 
@@ -218,12 +249,16 @@ def _name(entity: Column, key: str, attempt: Column) -> Column:
             number = _number(key, "given", F.lower(part))
 
             def new(s: str) -> tuple[Column, Column]:
-                given = F.when(who["female"], _pick(FIRST_NAMES[s, "f"], number)).otherwise(_pick(FIRST_NAMES[s, "m"], number))
+                given = F.when(who["female"], _other(FIRST_NAMES[s, "f"], number, part)).otherwise(_other(FIRST_NAMES[s, "m"], number, part))
                 spelled = [_spelled(s, _number(key, kind, F.lower(part), attempt.cast("string")), 4) for kind in ("family", "longer")]
                 return given, F.initcap(F.when(attempt < LONGER, spelled[0]).otherwise(F.concat(*spelled)))
 
-            latin, cyrillic = new("latin"), new("cyrillic")
-            pick = lambda n: F.when(who["script"] == "cyrillic", cyrillic[n]).otherwise(latin[n])
+            def pick(n: int) -> Column:
+                out = new("latin")[n]
+                for s in (x for x in SYLLABLES if x != "latin"):
+                    out = F.when(who["script"] == s, new(s)[n]).otherwise(out)
+                return out
+
             is_given = (i < F.size(who["parts"]) - 1) & ((i == 0) | F.lower(part).isin(known["m"] + known["f"]))
             cased = lambda new: F.when((F.upper(part) == part) & (F.length(part) > 1), F.upper(new)).otherwise(new)
             return F.when(part.isin(PARTICLES), part).when(part.rlike(r"^\p{Lu}(?:$|\.)"), _initials(part, key)).when(is_given, cased(pick(0))).otherwise(cased(pick(1)))
@@ -246,20 +281,61 @@ def _secret(entity: Column, key: str, attempt: Column) -> Column:
     return F.when(F.upper(entity) == entity, F.upper(new)).otherwise(new)
 
 
-def _iban(entity: Column, key: str) -> Column:
-    country = F.substring(entity, 1, 2)
-    return F.concat(country, _plain_digits(F.substr(entity, F.lit(3), F.length(entity)), key + "iban"))
+def _token(entity: Column, key: Column) -> Column:
+    """After the prefix, each character becomes one of its class; marks stay."""
+    prefix = F.regexp_extract(entity, f"^({TOKEN})", 1)
+    classes = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789")
+
+    def one(i: Column) -> Column:
+        c, number = F.substr(entity, i, F.lit(1)), _number(key, entity, i.cast("string"))
+        out = c
+        for row in classes:
+            out = F.when(F.instr(F.lit(row), c) > 0, F.substr(F.lit(row), (F.pmod(number, F.lit(len(row))) + 1).cast("int"), F.lit(1))).otherwise(out)
+        return out
+
+    return F.concat(prefix, F.array_join(F.transform(F.sequence(F.length(prefix) + 1, F.length(entity)), one), ""))
+
+
+def _mod_97(text: Column) -> Column:
+    """The remainder of the number that digits and letters (A is 10) spell."""
+
+    def turn(rest: Column, c: Column) -> Column:
+        number = F.instr(F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), c) - 1
+        return (rest * F.when(number > 9, 100).otherwise(10) + number) % 97
+
+    return F.aggregate(F.split(text, ""), F.lit(0), turn)
+
+
+def _iban(entity: Column, key: Column, secret: str) -> Column:
+    """Country and places of letters and digits stay; check digits are as right or wrong as they were."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    order = "".join(sorted(letters, key=lambda c: hashlib.sha256(f"{secret}\x1fiban\x1f{c}".encode()).digest()))
+    compact = F.regexp_replace(entity, " ", "")
+
+    def whole(at: Column) -> Column:
+        body = F.substr(at, F.lit(5), F.length(at))
+        new = F.translate(_refill(body, permuted(_digits(body), key)), order, order[1:] + order[0])
+        checks = lambda own: 98 - _mod_97(F.concat(own, F.substring(at, 1, 2), F.lit("00")))
+        return _let(new, lambda n: F.concat(F.lpad((F.pmod(checks(n) + F.substring(at, 3, 2).cast("int") - checks(body) - 2, F.lit(97)) + 2).cast("string"), 2, "0"), n))
+
+    def spaced(new: Column) -> Column:
+        pieces = F.split(F.regexp_replace(F.substr(entity, F.lit(3), F.length(entity)), r"[A-Z0-9]", "\x00"), "\x00", -1)
+        return F.concat(F.substring(entity, 1, 2), F.array_join(F.transform(pieces, lambda x, i: F.concat(x, F.substr(new, i + 1, F.lit(1)))), ""))
+
+    return _let(_let(compact, whole), spaced)
 
 
 def surrogate(entity: Column, kind: Column, key: str, attempt: Column) -> Column:
     """The entity's replacement; attempt counts the keys that collided before."""
+    again = lambda name: F.concat(F.lit(key + name), F.when(attempt > 0, attempt.cast("string")).otherwise(""))
     return (
         F.when(kind == "email", _email(entity, key, attempt))
-        .when(kind == "ip", _ip(entity, key))
-        .when(kind == "phone", _phone(entity, key))
-        .when(kind == "ssn", _plain_digits(entity, key + "ssn"))
-        .when(kind == "card", _card(entity, key))
-        .when(kind == "iban", _iban(entity, key))
+        .when(kind == "ip", _ip(entity, again("ip")))
+        .when(kind == "phone", _phone(entity, again("phone")))
+        .when(kind == "ssn", _plain_digits(entity, again("ssn")))
+        .when(kind == "card", _card(entity, again("card")))
+        .when(kind == "iban", _iban(entity, again("iban"), key))
+        .when(kind == "token", _token(entity, again("token")))
         .when(kind == "secret", _secret(entity, key, attempt))
         .when(kind == "name", _name(entity, key, attempt))
     )
@@ -273,28 +349,57 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
     return named.groupBy("kind", "id").agg(F.min("entity").alias("entity"))
 
 
-#: Kinds whose surrogates are hashes and may collide; the others are permutations.
-_HASHED = ("email", "secret", "name")
-#: Entities that were keyed anew: up to so many are put into the rewriting expression by broadcast.
-OVERRIDES = 50_000
+#: Entities that were keyed anew: up to so many ride with each row, of which all are looked through for each entity; more are joined.
+OVERRIDES = 2_000
+#: Rounds of the collision check; each leaves a small part of the last one's collisions.
+ROUNDS = 100
 
 
-def collisions(scratch: Scratch, docs: DataFrame, text: str, key: str, rounds: int = 16) -> DataFrame:
+def collisions(scratch: Scratch, docs: DataFrame, text: str, key: str) -> DataFrame:
     """(kind, id, attempt): the entities whose first surrogate was another's, or a real entity, with the attempt that is theirs alone."""
-    # names of initials only are permuted
-    hashed = entities(docs, text).where(F.col("kind").isin(*_HASHED) & ((F.col("kind") != "name") | F.col("id").rlike(r"\p{L}[\p{L}\p{M}'’\-]")))
-    every = scratch.save(hashed.withColumn("attempt", F.lit(0)))
-    for _ in range(rounds):
+    # what consists of initials only is permuted, and one letter may well occur
+    checked = entities(docs, text).where((F.col("kind") != "name") | F.col("id").rlike(r"\p{L}[\p{L}\p{M}'’\-]"))
+    every = scratch.save(checked.withColumn("attempt", F.lit(0)))
+    for _ in range(ROUNDS):
         made = every.withColumn("new", canonical(surrogate(F.col("entity"), F.col("kind"), key, F.col("attempt")), F.col("kind")))
         order = Window.partitionBy("kind", "new").orderBy("attempt", "id")
         real = every.select(F.col("kind").alias("k"), F.col("id").alias("real"))
         shared = made.withColumn("n", F.row_number().over(order)).join(real, (F.col("k") == F.col("kind")) & (F.col("real") == F.col("new")), "left")
         again = F.when((F.col("n") > 1) | F.col("real").isNotNull(), F.col("attempt") + 1).otherwise(F.col("attempt"))
         new = scratch.save(shared.select("kind", "id", "entity", again.alias("attempt"), (again > F.col("attempt")).alias("moved")))
-        every = new.drop("moved")
+        scratch.drop(every)
+        every = scratch.save(new.drop("moved"))
         if new.where("moved").limit(1).count() == 0:
-            break
-    return every.where("attempt > 0").select("kind", "id", "attempt")
+            return every.where("attempt > 0").select("kind", "id", "attempt")
+    raise ValueError(f"after {ROUNDS} rounds surrogates still collide: there are too few for these entities")
+
+
+def _name_parts(names: Column) -> Column:
+    """(old in lower case, new) of the parts of names; particles, initials and forms of address are none."""
+
+    def of(name: Column) -> Column:
+        title = F.length(F.regexp_extract(name["old"], f"^((?:{_TITLE} )*)", 1))
+        old, new = (F.split(F.substr(name[x], title + 1, F.length(name[x])), " ") for x in ("old", "new"))
+        pairs = F.zip_with(old, new, lambda o, n: F.struct(o.alias("old"), n.alias("new")))
+        whole = F.filter(pairs, lambda p: (F.length(p["old"]) > 2) & ~p["old"].isin(PARTICLES) & ~p["old"].rlike(r"\."))
+        return F.transform(whole, lambda p: F.struct(F.lower(p["old"]).alias("old"), p["new"].alias("new")))
+
+    return F.array_distinct(F.flatten(F.transform(names, of)))
+
+
+_IN_WORD = r"\p{L}\p{M}\p{N}'’\-"
+_EDGE = rf"(?<![{_IN_WORD}])(?=[{_IN_WORD}])|(?<=[{_IN_WORD}])(?![{_IN_WORD}])"
+
+
+def _bare_mentions(piece: Column, known: Column) -> Column:
+    """The piece of text with capitalised words that are parts of known names replaced."""
+
+    def one(word: Column) -> Column:
+        new = F.get(F.filter(known, lambda k: k["old"] == F.lower(word)), F.lit(0))["new"]
+        cased = F.when(F.upper(word) == word, F.upper(new)).otherwise(F.initcap(new))
+        return F.when(word.rlike(r"^\p{Lu}"), F.coalesce(cased, word)).otherwise(word)
+
+    return F.array_join(F.transform(F.split(piece, _EDGE, -1), one), "")
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text", check: bool = True, count_to: str | None = None) -> DataFrame:
@@ -303,8 +408,9 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", check: bool
     Null texts stay null, empty ones empty; texts without entities stay as they are, byte by byte.
     Repeated rows are changed alike. Texts of any length are rewritten whole. The column of the text
     keeps its place; other columns may have any name. Equal entities have equal surrogates in all
-    rows, different ones of a kind different surrogates (check=False leaves out the check of those
-    kinds whose surrogates are hashes, and with it one pass).
+    rows, different ones of a kind different surrogates, none of which occurs in docs (check=False leaves
+    out the check, and with it one pass; then names, mailboxes and secrets may share a surrogate). A
+    number is one entity in all its formats. An empty table stays empty.
     """
     spark = docs.sparkSession
     renamed = {}
@@ -324,13 +430,18 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", check: bool
     def one(entity: Column) -> Column:
         def of(kind: Column) -> Column:
             attempt = F.coalesce(F.element_at(attempts, F.concat_ws("\x1f", kind, canonical(entity, kind))), F.lit(0)) if n_moved else F.lit(0)
-            return F.coalesce(surrogate(entity, kind, key, attempt), entity)
+            return F.struct(entity.alias("old"), F.coalesce(surrogate(entity, kind, key, attempt), entity).alias("new"), (kind == "name").alias("is_name"))
 
         return _let(kind_of(entity), of)
 
     some = F.coalesce(F.size("__found"), F.lit(0)) > 0
+    # an entity's surrogate is computed once for each text
+    named = named.withColumn("__new", F.when(some, F.transform(F.array_distinct("__found"), one)))
+    of_entity = lambda e: F.get(F.filter("__new", lambda n: n["old"] == e), F.lit(0))["new"]
+    parts = _name_parts(F.filter("__new", lambda n: n["is_name"]))
     pieces = F.split(text, _ANY, -1)
-    news = F.array_append(F.transform("__found", one), F.lit(""))
+    pieces = F.when(F.exists("__new", lambda n: n["is_name"]), _let(parts, lambda known: F.transform(pieces, lambda p: _bare_mentions(p, known)))).otherwise(pieces)
+    news = F.array_append(F.transform("__found", of_entity), F.lit(""))
     rebuilt = F.array_join(F.flatten(F.zip_with(pieces, news, lambda p, s: F.array(p, F.coalesce(s, F.lit(""))))), "")
     renamed[text] = F.when(some, rebuilt).otherwise(F.col(text)).alias(text)
     out = [renamed.get(c, F.col(f"`{c}`")) for c in docs.columns]
