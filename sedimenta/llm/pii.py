@@ -208,18 +208,28 @@ def _ip(entity: Column, key: Column) -> Column:
     return _let(_let(octets, network), lambda e: F.concat_ws(".", *[F.floor(e[s] / d).cast("long") % 256 for s in "lr" for d in (256, 1)]))
 
 
-def _pick(words: list[str], number: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, words)), (F.pmod(number, F.lit(len(words))) + 1).cast("int"))
+def _pick(words: Column, number: Column) -> Column:
+    return F.element_at(words, (F.pmod(number, F.size(words)) + 1).cast("int"))
 
 
-def _other(words: list[str], number: Column, than: Column) -> Column:
+def _other(words: Column, number: Column, than: Column) -> Column:
     """One of the words by number, but not the one that it stands for."""
     return _let(_pick(words, number), lambda w: F.when(F.lower(w) == F.lower(than), _pick(words, number + 1)).otherwise(w))
 
 
-def _spelled(script: str, number: Column, syllables: int) -> Column:
-    words = SYLLABLES[script]
-    return _let(number, lambda x: F.concat(*[_pick(words, F.call_function("div", x, F.lit(len(words) ** i))) for i in range(syllables)]))
+def _spelled(words: Column, number: Column, syllables: int) -> Column:
+    """Syllables by the digits of the number."""
+    start = F.struct(F.lit("").alias("text"), number.alias("rest"))
+    step = lambda at, _: F.struct(F.concat(at["text"], _pick(words, at["rest"])).alias("text"), F.call_function("div", at["rest"], F.size(words)).alias("rest"))
+    return F.aggregate(F.array(*map(F.lit, range(syllables))), start, step)["text"]
+
+
+def _by_script(script: Column, lists: dict[str, list[str]]) -> Column:
+    """The words of a script."""
+    out = F.lit(" ".join(lists["latin"]))
+    for name in (n for n in lists if n != "latin"):
+        out = F.when(script == name, " ".join(lists[name])).otherwise(out)
+    return F.split(out, " ")
 
 
 def _initials(part: Column, key: str) -> Column:
@@ -242,26 +252,18 @@ def _name(entity: Column, key: str, attempt: Column) -> Column:
         first = F.lower(F.regexp_extract(parts[0], r"^[^\-]*", 0))
         female = bare.isin(titles["f"]) | (~bare.isin(titles["m"]) & first.isin(known["f"]))
 
-        return _let(F.struct(parts.alias("parts"), female.alias("female"), script.alias("script")), renamed)
+        given = F.when(female, _by_script(script, {s: FIRST_NAMES[s, "f"] for s in SYLLABLES})).otherwise(_by_script(script, {s: FIRST_NAMES[s, "m"] for s in SYLLABLES}))
+        return _let(F.struct(parts.alias("parts"), given.alias("given"), _by_script(script, SYLLABLES).alias("syllables")), renamed)
 
     def renamed(who: Column) -> Column:
         def one(part: Column, i: Column) -> Column:
             number = _number(key, "given", F.lower(part))
 
-            def new(s: str) -> tuple[Column, Column]:
-                given = F.when(who["female"], _other(FIRST_NAMES[s, "f"], number, part)).otherwise(_other(FIRST_NAMES[s, "m"], number, part))
-                spelled = [_spelled(s, _number(key, kind, F.lower(part), attempt.cast("string")), 4) for kind in ("family", "longer")]
-                return given, F.initcap(F.when(attempt < LONGER, spelled[0]).otherwise(F.concat(*spelled)))
-
-            def pick(n: int) -> Column:
-                out = new("latin")[n]
-                for s in (x for x in SYLLABLES if x != "latin"):
-                    out = F.when(who["script"] == s, new(s)[n]).otherwise(out)
-                return out
-
+            spelled = [_spelled(who["syllables"], _number(key, kind, F.lower(part), attempt.cast("string")), 4) for kind in ("family", "longer")]
+            family = F.initcap(F.when(attempt < LONGER, spelled[0]).otherwise(F.concat(*spelled)))
             is_given = (i < F.size(who["parts"]) - 1) & ((i == 0) | F.lower(part).isin(known["m"] + known["f"]))
             cased = lambda new: F.when((F.upper(part) == part) & (F.length(part) > 1), F.upper(new)).otherwise(new)
-            return F.when(part.isin(PARTICLES), part).when(part.rlike(r"^\p{Lu}(?:$|\.)"), _initials(part, key)).when(is_given, cased(pick(0))).otherwise(cased(pick(1)))
+            return F.when(part.isin(PARTICLES), part).when(part.rlike(r"^\p{Lu}(?:$|\.)"), _initials(part, key)).when(is_given, cased(_other(who["given"], number, part))).otherwise(cased(family))
 
         return F.array_join(F.transform(who["parts"], one), " ")
 
@@ -270,7 +272,10 @@ def _name(entity: Column, key: str, attempt: Column) -> Column:
 
 def _email(entity: Column, key: str, attempt: Column) -> Column:
     number = _number(key, "mail", F.lower(entity), attempt.cast("string"))
-    box = F.when(entity.rlike(r"^\p{IsCyrillic}"), _spelled("cyrillic", number, 5)).otherwise(_spelled("latin", number, 5))
+    script = F.lit("latin")
+    for name in (n for n in SYLLABLES if n != "latin"):
+        script = F.when(entity.rlike(rf"^\p{{Is{name.title()}}}"), name).otherwise(script)
+    box = _spelled(_by_script(script, SYLLABLES), number, 5)
     tail = F.pmod(_number(key, "box", F.lower(entity), attempt.cast("string")), F.lit(10_000_000)).cast("string")
     return F.concat(box, F.lit("."), tail, F.lit("@mail.invalid"))
 
