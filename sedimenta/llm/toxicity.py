@@ -6,6 +6,9 @@ bit-parallel; walking the trie with it finds the terms within the allowed edits.
 from its context window: other hits nearby and second-person words raise it, quotation marks and
 verbs of reporting lower it, so that quoting an insult weighs less than using it. A logistic
 regression over per-text sums of these makes the score.
+
+Texts that were copied often are no more evidence than one: each labelled text weighs as much as its share
+of its near copies, and none is left out.
 """
 
 from __future__ import annotations
@@ -25,10 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from sedimenta.llm.store import Scratch
-from sedimenta.llm.textbytes import lean, shingle_sets
+from sedimenta.llm.textbytes import lean, mix, shingle_sets
 
-#: Labelled texts that the model is fitted on at most (those of the least hash), terms kept at most, tokens cached in a worker.
-SAMPLE, TERMS, CACHE = 12_000, 512, 1 << 18
+#: Labelled texts that the model is fitted on at most (those of the least hash), tokens cached in a worker.
+SAMPLE, CACHE = 12_000, 1 << 17
+#: Least shingle hashes by which the weight of a text among its near copies is told.
+SKETCH = 8
 #: Tokens on either side of a hit that are its context; stem lengths; shortest term that may be misspelled.
 WINDOW, STEMS, FUZZY_FROM = 8, (4, 5, 6, 7, 8), 5
 # Look-alike characters, cues in the four languages of the tables, and a base lexicon.
@@ -183,70 +188,87 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, sample: int) -> DataFrame:
-    """(text, label double) of at most `sample` labelled rows that aren't held out; the ids are at most 16 * sample bytes of broadcast.
+    """(text, label double, weight double) of at most `sample` labelled rows that aren't held out; the ids are at most 16 * sample bytes of broadcast.
 
-    Of texts with the same least hash of five-word shingles, as copies and most near copies have it, the one of the
-    least id stays: words of one text that was copied often are no evidence.
+    The weight is the mean, over SKETCH hash functions, of 1 / the number of rows with the same least hash of
+    five-word shingles: n copies weigh 1 / n each, texts with one sentence in common nearly 1. Texts without
+    words have one sketch.
     """
     id_kind = docs.schema[doc_id].dataType.simpleString()
+    odd = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, h, at in shingle_sets(batch.column(1), 5):
-                least = [int(h[a:b].min().view(np.int64)) if b > a else 0 for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, pa.array(least, pa.int64())], ["__id", "text", "label", "least"])
+                least = np.zeros((hi - lo, SKETCH), np.int64)
+                some = np.diff(at) > 0
+                for j in range(SKETCH if some.any() else 0):
+                    least[some, j] = np.minimum.reduceat(mix(h * odd[j]), at[:-1][some]).view(np.int64)
+                sketch = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * SKETCH, pa.int32()), pa.array(least.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, sketch], ["__id", "text", "label", "sketch"])
 
     named = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).where(~held_out(doc_id))
     named = named.groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("double").alias("label"))
     named = named.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     found = docs.select(F.col(doc_id).alias("__id"), F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(named), "__id").select("__id", "text", "label")
-    found = found.mapInArrow(lean(run), f"__id {id_kind}, text string, label double, least long")
-    first = found.groupBy("least").agg(F.min_by(F.struct("text", "label"), F.struct("__id", "text")).alias("first"))
-    return Scratch(docs.sparkSession, "toxicity").save(first.select("first.text", "first.label"))
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    found = scratch.save(found.mapInArrow(lean(run), f"__id {id_kind}, text string, label double, sketch array<long>").withColumn("row", F.monotonically_increasing_id()))
+    each = found.select("row", F.posexplode("sketch").alias("place", "least"))
+    shared = each.groupBy("place", "least").agg((1 / F.count("*")).alias("share"))
+    weights = each.join(shared, ["place", "least"]).groupBy("row").agg(F.avg("share").alias("weight"))
+    return scratch.save(found.join(weights, "row").select("text", "label", "weight"))
 
 
-def learn_lexicon(train: DataFrame, terms: int = TERMS, least_odds: float = 1.8, least_evidence: float = 30.0) -> list[tuple[str, bool, float]]:
+def learn_lexicon(train: DataFrame, least_odds: float = 1.8, least_evidence: float = 30.0) -> list[tuple[str, bool, float]]:
     """(term, is_stem, weight): the words and stems whose share of toxic texts is exp(least_odds) times that of others,
     if that is no chance: the log-likelihood ratio must be least_evidence (30: one in 10**7) at least.
 
-    Each task counts in how many of its texts a term occurs and hands on its counts, not its tokens.
+    Each task counts in how many of its texts a term occurs, by their weights, and hands on its counts, not its
+    tokens. Terms of toxic texts that weigh 3 together are the candidates; all of them are counted in the
+    others. Their number is bounded by the training rows.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = {w for w in _TOKEN.findall(text.lower()) if w.isalpha() and len(w) > 2}
-                found = {w + "$" for w in words}
-                for n in STEMS:
-                    found.update(w[:n] for w in words if len(w) > n)
-                counts[int(label)].update(found)
-        both = list(counts[0].keys() | counts[1].keys())
-        # a term that no toxic text of this task has is of use only as evidence against; singletons are not
-        both = [t for t in both if counts[1][t] or counts[0][t] > 1]
-        yield pa.RecordBatch.from_arrays([pa.array(both, pa.string()), pa.array([counts[1][t] for t in both], pa.int64()), pa.array([counts[0][t] for t in both], pa.int64())], ["term", "bad", "good"])
-
-    size = train.agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good")).first()
+    def counts(wanted: float, only: set[str] | None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: Counter = Counter()
+            for batch in batches:
+                for text, label, weight in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                    if label == wanted:
+                        words = {w for w in _TOKEN.findall(text.lower()) if w.isalpha() and len(w) > 2}
+                        found = {w + "$" for w in words}
+                        for n in STEMS:
+                            found.update(w[:n] for w in words if len(w) > n)
+                        for term in found if only is None else found & only:
+                            total[term] += weight
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.float64())], ["term", "n"])
+
+        return train.select("text", "label", "weight").mapInArrow(lean(run), "term string, n double").groupBy("term").agg(F.round(F.sum("n"), 9).alias("n"))
+
+    size = train.agg(F.sum(F.col("label") * F.col("weight")).alias("bad"), F.sum((1 - F.col("label")) * F.col("weight")).alias("good")).first()
     if not size.bad or not size.good:
         return [(t, False, 1.0) for t in BASE_LEXICON]
-    odds = F.log((F.col("bad") + 0.5) / (size.bad + 1) / ((F.col("good") + 0.5) / (size.good + 1)))
-    counted = train.mapInArrow(lean(run), "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    # 2 * sum of observed * log(observed / expected) over the four cells of (term, class)
-    every = size.bad + size.good
-    seen = F.col("bad") + F.col("good")
-    cells = [(F.col("bad"), seen * size.bad / every), (F.col("good"), seen * size.good / every), (size.bad - F.col("bad"), (every - seen) * size.bad / every), (size.good - F.col("good"), (every - seen) * size.good / every)]
-    evidence = sum((F.when(o > 0, 2 * o * F.log(o / e)).otherwise(0.0) for o, e in cells), F.lit(0.0))
-    rows = counted.withColumn("odds", odds).where((F.col("odds") >= least_odds) & (F.col("bad") >= 3)).where(evidence >= least_evidence).orderBy(F.desc("bad"), F.length("term"), "term").limit(8 * terms).collect()
+    bad = {r.term: r.n for r in counts(1.0, None).where("n >= 3").collect()}
+    good = {r.term: r.n for r in counts(0.0, set(bad)).collect()}
+    rows = []
+    for term, b in bad.items():
+        g = good.get(term, 0.0)
+        odds = math.log((b + 0.5) / (size.bad + 1) / ((g + 0.5) / (size.good + 1)))
+        # 2 * sum of observed * log(observed / expected) over the four cells of (term, class)
+        seen, every = b + g, size.bad + size.good
+        cells = ((b, seen * size.bad), (g, seen * size.good), (size.bad - b, (every - seen) * size.bad), (size.good - g, (every - seen) * size.good))
+        evidence = sum(2 * o * math.log(o * every / e) for o, e in cells if o > 1e-9 and e > 1e-9)
+        if odds >= least_odds and evidence >= least_evidence:
+            rows.append((-b, len(term), term, odds))
     chosen: list[tuple[str, bool, float]] = []
-    for r in rows:
-        term, stem = r.term.removesuffix("$"), not r.term.endswith("$")
-        if not any(s and term.startswith(t) for t, s, _ in chosen):
-            chosen.append((term, stem, min(1.0, r.odds / 5)))
-        if len(chosen) == terms:
-            break
+    stems: set[str] = set()
+    for _, _, marked, odds in sorted(rows):
+        term, stem = marked.removesuffix("$"), not marked.endswith("$")
+        if not any(term[:n] in stems for n in range(1, len(term) + 1)):
+            chosen.append((term, stem, min(1.0, odds / 5)))
+            stems.update([term] * stem)
     # a whole word of the language stands for itself, not for all that starts like it
-    words = {t for t, s, _ in chosen if not s}
-    return [(t, s, w) for t, s, w in chosen if not (s and any(x.startswith(t) for x in words))] or [(t, False, 1.0) for t in BASE_LEXICON]
+    words = {t[:n] for t, s, _ in chosen if not s for n in range(1, len(t) + 1)}
+    return [(t, s, w) for t, s, w in chosen if not (s and t in words)] or [(t, False, 1.0) for t in BASE_LEXICON]
 
 
 _CACHES: dict[str, _Known] = {}
@@ -279,12 +301,14 @@ class ToxicityModel:
     def fit(cls, docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> ToxicityModel:
         train = training_rows(docs, labels, doc_id, text, label, sample)
         lexicon = learn_lexicon(train)
-        rows = with_features(train, "text", lexicon).select("label", array_to_vector("__f").alias("features")).cache()
-        classes = {r.label for r in rows.select("label").distinct().collect()}
+        classes = {r.label for r in train.select("label").distinct().collect()}
         if classes != {0.0, 1.0}:  # nothing to learn from: a hit decides
             return cls(lexicon, np.eye(len(FEATURES))[5] * 4.0, -2.0)
-        fitted = LogisticRegression(maxIter=50, regParam=1e-3).fit(rows)
-        rows.unpersist()
+        rows = with_features(train, "text", lexicon).select("label", "weight", array_to_vector("__f").alias("features")).cache()
+        try:
+            fitted = LogisticRegression(maxIter=50, regParam=1e-3, weightCol="weight").fit(rows)
+        finally:
+            rows.unpersist()
         return cls(lexicon, np.array(fitted.coefficients), float(fitted.intercept))
 
     def score(self, df: DataFrame, text: str = "text", to: str = "score") -> DataFrame:
@@ -299,7 +323,8 @@ class ToxicityModel:
 def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out boolean, score double, predicted int), a row for every input row.
 
-    Labels are learned from at most `sample` rows that aren't held out; labels other than 0 and 1 and
+    Terms of five letters and more are found with one edit (a letter more, less or other), shorter ones as they
+    are. Labels are learned from at most `sample` rows that aren't held out; labels other than 0 and 1 and
     null ids in them are ignored, of repeated labels of an id the higher counts. Without labels of both
     classes a base lexicon decides. Nothing but the text goes into a score. Null and empty texts are
     scored as texts without hits; a null id is not held out. Texts of any length are read whole;
@@ -311,7 +336,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE, least: float = 0.5) -> DataFrame:
-    """The rows of docs, all columns, whose score is below `least`."""
+    """The rows of docs, all columns, whose score is below `least`.
+
+    Null and empty texts are scored as texts without hits and stay; repeated rows are judged alike; other columns
+    may have any names but __score and __f; an empty table stays empty. Labels as for score_toxicity.
+    """
     model = ToxicityModel.fit(docs, labels, doc_id, text, label, sample)
     return model.score(docs, text, "__score").where(F.col("__score") < least).drop("__score")
 

@@ -261,6 +261,63 @@ def test_misspelled_terms():
     assert text_features("", known) == text_features("nothing here", known) == [0.0] * 9
 
 
+def distance(a, b, prefix):
+    """Least edits (insert, delete, replace) between a and b, or a beginning of b."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i] + [0] * len(b)
+        for j, y in enumerate(b, 1):
+            row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+    return min(row) if prefix else row[-1]
+
+
+@pytest.mark.parametrize("edits", [1, 2])
+def test_automata_against_edit_distance(edits):
+    import random
+
+    rng = random.Random(3)
+    word = lambda a, b: "".join(rng.choice("abcd") for _ in range(rng.randint(a, b)))
+    terms = sorted({(word(3, 9), rng.random() < 0.4) for _ in range(40)})
+    lexicon = Lexicon([(t, s, 1.0) for t, s in terms], edits)
+    tokens = [word(2, 12) for _ in range(3_000)]
+    for t, _ in terms:
+        for _ in range(10):
+            chars = list(t + word(0, 2))
+            chars[rng.randrange(len(chars))] = rng.choice(["", "a", "bc", "d"])
+            tokens.append("".join(chars))
+    for token in tokens:
+        exact = [t for t, s in terms if token == t or (s and token.startswith(t))]
+        near = [distance(t, token, s) for t, s in terms if len(t) >= 5] if len(token) >= 5 - edits else []
+        found = lexicon.find(token)
+        if exact:
+            assert found[0] == max(exact, key=len) and found[3] == 0
+        elif near and min(near) <= edits:
+            assert found[3] == min(near) and len(found[0]) == max(len(t) for t, s in terms if len(t) >= 5 and distance(t, token, s) == found[3]), token
+        else:
+            assert found is None, token
+
+
+def test_toxicity_on_labels_that_were_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    got = score_toxicity(docs, labels).where("held_out").join(labels.where("toxic IS NOT NULL").select("doc_id", "toxic"), "doc_id").collect()
+    bad, good = ([r.score for r in got if r.toxic == x] for x in (1, 0))
+    assert len(bad) > 50 and len(good) > 500
+    assert sum((x > y) + (x == y) / 2 for x in bad for y in good) / len(bad) / len(good) > 0.95
+    assert sum(r.predicted == r.toxic for r in got) > 0.95 * len(got)
+
+
+def test_contradicting_copies_are_weighed(spark):
+    from sedimenta.llm.toxicity import training_rows
+
+    copy, common = " ".join(f"a{i}" for i in range(30)), " ".join(f"c{i}" for i in range(8))
+    rows = [(i, copy) for i in range(40)] + [(100 + i, " ".join(f"w{i}x{j}" for j in range(200)) + " " + common) for i in range(40)] + [(200, None), (201, "")]
+    labels = spark.createDataFrame([(i, int(i == 3)) for i, _ in rows], "doc_id long, toxic int")
+    got = training_rows(spark.createDataFrame(rows, "doc_id long, text string"), labels, "doc_id", "text", "toxic", 1_000).collect()
+    copies = [r for r in got if r.text == copy]
+    assert {r.label for r in copies} == {0.0, 1.0} and abs(sum(r.weight for r in copies) - 1) < 1e-9
+    assert min(r.weight for r in got if r.text.endswith(common)) > 0.5
+
+
 def test_toxicity_is_learned(spark):
     import random
 
