@@ -5,10 +5,12 @@
 2. Signatures are cut into bands; representatives that share a band are candidates. A bucket never
    emits all its pairs: in each round its hub (the member with most company over all buckets) is
    compared with the members of other components, components are merged, and only buckets that still
-   hold several components go on. What is left after the star rounds is compared in full, so no link
-   between components is lost: small buckets pair by pair; large buckets are joined to clusters, dealt
-   out as pairs of blocks, and a task counts all intersections of two blocks as a product of incidence
-   matrices and returns no more links than join them.
+   hold several components go on. What is left after the star rounds is compared in full: small buckets
+   pair by pair; large buckets are cut by a second band, and then a third, into buckets of texts that
+   share both. Texts of one bucket that are near the threshold share many more bands, so that costs
+   next to no recall. Buckets that are large even then are joined to clusters, dealt out as pairs of
+   blocks, and a task counts all intersections of two blocks as a product of incidence matrices and
+   returns no more links than join them.
 3. A candidate pair's signatures are compared batch by batch; the pair is dropped as soon as the
    posterior probability that its similarity reaches the threshold falls below `miss`. Survivors are
    decided exactly on their full shingle sets.
@@ -21,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.components import connected, roots
@@ -31,6 +33,8 @@ from sedimenta.llm.textbytes import distinct, lean, mix, shingle_sets, shingles,
 BANDS, ROWS = 32, 4
 #: Members of a bucket that is compared pair by pair at most; texts of a block of a larger one, and columns of a matrix product.
 SMALL, BLOCK, COLUMNS = 48, 512, 8192
+#: Bands that members of a large bucket must share, at most.
+DEPTH = 3
 #: Miss probability of the Bayesian pruning, and signature values compared at once.
 MISS, BATCH = 1e-9, 32
 _A, _B = (np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2)) + np.array([[1], [0]], np.uint64)
@@ -181,6 +185,30 @@ def _block_links(members: DataFrame, texts: DataFrame, scratch: Scratch, percent
     return dealt.groupBy("cluster", "i", "j").applyInArrow(run, f"a {kind}, b {kind}").select(*_ordered("a", "b"))
 
 
+def _refined(large: DataFrame, members: DataFrame) -> DataFrame:
+    """(key, rep, n): the members of large buckets under pairs of keys, the bucket's and another of their own."""
+    other = members.select("rep", F.col("key").alias("other"), "n")
+    pair = F.xxhash64(F.least("key", "other"), F.greatest("key", "other"))
+    return large.select("key", "rep").join(other, "rep").where("key != other").select(pair.alias("key"), "rep", "n").distinct()
+
+
+def _leftover(live: DataFrame, members: DataFrame, labels: DataFrame, near: Column, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """(pairs, large): the pairs (a, b) of the small buckets of several components, and the members of those that no cutting made small."""
+    pairs, open_now = None, live.select("key", "rep", "comp", "n")
+    for depth in range(1, DEPTH + 1):
+        sizes = open_now.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("key", "size")
+        sized = scratch.save(open_now.join(sizes, "key"))
+        small, large = sized.where(F.col("size") <= SMALL), sized.where(F.col("size") > SMALL)
+        left, right = (small.select("key", F.col("rep").alias(f"rep_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+        found = left.join(right, "key").where("comp_a < comp_b").where(near).select(*_ordered("rep_a", "rep_b"))
+        pairs = found if pairs is None else pairs.unionByName(found)
+        if not large.limit(1).count():
+            return pairs, None
+        if depth < DEPTH:
+            open_now = _refined(large, members).join(labels, "rep")
+    return pairs, large.select("key", "rep")
+
+
 def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -233,16 +261,13 @@ def near_components(
             hub = hub.select("key", F.col("hub.rep").alias("hub"), F.col("hub.comp").alias("hub_comp"), F.col("hub.n").alias("n_b"))
             pairs = live.withColumnRenamed("n", "n_a").join(hub, "key").where("comp != hub_comp").where(near).select(*_ordered("rep", "hub"))
         else:
-            sized = live.join(live.groupBy("key").agg(F.count("*").alias("size")), "key")
-            large, small = scratch.save(sized.where(F.col("size") > SMALL).select("key", "rep")), sized.where(F.col("size") <= SMALL)
-            left, right = (small.select("key", F.col("rep").alias(f"rep_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-            pairs = left.join(right, "key").where("comp_a < comp_b").where(near).select(*_ordered("rep_a", "rep_b"))
+            pairs, large = _leftover(live, members, labels, near, scratch)
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.save(pairs)
         edges = _linked(_plausible(pairs, sigs, percent / 100, miss), texts, percent, k)
-        if turn == stars and large.limit(1).count():
+        if turn == stars and large is not None:
             edges = edges.unionByName(_block_links(large, texts, scratch, percent, k))
         edges = scratch.save(edges)
         labels = connected(scratch, labels, edges)
@@ -255,7 +280,14 @@ def near_components(
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs that stand for their group, all columns; of repeated rows of one id, one stays. Rows with a null id stay."""
+    """The rows of docs that stand for their group, all columns; options as for near_components.
+
+    Of the rows of one id one stays: that with the least hash of all its columns, whatever the plan. Rows with a
+    null id stay, as do null and empty texts; other columns may have any names but __gone and __row; maps aren't allowed.
+    """
     found = near_components(docs, doc_id=doc_id, **options).where("NOT kept").select(F.col(doc_id).alias("__gone")).distinct()
     rest = docs.join(found, docs[doc_id] == found["__gone"], "left_anti")
-    return rest.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionByName(rest.where(F.col(doc_id).isNull()))
+    whole = F.struct(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    one = rest.where(F.col(f"`{doc_id}`").isNotNull()).groupBy(F.col(f"`{doc_id}`").alias("__gone")).agg(F.min(whole).alias("__row"))
+    one = one.select(*[F.col(f"__row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return one.unionByName(rest.where(F.col(f"`{doc_id}`").isNull()))

@@ -42,6 +42,29 @@ def test_near_components_of_odd_rows(spark):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [2, 7]
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_recall_near_the_threshold(spark, percent):
+    """Pairs at and just above the threshold among copies of passages in common: every link is found."""
+    rng = random.Random(percent)
+    rows, common = [], " ".join(f"c{i}" for i in range(40))
+    for i in range(150):
+        words = [f"w{rng.randint(0, 10**7)}" for _ in range(300)]
+        other = list(words)
+        for at in rng.sample(range(0, 300, 6), {80: 5, 85: 3}[percent] + rng.randint(-1, 1)):
+            other[at] = f"x{rng.randint(0, 10**7)}"
+        rows += [(2 * i, " ".join(words) + " " + common), (2 * i + 1, " ".join(other) + " " + common)]
+    want = components(rows, percent)
+    got = {r[0]: tuple(r)[1:] for r in near_dedup.near_components(spark.createDataFrame(rows, SCHEMA), percent=percent).collect()}
+    assert sum(v[2] for v in want.values()) < len(rows) - 50 and got == want
+
+
+def test_one_row_of_an_id_stays_whatever_the_plan(spark):
+    rows = [(1, f"text {i} of many", "en", i) for i in range(20)] + [(2, None, None, None), (2, "", "x", 1)]
+    df = spark.createDataFrame(rows, SCHEMA + ", lang string, rep int")
+    got = [sorted(map(str, near_dedup.deduplicate(df.repartition(n)).collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 2
+
+
 def test_pruning_keeps_the_threshold():
     for n in (32, 64, 96, 128):
         least = near_dedup.least_matches(n, 0.85, 1e-9)
