@@ -14,7 +14,7 @@ from sedimenta.llm.decontam import decontaminate
 from sedimenta.llm.near_dedup import deduplicate
 from sedimenta.llm.pii import replace_entities
 from sedimenta.llm.sp_sampling import sample_encodings
-from sedimenta.llm.store import Scratch
+from sedimenta.llm.store import Scratch, clean
 from sedimenta.llm.toxicity import reject_toxic
 
 #: Key of the surrogates; a real run passes its own secret.
@@ -81,9 +81,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
+    """All stages over the documents table. What a stage wrote on its way is deleted once its result is written."""
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir))
+        before, docs = docs, scratch.save(stage(spark, docs, sf_dir))
+        clean(spark, keep=scratch)
+        if hasattr(before, "_scratch_path"):
+            scratch.drop(before)
     return docs
