@@ -366,16 +366,16 @@ def collisions(scratch: Scratch, docs: DataFrame, text: str, key: str) -> DataFr
     checked = entities(docs, text).where((F.col("kind") != "name") | F.col("id").rlike(r"\p{L}[\p{L}\p{M}'’\-]"))
     every = scratch.save(checked.withColumn("attempt", F.lit(0)))
     for _ in range(ROUNDS):
-        made = every.withColumn("new", canonical(surrogate(F.col("entity"), F.col("kind"), key, F.col("attempt")), F.col("kind")))
+        # written before it is compared, so that the comparison is planned on plain columns
+        made = scratch.save(every.withColumn("new", canonical(surrogate(F.col("entity"), F.col("kind"), key, F.col("attempt")), F.col("kind"))))
         order = Window.partitionBy("kind", "new").orderBy("attempt", "id")
-        real = every.select(F.col("kind").alias("k"), F.col("id").alias("real"))
+        real = made.select(F.col("kind").alias("k"), F.col("id").alias("real"))
         shared = made.withColumn("n", F.row_number().over(order)).join(real, (F.col("k") == F.col("kind")) & (F.col("real") == F.col("new")), "left")
         again = F.when((F.col("n") > 1) | F.col("real").isNotNull(), F.col("attempt") + 1).otherwise(F.col("attempt"))
-        new = scratch.save(shared.select("kind", "id", "entity", again.alias("attempt"), (again > F.col("attempt")).alias("moved")))
-        scratch.drop(every)
-        every = scratch.save(new.drop("moved"))
-        if new.where("moved").limit(1).count() == 0:
+        every = scratch.save(shared.select("kind", "id", "entity", again.alias("attempt"), (again > F.col("attempt")).alias("moved")))
+        if not every.where("moved").limit(1).count():
             return every.where("attempt > 0").select("kind", "id", "attempt")
+        every = every.drop("moved")
     raise ValueError(f"after {ROUNDS} rounds surrogates still collide: there are too few for these entities")
 
 
