@@ -212,6 +212,10 @@ def _pick(words: Column, number: Column) -> Column:
     return F.element_at(words, (F.pmod(number, F.size(words)) + 1).cast("int"))
 
 
+def _among(word: Column, words: list[str]) -> Column:
+    return F.array_contains(F.split(F.lit(" ".join(words)), " "), word)
+
+
 def _other(words: Column, number: Column, than: Column) -> Column:
     """One of the words by number, but not the one that it stands for."""
     return _let(_pick(words, number), lambda w: F.when(F.lower(w) == F.lower(than), _pick(words, number + 1)).otherwise(w))
@@ -250,7 +254,7 @@ def _name(entity: Column, key: str, attempt: Column) -> Column:
     def whole(parts: Column) -> Column:
         # a title says the gender, else the first name does; once for all parts
         first = F.lower(F.regexp_extract(parts[0], r"^[^\-]*", 0))
-        female = bare.isin(titles["f"]) | (~bare.isin(titles["m"]) & first.isin(known["f"]))
+        female = _among(bare, titles["f"]) | (~_among(bare, titles["m"]) & _among(first, known["f"]))
 
         given = F.when(female, _by_script(script, {s: FIRST_NAMES[s, "f"] for s in SYLLABLES})).otherwise(_by_script(script, {s: FIRST_NAMES[s, "m"] for s in SYLLABLES}))
         return _let(F.struct(parts.alias("parts"), given.alias("given"), _by_script(script, SYLLABLES).alias("syllables")), renamed)
@@ -261,9 +265,9 @@ def _name(entity: Column, key: str, attempt: Column) -> Column:
 
             spelled = [_spelled(who["syllables"], _number(key, kind, F.lower(part), attempt.cast("string")), 4) for kind in ("family", "longer")]
             family = F.initcap(F.when(attempt < LONGER, spelled[0]).otherwise(F.concat(*spelled)))
-            is_given = (i < F.size(who["parts"]) - 1) & ((i == 0) | F.lower(part).isin(known["m"] + known["f"]))
+            is_given = (i < F.size(who["parts"]) - 1) & ((i == 0) | _among(F.lower(part), known["m"] + known["f"]))
             cased = lambda new: F.when((F.upper(part) == part) & (F.length(part) > 1), F.upper(new)).otherwise(new)
-            return F.when(part.isin(PARTICLES), part).when(part.rlike(r"^\p{Lu}(?:$|\.)"), _initials(part, key)).when(is_given, cased(_other(who["given"], number, part))).otherwise(cased(family))
+            return F.when(_among(part, PARTICLES), part).when(part.rlike(r"^\p{Lu}(?:$|\.)"), _initials(part, key)).when(is_given, cased(_other(who["given"], number, part))).otherwise(cased(family))
 
         return F.array_join(F.transform(who["parts"], one), " ")
 
@@ -386,7 +390,7 @@ def _name_parts(names: Column) -> Column:
         title = F.length(F.regexp_extract(name["old"], f"^((?:{_TITLE} )*)", 1))
         old, new = (F.split(F.substr(name[x], title + 1, F.length(name[x])), " ") for x in ("old", "new"))
         pairs = F.zip_with(old, new, lambda o, n: F.struct(o.alias("old"), n.alias("new")))
-        whole = F.filter(pairs, lambda p: (F.length(p["old"]) > 2) & ~p["old"].isin(PARTICLES) & ~p["old"].rlike(r"\."))
+        whole = F.filter(pairs, lambda p: (F.length(p["old"]) > 2) & ~_among(p["old"], PARTICLES) & ~p["old"].rlike(r"\."))
         return F.transform(whole, lambda p: F.struct(F.lower(p["old"]).alias("old"), p["new"].alias("new")))
 
     return F.array_distinct(F.flatten(F.transform(names, of)))
@@ -430,7 +434,6 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", check: bool
         named, attempts = _with_attempts(docs, moved, text), F.col("__attempts")
     hint = F.col(text).rlike(_HINT)
     found = F.when(hint, F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)))
-    named = named.withColumn("__found", found)
 
     def one(entity: Column) -> Column:
         def of(kind: Column) -> Column:
@@ -441,7 +444,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", check: bool
 
     some = F.coalesce(F.size("__found"), F.lit(0)) > 0
     # an entity's surrogate is computed once for each text
-    named = named.withColumn("__new", F.when(some, F.transform(F.array_distinct("__found"), one)))
+    named = named.select("*", found.alias("__found")).select("*", F.when(some, F.transform(F.array_distinct("__found"), one)).alias("__new"))
     of_entity = lambda e: F.get(F.filter("__new", lambda n: n["old"] == e), F.lit(0))["new"]
     parts = _name_parts(F.filter("__new", lambda n: n["is_name"]))
     pieces = F.split(text, _ANY, -1)

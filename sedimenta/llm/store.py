@@ -55,3 +55,4 @@ def clean(spark: SparkSession, keep: Scratch | None = None) -> None:
     for scratch in [s for s in Scratch.open if s.spark is spark and s is not keep]:
         scratch.drop()
         Scratch.open.remove(scratch)
+    spark._jvm.System.gc()  # Spark deletes shuffle files and broadcasts once nothing on the driver refers to them
