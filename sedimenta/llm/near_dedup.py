@@ -6,9 +6,7 @@
    emits all its pairs: in each round its hub (the member with most company over all buckets) is
    compared with the members of other components, components are merged, and only buckets that still
    hold several components go on. What is left after the star rounds is compared in full: small buckets
-   pair by pair; large buckets are cut by a second band into buckets of texts that share both. Texts
-   of one bucket that are near the threshold share many more bands, so that costs next to no recall.
-   Members of buckets that are large even then are joined to clusters, dealt out as pairs of blocks, and a task counts all intersections of two blocks as a product of incidence matrices and
+   pair by pair; large buckets are joined to clusters, dealt out as pairs of blocks, and a task counts all intersections of two blocks as a product of incidence matrices and
    returns no more links than join them.
 3. A candidate pair's signatures are compared batch by batch; the pair is dropped as soon as the
    posterior probability that its similarity reaches the threshold falls below `miss`. Survivors are
@@ -32,8 +30,6 @@ from sedimenta.llm.textbytes import distinct, lean, mix, shingle_sets, shingles,
 BANDS, ROWS = 32, 4
 #: Members of a bucket that is compared pair by pair at most; texts of a block of a larger one, and columns of a matrix product.
 SMALL, BLOCK, COLUMNS = 48, 512, 8192
-#: Bands that members of a large bucket must share, at most.
-DEPTH = 2
 #: Miss probability of the Bayesian pruning, and signature values compared at once.
 MISS, BATCH = 1e-9, 32
 _A, _B = (np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2)) + np.array([[1], [0]], np.uint64)
@@ -184,28 +180,13 @@ def _block_links(members: DataFrame, texts: DataFrame, scratch: Scratch, percent
     return dealt.groupBy("cluster", "i", "j").applyInArrow(run, f"a {kind}, b {kind}").select(*_ordered("a", "b"))
 
 
-def _refined(large: DataFrame, members: DataFrame) -> DataFrame:
-    """(key, rep, origin, n): the members of large buckets under pairs of keys, the bucket's and another of their own."""
-    other = members.select("rep", F.col("key").alias("other"), "n")
-    pair = F.xxhash64(F.least("key", "other"), F.greatest("key", "other"))
-    return large.select("key", "rep", "origin").join(other, "rep").where("key != other").select(pair.alias("key"), "rep", "origin", "n")
-
-
-def _leftover(live: DataFrame, members: DataFrame, labels: DataFrame, near: Column, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
-    """(pairs, large): the pairs (a, b) of the small buckets of several components, and the members of those that no cutting made small."""
-    pairs, open_now = None, live.select("key", "rep", "comp", "n", F.col("key").alias("origin"))
-    for depth in range(1, DEPTH + 1):
-        sizes = open_now.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("key", "size")
-        sized = scratch.save(open_now.join(sizes, "key"))
-        small, large = sized.where(F.col("size") <= SMALL), sized.where(F.col("size") > SMALL)
-        left, right = (small.select("key", F.col("rep").alias(f"rep_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-        found = left.join(right, "key").where("comp_a < comp_b").where(near).select(*_ordered("rep_a", "rep_b"))
-        pairs = found if pairs is None else pairs.unionByName(found)
-        if not large.limit(1).count():
-            return pairs, None
-        if depth < DEPTH:
-            open_now = _refined(large, members).groupBy("key", "rep", "n").agg(F.min("origin").alias("origin")).join(labels, "rep")
-    return pairs, scratch.save(large.select(F.col("origin").alias("key"), "rep").distinct())
+def _leftover(live: DataFrame, near: Column, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """(pairs, large): the pairs (a, b) of the small buckets of several components, and the members of the large ones."""
+    sized = scratch.save(live.join(live.groupBy("key").agg(F.count("*").alias("size")), "key").select("key", "rep", "comp", "n", "size"))
+    small, large = sized.where(F.col("size") <= SMALL), sized.where(F.col("size") > SMALL)
+    left, right = (small.select("key", F.col("rep").alias(f"rep_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    pairs = left.join(right, "key").where("comp_a < comp_b").where(near).select(*_ordered("rep_a", "rep_b"))
+    return pairs, large.select("key", "rep") if large.limit(1).count() else None
 
 
 def _ordered(x: str, y: str) -> list:
@@ -260,7 +241,7 @@ def near_components(
             hub = hub.select("key", F.col("hub.rep").alias("hub"), F.col("hub.comp").alias("hub_comp"), F.col("hub.n").alias("n_b"))
             pairs = live.withColumnRenamed("n", "n_a").join(hub, "key").where("comp != hub_comp").where(near).select(*_ordered("rep", "hub"))
         else:
-            pairs, large = _leftover(live, members, labels, near, scratch)
+            pairs, large = _leftover(live, near, scratch)
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
