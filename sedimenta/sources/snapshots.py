@@ -125,6 +125,37 @@ def page_totals(pages: DataFrame, column: str) -> DataFrame:
     return pages.agg(F.count("*").alias("pages"), F.coalesce(F.sum(n), F.lit(0)).alias("rows"), F.min(total).alias("least_total"), F.max(total).alias("most_total"))
 
 
+def page_counts(pages: DataFrame, column: str) -> DataFrame:
+    """pages, and what each announces and holds: result_code string, total_count long, page_rows long.
+
+    The typed result of a probe of one page, too. Pages that aren't JSON, or have no total, have a null total.
+    """
+    raw = F.get_json_object(column, "$.response.body.items.item")
+    rows = F.when(raw.isNull(), 0).when(F.substring(F.ltrim(raw), 1, 1) == "{", 1).otherwise(F.json_array_length(raw))
+    total = F.expr(f"try_cast(get_json_object(`{column}`, '$.response.body.totalCount') AS BIGINT)")
+    return pages.select("*", F.get_json_object(column, "$.response.header.resultCode").alias("result_code"), total.alias("total_count"), rows.cast("long").alias("page_rows"))
+
+
+def require_whole(pages: DataFrame, column: str, task: Sequence[str], page: str = "page", most_pages: int | None = None) -> DataFrame:
+    """(task columns, pages, rows, total): a row for each task; raises SourceError if any task's pages aren't whole.
+
+    Whole: pages are numbered from 1 without gaps or repeats, no more than most_pages; all announce the same
+    total; their rows add up to it.
+    """
+    counts = page_counts(pages, column).groupBy(*task).agg(
+        F.count("*").alias("pages"), F.sum("page_rows").alias("rows"), F.max("total_count").alias("total"),
+        (F.min("total_count") == F.max("total_count")).alias("steady"), F.count("total_count").alias("announced"),
+        ((F.min(page) == 1) & (F.max(page) == F.count("*")) & (F.count_distinct(page) == F.count("*"))).alias("numbered"),
+    )
+    whole = F.col("steady") & (F.col("announced") == F.col("pages")) & F.col("numbered") & (F.col("rows") == F.col("total"))
+    if most_pages is not None:
+        whole = whole & (F.col("pages") <= most_pages)
+    broken = counts.where(~F.coalesce(whole, F.lit(False))).limit(5).collect()
+    if broken:
+        raise SourceError("pages aren't whole: " + "; ".join(str(tuple(r)) for r in broken))
+    return counts.select(*task, "pages", "rows", "total")
+
+
 def parquet_facts(spark: SparkSession, path: str) -> dict:
     """Rows and columns of a Parquet path; the count reads footers, not columns."""
     df = spark.read.parquet(path)
@@ -160,3 +191,9 @@ def reference_domain(df: DataFrame, number: str, code: str, change: str, new: st
     return df.agg(
         F.count_if(active).alias("active"), F.count_if(active & digits).alias("numeric"), F.count_if(active & ~digits).alias("aggregate"), F.count_if(F.col(change) == new).alias("added"), F.count_if(~active).alias("removed")
     )
+
+
+def reference_codes(df: DataFrame, code: str, change: str, new: str = "NEW", deleted: str = "DELETED") -> DataFrame:
+    """(code, active boolean, numeric boolean, added boolean): the codes of a reference list that reference_domain() counts."""
+    active = ~F.coalesce(F.col(change) == deleted, F.lit(False))
+    return df.select(F.col(code).alias("code"), active.alias("active"), F.coalesce(F.col(code).rlike("^[0-9]+$"), F.lit(False)).alias("numeric"), F.coalesce(F.col(change) == new, F.lit(False)).alias("added"))

@@ -94,3 +94,29 @@ def test_streams(spark, tmp_path):
     query = windowed_counts(events.withColumn("t", events.observed_date.cast("timestamp")), "t", ["management_number"]).writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert spark.sql("SELECT sum(n) AS n FROM counts").first().n == 5
+
+
+def test_pages_of_a_task_must_be_whole(spark):
+    body = '{"response":{"header":{"resultCode":"00"},"body":{"totalCount":%s,"items":{"item":%s}}}}'
+    good = [("a", 1, body % (3, '[{"id":"1"},{"id":"2"}]')), ("a", 2, body % (3, '{"id":"3"}')), ("b", 1, body % (0, "null"))]
+    schema = "task string, page int, body string"
+    found = S.require_whole(spark.createDataFrame(good, schema), "body", ["task"], most_pages=2)
+    assert sorted(map(tuple, found.collect())) == [("a", 2, 3, 3), ("b", 1, 0, 0)]
+    probe = S.page_counts(spark.createDataFrame([("a", 1, body % (3, '[{"id":"1"}]')), ("a", 1, "no json")], schema), "body").collect()
+    assert [(r.result_code, r.total_count, r.page_rows) for r in probe] == [("00", 3, 1), (None, None, 0)]
+    bad = [
+        good[:1],  # rows are missing
+        [good[0], ("a", 2, body % (4, '{"id":"3"}'))],  # the total changes
+        [good[0], ("a", 3, good[1][2])],  # a page is missing
+        [("c", 1, "no json")],
+    ]
+    for rows in bad:
+        with pytest.raises(S.SourceError, match="whole"):
+            S.require_whole(spark.createDataFrame(rows, schema), "body", ["task"])
+    with pytest.raises(S.SourceError, match="whole"):
+        S.require_whole(spark.createDataFrame(good, schema), "body", ["task"], most_pages=1)
+
+
+def test_reference_codes(spark):
+    df = spark.createDataFrame([("11", "NEW"), ("12", None), ("X", "DELETED"), (None, None)], "code string, change string")
+    assert [tuple(r) for r in S.reference_codes(df, "code", "change").collect()] == [("11", True, True, True), ("12", True, True, False), ("X", False, False, False), (None, True, False, False)]
