@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.components import connected, roots
-from sedimenta.llm.store import Scratch
+from sedimenta.llm.store import Scratch, settle
 from sedimenta.llm.textbytes import distinct, lean, mix, shingle_sets, shingles, slim_batches, utf8, word_hashes
 
 BANDS, ROWS = 32, 4
@@ -250,7 +250,9 @@ def near_components(
         if turn == stars and large is not None:
             edges = edges.unionByName(_block_links(large, texts, scratch, percent, k))
         edges = scratch.save(edges)
+        settle(spark)
         labels = connected(scratch, labels, edges)
+        settle(spark)
         tested = pairs if tested is None else tested.unionByName(pairs)
     named_classes = classes.join(labels, "rep", "left").select("h1", "h2", F.coalesce("comp", "rep").alias("comp"))
     out = every.drop("sig").withColumn("linkable", F.expr("id IS NOT NULL AND n > 0"))

@@ -28,7 +28,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.store import Scratch
+from sedimenta.llm.store import Scratch, settle
 
 # Forms of address by gender, first names by gender and script, syllables by script.
 MALE_TITLES = ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Don", "Sr", "Г-н", "Господин", "Κύριος", "Κ", "Պարոն")
@@ -377,6 +377,7 @@ def collisions(scratch: Scratch, docs: DataFrame, text: str, key: str) -> DataFr
         shared = made.withColumn("n", F.row_number().over(order)).join(real, (F.col("k") == F.col("kind")) & (F.col("real") == F.col("new")), "left")
         again = F.when((F.col("n") > 1) | F.col("real").isNotNull(), F.col("attempt") + 1).otherwise(F.col("attempt"))
         every = scratch.save(shared.select("kind", "id", "entity", again.alias("attempt"), (again > F.col("attempt")).alias("moved")))
+        settle(docs.sparkSession)
         if not every.where("moved").limit(1).count():
             return every.where("attempt > 0").select("kind", "id", "attempt")
         every = every.drop("moved")

@@ -7,6 +7,7 @@ them is written.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -50,9 +51,18 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def settle(spark: SparkSession) -> None:
+    """Let Spark forget the jobs that are done: it deletes their shuffle files and broadcasts once nothing on the driver refers to them.
+
+    Left to itself the driver collects its garbage only when its heap is full. Iterative operators call this after each round.
+    """
+    gc.collect()  # plans that Python objects still name
+    spark._jvm.System.gc()
+
+
 def clean(spark: SparkSession, keep: Scratch | None = None) -> None:
     """Delete the tables of all operator runs of this session so far but `keep`; their results must have been written."""
     for scratch in [s for s in Scratch.open if s.spark is spark and s is not keep]:
         scratch.drop()
         Scratch.open.remove(scratch)
-    spark._jvm.System.gc()  # Spark deletes shuffle files and broadcasts once nothing on the driver refers to them
+    settle(spark)

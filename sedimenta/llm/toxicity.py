@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from sedimenta.llm.store import Scratch
+from sedimenta.llm.store import Scratch, settle
 from sedimenta.llm.textbytes import lean, mix, shingle_sets
 
 #: Labelled texts that the model is fitted on at most (those of the least hash), tokens cached in a worker.
@@ -301,6 +301,7 @@ class ToxicityModel:
     def fit(cls, docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> ToxicityModel:
         train = training_rows(docs, labels, doc_id, text, label, sample)
         lexicon = learn_lexicon(train)
+        settle(docs.sparkSession)
         classes = {r.label for r in train.select("label").distinct().collect()}
         if classes != {0.0, 1.0}:  # nothing to learn from: a hit decides
             return cls(lexicon, np.eye(len(FEATURES))[5] * 4.0, -2.0)
@@ -309,6 +310,7 @@ class ToxicityModel:
             fitted = LogisticRegression(maxIter=50, regParam=1e-3, weightCol="weight").fit(rows)
         finally:
             rows.unpersist()
+        settle(docs.sparkSession)
         return cls(lexicon, np.array(fitted.coefficients), float(fitted.intercept))
 
     def score(self, df: DataFrame, text: str = "text", to: str = "score") -> DataFrame:
