@@ -6,7 +6,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "sedimenta", cores: str | int = "*", shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -26,6 +26,26 @@ def get_session(app: str = "sedimenta", cores: str | int = "*", shuffle_partitio
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir of the session; where it is unset and Spark runs on this machine alone, as in tests, a new local folder."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="sedimenta-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the shared folder, so that a lost executor changes nothing of it."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, as spark-submit --py-files would."""
     context = spark.sparkContext
