@@ -140,6 +140,63 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sedimenta.llm.prefix_trie import branched_turns, conversation_trie, ordered_turns
+    from sedimenta.llm.store import Scratch
+
+    scratch = Scratch(spark, "prefix_trie")
+    own = scratch.save(ordered_turns(_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text", scratch))
+    turns, conversations = branched_turns(own)
+    return conversation_trie(scratch.save(turns), conversations, scratch)
+
+
+OP11_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, n, conv_id - conv_id % 5 AS base, xor(list_reduce(
+    list_concat([4294967295::BIGINT], flatten(list_transform(range(1, len(conv_id::VARCHAR) + 1), lambda i: [ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384::BIGINT * (xor(c, b) & 1))), 4294967295::BIGINT) % 9 AS h
+  FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id)),
+known AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS taken FROM convs c LEFT JOIN convs b ON c.base = b.conv_id),
+rebuilt AS (
+  SELECT k.conv_id, t.place AS d, t.role, t.text FROM known k JOIN turns t ON t.conv_id = k.base AND t.place <= k.taken
+  UNION ALL SELECT k.conv_id, k.taken + t.place - k.h, t.role, t.text FROM known k JOIN turns t ON t.conv_id = k.conv_id AND t.place > k.h),
+steps AS (
+  SELECT conv_id, d, strlen(text) AS n_bytes, list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY d) AS key FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, [] FROM convs),
+ends AS (SELECT conv_id, max(d) AS d FROM steps GROUP BY conv_id),
+nodes AS (
+  SELECT s.key, s.d AS depth, min(s.conv_id) AS conv_id, count(*) AS n_convs, any_value(s.n_bytes) AS n_bytes,
+    sha256(coalesce(string_agg(s.conv_id::VARCHAR, ',' ORDER BY s.conv_id) FILTER (WHERE e.d = s.d), '')) AS ends_sha256
+  FROM steps s JOIN ends e ON s.conv_id = e.conv_id GROUP BY s.key, s.d),
+kids AS (SELECT key[1:depth - 1] AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k ON n.key = k.key),
+sums AS (
+  SELECT key[1:up] AS key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS leaves, sum((n_convs - 1) * n_bytes) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM full_nodes) GROUP BY 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s ON n.key = s.key LEFT JOIN nodes p ON n.depth > 0 AND p.key = n.key[1:n.depth - 1]
+"""
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sedimenta.llm.fingerprints import fingerprint_documents
+
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sedimenta.llm.spelling import common_words, group_variants, runs, with_slips
+    from sedimenta.llm.store import Scratch
+
+    scratch = Scratch(spark, "spelling")
+    words = scratch.save(common_words(with_slips(runs(_table(spark, sf_dir, "documents")))))
+    return group_variants(words, scratch)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_url_filters": op2_url_filters,
@@ -151,5 +208,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_near_dedup": op10_near_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_spelling_variants": op13_spelling_variants,
 }
-SQL: dict[str, str] = {"op2_url_filters": OP2_SQL}
+SQL: dict[str, str] = {"op2_url_filters": OP2_SQL, "op11_prefix_trie": OP11_SQL}
