@@ -1,40 +1,34 @@
 """Where intermediate results of the iterative operators live.
 
 They are written to the shared folder named by spark.checkpoint.dir, which survives the loss of
-any executor, and read back, which also cuts lineage. clean() deletes them once what was made of
-them is written.
+any executor, and read back, which also cuts lineage. Results are lazy and read them, so they stay
+until their owner deletes them: what is called within `with temporary(spark):` has its tables deleted
+at the end of the block, and nobody else's.
 """
 
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sedimenta.session import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset and Spark runs on this machine alone, as in tests, a new local folder."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="sedimenta-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+_owner: ContextVar[list[Scratch] | None] = ContextVar("owner of new scratch tables", default=None)
 
 
 class Scratch:
     """A folder of Parquet tables of one operator run."""
 
-    open: list[Scratch] = []
-
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
-        Scratch.open.append(self)
+        if (mine := _owner.get()) is not None:
+            mine.append(self)
 
     def save(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
         """Write df once and return what was written."""
@@ -60,9 +54,15 @@ def settle(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def clean(spark: SparkSession, keep: Scratch | None = None) -> None:
-    """Delete the tables of all operator runs of this session so far but `keep`; their results must have been written."""
-    for scratch in [s for s in Scratch.open if s.spark is spark and s is not keep]:
-        scratch.drop()
-        Scratch.open.remove(scratch)
-    settle(spark)
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, the tables of the operators called in it; their results must have been written by then."""
+    mine: list[Scratch] = []
+    token = _owner.set(mine)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+        for scratch in mine:
+            scratch.drop()
+        settle(spark)
