@@ -14,7 +14,7 @@ from sedimenta.llm.decontam import decontaminate
 from sedimenta.llm.near_dedup import deduplicate
 from sedimenta.llm.pii import replace_entities
 from sedimenta.llm.sp_sampling import sample_encodings
-from sedimenta.llm.store import Scratch, clean
+from sedimenta.llm.store import Scratch, temporary
 from sedimenta.llm.toxicity import reject_toxic
 
 #: Key of the surrogates; a real run passes its own secret.
@@ -85,8 +85,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        before, docs = docs, scratch.save(stage(spark, docs, sf_dir))
-        clean(spark, keep=scratch)
+        before = docs
+        with temporary(spark):
+            docs = scratch.save(stage(spark, docs, sf_dir))
         if hasattr(before, "_scratch_path"):
             scratch.drop(before)
     return docs
