@@ -11,6 +11,8 @@ from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.operators.ordered import quantiles
+
 
 def folds(panel: DataFrame, month: str, target: str, cutoffs: Sequence[str], horizon: int = 3) -> DataFrame:
     """Rows by fold and role: TRAIN if the month's target was complete at the cutoff, TEST in the cutoff's month.
@@ -76,8 +78,8 @@ def best_model(fold_metrics: DataFrame, baseline: str, measure: str = "wape") ->
 
 def residual_band(history: DataFrame, future: DataFrame, key: str, actual: str, forecast: str, q: float = 0.90) -> DataFrame:
     """future with a band of the q-quantile of absolute residuals by key, not below zero, and whether it covers the actual."""
-    width = history.groupBy(key).agg(F.percentile(F.abs(F.col(actual) - F.col(forecast)), q).alias("band"))
-    out = future.join(F.broadcast(width), key, "left")
+    width = quantiles(history.select(key, F.abs(F.col(actual) - F.col(forecast)).alias("__off")), [key], "__off", q)
+    out = future.join(width.withColumnRenamed("quantile", "band"), key, "left")
     out = out.withColumns({"band_low": F.greatest(F.col(forecast) - F.col("band"), F.lit(0.0)), "band_high": F.col(forecast) + F.col("band")})
     return out.withColumn("covered", F.col(actual).between(F.col("band_low"), F.col("band_high")))
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.operators.ordered import numbered, quantiles
+
 
 def dense_panel(counts: DataFrame, month: str, keys: Sequence[str], value: str) -> DataFrame:
     """Every month from the first to the last for every value of each key; absent combinations are 0.
@@ -78,15 +80,16 @@ def largest_gap(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
 def quantile_rows(df: DataFrame, total: str, code: str, quantiles: Sequence[float] = (0.1, 0.5, 0.9)) -> DataFrame:
     """The rows at the nearest index (halves to even) of each quantile by (total, code), and the last; a row that is picked twice keeps its first label.
 
-    Meant for one row per group of a summary: the order over all rows is made in one partition.
+    Rows are numbered over ranges of the order; a handful of numbers is then looked up.
     """
-    order = Window.orderBy(total, code)
-    placed = df.withColumn("__i", F.row_number().over(order) - 1).withColumn("__n", F.count("*").over(Window.partitionBy()))
-    picks = [F.when(F.col("__i") == F.bround((F.col("__n") - 1) * F.lit(q)).cast("int"), F.struct(F.lit(n).alias("o"), F.lit(f"q{round(100 * q):02d}").alias("label"))) for n, q in enumerate(quantiles)]
-    picks.append(F.when(F.col("__i") == F.col("__n") - 1, F.struct(F.lit(len(quantiles)).alias("o"), F.lit("max").alias("label"))))
-    return placed.withColumn("__pick", F.least(*picks)).where("__pick IS NOT NULL").select(F.col("__pick.label").alias("label"), code, total)
+    placed = numbered(df.select(code, total), total, code, to="__at")
+    size = placed.agg(F.count("*").alias("n"))
+    wanted = [F.struct((F.bround((F.col("n") - 1) * F.lit(q)).cast("long") + 1).alias("__at"), F.lit(i).alias("o"), F.lit(f"q{round(100 * q):02d}").alias("label")) for i, q in enumerate(quantiles)]
+    wanted.append(F.struct(F.col("n").alias("__at"), F.lit(len(quantiles)).alias("o"), F.lit("max").alias("label")))
+    picks = size.where("n > 0").select(F.inline(F.array(*wanted))).groupBy("__at").agg(F.min_by("label", "o").alias("label"))
+    return placed.join(F.broadcast(picks), "__at").select("label", code, total)
 
 
 def quantile_by(df: DataFrame, keys: Sequence[str], value: str, q: float) -> DataFrame:
-    """The linearly interpolated quantile of each group."""
-    return df.groupBy(*keys).agg(F.percentile(value, q).alias("quantile"))
+    """The linearly interpolated quantile of each group, without a group's values in one place."""
+    return quantiles(df, keys, value, q)

@@ -8,6 +8,7 @@ from sedimenta.functions import scalars as S
 from sedimenta.operators import profile as P
 from sedimenta.plans.bindings import bind
 from sedimenta.plans.registry import query
+from sedimenta.session import shared_dir
 from sedimenta.plans.scalar_queries import _date, _float, _quality, _trim
 from sedimenta.sources import snapshots as SRC
 
@@ -147,23 +148,12 @@ def s_csv_round_trip(spark, sf):
     import uuid
 
     names = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    path = f"{_shared(spark)}/csv-{uuid.uuid4().hex}"
-    SRC.write_csv(bind(spark, sf, "customer").select(*names), path, single=True)
-    files = [f for f in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").collect()]
-    back = SRC.read_csv(spark, files[0].path, names)
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    SRC.write_csv(bind(spark, sf, "customer").select(*names), path)
+    back = SRC.read_csv(spark, path, names)
     return back.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"), "c_mktsegment")
 
 
-def _shared(spark) -> str:
-    import tempfile
-
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="sedimenta-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 @query("s_parquet_round_trip", "SELECT * FROM nation")
 def s_parquet_round_trip(spark, sf):
     """O-08, O-12"""
@@ -171,7 +161,7 @@ def s_parquet_round_trip(spark, sf):
 
     from sedimenta.operators.build import write_parquet
 
-    path = f"{_shared(spark)}/parquet-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/parquet-{uuid.uuid4().hex}"
     write_parquet(bind(spark, sf, "nation"), path)
     return spark.read.parquet(path)
 

@@ -8,7 +8,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from sedimenta.operators.ordered import numbered_in_place
 
 #: Encodings that are tried on the head of a file, after a byte-order mark.
 ENCODINGS = ("utf-8", "cp949", "euc-kr")
@@ -20,10 +22,23 @@ class SourceError(ValueError):
     """A source doesn't have the shape it must have."""
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The path itself if it is a file, else the files below it that Spark would read, by name."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(p).isDirectory():
+        return [path]
+    found = [(f.getPath().getName(), f) for f in fs.listStatus(p)]
+    return [f.getPath().toString() for name, f in sorted(found, key=lambda x: x[0]) if f.isFile() and name[0] not in "_." and f.getLen()]
+
+
 def head_bytes(spark: SparkSession, path: str, size: int = HEAD) -> bytes:
-    """The first bytes of a file in any store that Spark reads."""
+    """The first bytes of a file in any store that Spark reads, or of the first file of a folder; none where there is none."""
     jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    files = data_files(spark, path)
+    if not files:
+        return b""
+    p = jvm.org.apache.hadoop.fs.Path(files[0])
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     stream = fs.open(p)
     try:
@@ -65,6 +80,7 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     """All columns as text; empty values stay empty. Rows of another width and undecodable bytes raise.
 
     columns: the exact set of the header's names, in any order; None takes the header as it is. Repeated names raise.
+    path: a file, or a folder of files with one header, which are read by a task each; a file whose header differs raises.
     """
     head = head_bytes(spark, path)
     encoding = encoding or detect_encoding(head)[0]
@@ -86,8 +102,7 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
 
 def with_row_number(df: DataFrame, name: str = "source_row_number") -> DataFrame:
     """1-based numbers in the order of the file; for frames of one file, whose partitions are in its order."""
-    numbered = df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + 1))
-    return df.sparkSession.createDataFrame(numbered, StructType([*df.schema.fields, StructField(name, LongType())]))
+    return numbered_in_place(df, to=name)
 
 
 def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
