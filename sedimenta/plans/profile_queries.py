@@ -207,3 +207,25 @@ def s_reference_domain(spark, sf):
     k = F.col("n_nationkey")
     rows = bind(spark, sf, "nation").select((k + 1).alias("number"), F.when(k % 2 == 0, F.lpad(k.cast("string"), 7, "0")).otherwise(F.concat(k.cast("string"), F.lit("_ALL"))).alias("code"), F.when(k % 5 == 0, "DELETED").when(k % 5 == 1, "NEW").alias("change"))
     return SRC.reference_domain(rows, "number", "code", "change")
+
+
+@query("s_paged_history", """
+SELECT event_type AS source_key, strftime(ts, '%Y%m%d') AS base_date, CAST(user_id % 2 AS VARCHAR) AS authority_code, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(ceil(count(*) / 50.0) AS BIGINT) AS pages, count(*) AS announced
+FROM events WHERE event_type <> 'error' AND ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-21' GROUP BY 1, 2, 3""")
+def s_paged_history(spark, sf):
+    """O-03, O-116: events landed as pages of 50 for each type, day and half of the users, and read back as their first pages plan it; sources and dates are pruned"""
+    import uuid
+
+    from sedimenta.sources.history import PagedHistory
+    from sedimenta.sources.pages import land_pages, paged
+
+    e = bind(spark, sf, "events").select(F.col("event_type").alias("source_key"), F.date_format("ts", "yyyyMMdd").alias("base_date"), (F.col("user_id") % 2).cast("string").alias("authority_code"), "event_id")
+    root = f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}"
+    land_pages(paged(e, ["source_key", "base_date", "authority_code"], "event_id", F.struct(F.col("event_id").alias("item_id")), 50), root)
+    spark.dataSource.register(PagedHistory)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    pages = spark.read.format("paged_history").option("root", root).load()
+    pages = pages.where("source_key IN ('click', 'purchase', 'signup', 'view') AND base_date >= '20240111' AND base_date < '20240121'")
+    items = SRC.json_items(pages, "body", "item_id long")
+    keys = ("source_key", "base_date", "authority_code")
+    return items.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum("item_id").alias("id_sum"), F.count_distinct("page").alias("pages"), F.max("total_count").alias("announced"))
