@@ -8,6 +8,8 @@ bottom MinHash sketch) is always in the document. A document's shingle hashes ar
 these sketches; each candidate is then decided by the exact share of the item's shingles that the
 document holds. No document that contains an item is missed and nothing of the corpus is shuffled.
 Words are compared in Unicode case folding, so a text in capitals holds what it holds in any case.
+An item of n < k words is one shingle of n words; where such items occur, documents are also cut into
+shingles of n words, so that short items are found inside long texts.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.textbytes import lean, shingle_sets, slim_batches
+from sedimenta.llm.textbytes import chunks, distinct, lean, shingles, slim_batches, utf8, word_hashes
 
 #: Shingle hashes of items held by a worker at once: 8 MB; further items take further passes.
 BLOCK = 1 << 20
@@ -33,19 +35,45 @@ def _folded(column: pa.Array) -> pa.Array:
     return pa.array(texts, pa.large_binary()).view(pa.large_string())
 
 
+def _shingled(column: pa.Array, k: int, short: int, own: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, hashes, offsets) of each chunk: the sorted set of k-word shingles of each text, and of n words for each bit n of short.
+
+    own: instead, texts of n < k words have their one shingle of n words.
+    """
+    data, offsets = utf8(_folded(column))
+    for lo, hi in chunks(offsets):
+        at = offsets[lo : hi + 1]
+        words, row, _, _ = word_hashes(data[at[0] : at[-1]], at - at[0])
+        count = np.bincount(row, minlength=hi - lo)
+        found = []
+        for n in range(1, k + 1):
+            if n == k or own or short >> n & 1:
+                of = count[row] >= n if n == k or not own else count[row] == n
+                found.append(shingles(words[of], row[of], hi - lo, n))
+        h, its = distinct(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+        yield lo, hi, h, np.searchsorted(its, np.arange(hi - lo + 1))
+
+
 def item_sets(items: DataFrame, item_id: str = "item_id", text: str = "text", k: int = 5) -> DataFrame:
-    """(item, hashes array<long>): the sorted k-word shingle set of each item; ids and texts that are null, and texts without words, are left out. Items of one id are one item."""
+    """(item, hashes array<long>, short int): the sorted shingle set of each item, and a bit for each number of words below k of its texts.
+
+    Ids and texts that are null, and texts without words, are left out. Items of one id are one item.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, h, at in shingle_sets(_folded(batch.column(1)), k):
+            data, offsets = utf8(_folded(batch.column(1)))
+            _, row, _, _ = word_hashes(data, offsets)
+            count = np.bincount(row, minlength=batch.num_rows)
+            short = np.where(count < k, 1 << np.minimum(count, k), 0)
+            for lo, hi, h, at in _shingled(batch.column(1), k, 0, own=True):
                 sets = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sets], ["item", "hashes"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sets, pa.array(short[lo:hi], pa.int32())], ["item", "hashes", "short"])
 
     kind = items.schema[item_id].dataType.simpleString()
     found = items.select(F.col(item_id).alias("item"), F.col(text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    found = found.mapInArrow(lean(run), f"item {kind}, hashes array<long>").where("size(hashes) > 0")
-    return found.groupBy("item").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hashes")))).alias("hashes"))
+    found = found.mapInArrow(lean(run), f"item {kind}, hashes array<long>, short int").where("size(hashes) > 0")
+    return found.groupBy("item").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hashes")))).alias("hashes"), F.bit_or("short").alias("short"))
 
 
 def sketch_length(size: int, threshold: float, step: float = STEP) -> int:
@@ -97,17 +125,18 @@ def _hits(h: np.ndarray, at: np.ndarray, lookup: tuple[np.ndarray, ...]) -> Iter
             yield r, i, shared
 
 
-def _blocks(sets: DataFrame, most: int) -> Iterator[list[tuple[object, np.ndarray]]]:
-    """The items' sets in blocks of at most `most` hashes, one partition at a time on the driver."""
-    block, size = [], 0
+def _blocks(sets: DataFrame, most: int) -> Iterator[tuple[list[tuple[object, np.ndarray]], int]]:
+    """The items' sets in blocks of at most `most` hashes, and their bits of short lengths, one partition at a time on the driver."""
+    block, size, short = [], 0, 0
     for row in sets.toLocalIterator():
         if block and size + len(row.hashes) > most:
-            yield block
-            block, size = [], 0
+            yield block, short
+            block, size, short = [], 0, 0
         block.append((row["item"], np.array(row.hashes, np.int64)))
         size += len(row.hashes)
+        short |= row.short
     if block:
-        yield block
+        yield block, short
 
 
 def contained_items(
@@ -126,8 +155,8 @@ def contained_items(
 
     Items are broadcast in blocks of at most `block` hashes (one pass over the documents for each), so
     no broadcast outgrows 8 * block bytes but for a single longer item. Null and empty texts contain
-    nothing and are contained in nothing; items of fewer than k words count as one shingle, found as
-    whole short texts only; repeated document rows give repeated rows, repeated item ids one item;
+    nothing and are contained in nothing; items of fewer than k words count as one shingle of that
+    many words; repeated document rows give repeated rows, repeated item ids one item;
     other columns are left out; empty tables give an empty result.
     """
     spark = docs.sparkSession
@@ -135,14 +164,14 @@ def contained_items(
     schema = f"`{doc_id}` {id_kind}, `{item_id}` {item_kind}, n_shared long, n_item long"
     narrow = docs.select(F.col(doc_id), F.col(text).alias("__text"))
     found: DataFrame | None = None
-    for part in _blocks(item_sets(items, item_id, item_text, k), block):
+    for part, short in _blocks(item_sets(items, item_id, item_text, k), block):
         shared = spark.sparkContext.broadcast((pa.array([i for i, _ in part]), _lookup(part, threshold)))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, short=short) -> Iterator[pa.RecordBatch]:
             names, lookup = shared.value
             sizes = np.diff(lookup[3])
             for batch in (x for whole in batches for x in slim_batches(whole, "__text")):
-                for lo, _, h, at in shingle_sets(_folded(batch.column(1)), k):
+                for lo, _, h, at in _shingled(batch.column(1), k, short):
                     if hits := list(_hits(h, at, lookup)):
                         r, i, n = (np.array(x) for x in zip(*hits, strict=True))
                         columns = [batch.column(0).take(pa.array(r + lo)), names.take(pa.array(i)), pa.array(n, pa.int64()), pa.array(sizes[i], pa.int64())]
@@ -171,15 +200,15 @@ def decontaminate(
     Rows with null or empty texts stay.
     """
     spark = docs.sparkSession
-    for part in _blocks(item_sets(items, item_id, item_text, k), block):
+    for part, short in _blocks(item_sets(items, item_id, item_text, k), block):
         shared = spark.sparkContext.broadcast(_lookup(part, threshold))
         at_text = docs.columns.index(text)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, at_text=at_text) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, at_text=at_text, short=short) -> Iterator[pa.RecordBatch]:
             lookup = shared.value
             for batch in (x for whole in batches for x in slim_batches(whole, text)):
                 clean = np.ones(batch.num_rows, bool)
-                for lo, _, h, at in shingle_sets(_folded(batch.column(at_text)), k):
+                for lo, _, h, at in _shingled(batch.column(at_text), k, short):
                     clean[[lo + r for r, _, _ in _hits(h, at, lookup)]] = False
                 yield batch.filter(pa.array(clean))
 

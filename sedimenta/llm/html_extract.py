@@ -29,7 +29,7 @@ PAGES, TREES, DEPTH, LEAVE = 400, 20, 4, 1.0
 
 # Kinds of HTML elements, and words of class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea svg math select object canvas".split())
+RAW = frozenset("script style template iframe textarea".split())
 BLOCK = frozenset("address article aside blockquote body br button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSES = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -221,7 +221,7 @@ class Forest:
             cut = False
             for node, text, edge in page.texts:
                 cut = cut or edge
-                if kept[base + node]:
+                if kept[base + node] or len(page.tag) == 1:  # a page without any element is its text
                     if cut:
                         blocks.append([])
                         cut = False
@@ -285,7 +285,7 @@ def _boilerplate(rng: random.Random, kind: str) -> str:
         "sidebar": (f"<aside>{paragraph}{links}</aside>", f"<div {name('sidebar', 'right-rail', 'widget', 'sidebar-left')}><h3>{_sentence(rng, 3)}</h3>{links}{paragraph}</div>"),
         "ad": (f"<div {name('ad', 'ads', 'advert', 'ad-slot', 'banner', 'sponsored')}>{paragraph}</div>", f"<aside {name('ad', 'promo')}>{paragraph}</aside>", f"<ins class='ads'>{words}</ins>"),
         "notice": (f"<div {name('cookie-notice', 'notice', 'cookie-banner', 'alert', 'gdpr-consent', 'popup')}>{paragraph}<button>{_sentence(rng, 2)}</button></div>", f"<div role='alert'>{paragraph}</div>"),
-        "form": (f"<form action='/s'><label>{_sentence(rng, 3)}</label><input name='q'><button>{_sentence(rng, 2)}</button>{paragraph}</form>", f"<div {name('newsletter', 'login', 'subscribe')}>{paragraph}<form><input><button>ok</button></form></div>"),
+        "form": (f"<form action='/s'><label>{_sentence(rng, 3)}</label><input name='q'><button>{_sentence(rng, 2)}</button>{paragraph}</form>", f"<form><select><option>{_sentence(rng, 3)}</option><option>{words}</option></select><button>ok</button></form>", f"<div {name('newsletter', 'login', 'subscribe')}>{paragraph}<form><input><button>ok</button></form></div>"),
         "comments": (f"<section {name('comments', 'discussion')}><h2>{_sentence(rng, 3)}</h2>" + "".join(f"<div class='comment'><b>{_sentence(rng, 2)}</b><p>{_prose(rng)}</p></div>" for _ in range(rng.randint(1, 6))) + "</section>", f"<div id='comments'><ol>" + "".join(f"<li class='comment'>{_prose(rng)}</li>" for _ in range(rng.randint(1, 6))) + "</ol></div>"),
         "related": (f"<div {name('related', 'recommended', 'more-stories')}><h3>{_sentence(rng, 3)}</h3>{links}</div>", f"<section {name('related-posts', 'share', 'social-links')}>{links}</section>"),
     }
@@ -311,6 +311,9 @@ def generated_page(rng: random.Random) -> str:
             blocks.append(f"<blockquote><p>{_prose(rng)}</p></blockquote>")
         elif kind < 0.93:
             blocks.append(f"<figure><img src='/i.png'><figcaption>{_sentence(rng)}</figcaption></figure>")
+        elif kind < 0.94:
+            formula = "<math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math>"
+            blocks.append(rng.choice((p(f"{_sentence(rng)} {formula} {inline}"), f"<object data='/x.pdf'>{p(inline)}</object>", f"<noscript>{p(inline)}</noscript>", f"<figure><svg><title>{_sentence(rng, 4)}</title><text>{_sentence(rng, 3)}</text></svg><figcaption>{_sentence(rng)}</figcaption></figure>", f"<canvas>{_sentence(rng)}</canvas>")))
         elif kind < 0.96:
             blocks.append("<table>" + "".join(f"<tr><td>{_sentence(rng, 4)}</td><td>{_sentence(rng, 4)}</td></tr>" for _ in range(rng.randint(2, 4))) + "</table>")
         else:
@@ -384,7 +387,8 @@ def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "ur
     """(page_id, url, text string, n_chars long), a row for every input row.
 
     text is the page's main content: character references decoded, white space inside a block one
-    space, blocks joined in page order by one space, nothing capped; empty where a page has none. Null
+    space, blocks joined in page order by one space, nothing capped; empty where a page has none; a page without
+    any element is its text. Only scripts, styles, templates, frames and text areas are left out unseen. Null
     and empty pages give empty texts; null urls and ids stay; repeated rows are each extracted; other
     columns are left out; an empty table gives an empty result. n_chars counts code points.
     """
