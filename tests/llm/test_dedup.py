@@ -150,7 +150,7 @@ def test_contained_items(spark):
     docs += [(100, None), (101, "Two  WORDS"), (102, ""), (None, items[0][1])]
     want = set()
     for j, item in items:
-        s, k = shingle_set(item), min(5, len(item.split())) or 5  # an item of fewer words is looked up among the shingles of as many
+        s, k = shingle_set(item), min(5, len((item or "").split())) or 5  # an item of fewer words is looked up among the shingles of as many
         want |= {(i, j) for i, d in docs if s and len(s & shingle_set(d, k)) >= 0.8 * len(s)}
     d, b = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string")
     for block in (40, 1 << 20):
