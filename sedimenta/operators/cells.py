@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.session import durable
+
 
 def cell_counts(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     """Rows of each combination of keys; nulls are a value of their own. Combined map-side, one shuffle."""
@@ -97,3 +100,41 @@ def page_bounds(rows: Column, groups: Column, page_size: int = 100) -> tuple[Col
     """Least and greatest number of pages of so many rows in so many non-empty groups."""
     lower = F.greatest(groups, F.ceil(rows / page_size)).cast("long")
     return lower, lower + groups - 1
+
+
+def rollup_cells(df: DataFrame, keys: Sequence[str], k: int = 10, n: str = "cell_count") -> DataFrame:
+    """(keys..., level, cell_count, status): the counts of all levels of a hierarchy, none of which tells a hidden one.
+
+    Level l groups by the first l keys (0: the whole table); the keys below are null. Cells of fewer than k rows are
+    SUPPRESSED. A cell is the sum of those one level below, so wherever a single count of such a sum is hidden,
+    the smallest released one below (of equals the first by key) is hidden too: COMPLEMENT. Levels are settled from the top down; then every
+    sum has no hidden count or two and more, and since sums form a tree no hidden count follows from any of them.
+    Hidden counts are null. Null keys are values of their own; an empty table has no cells. One Expand counts all levels; children of a cell are
+    summed up, never gathered.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(f"`{c}`").cast("string").alias(x) for c, x in zip(keys, names, strict=True)])
+    cells = rows.rollup(*names).agg(F.count("*").alias("_n"), (F.lit(len(keys)) - F.bit_count(F.grouping_id())).cast("int").alias("level"))
+    cells = durable(cells.withColumn("_low", F.col("_n") < k))
+
+    def looked_up(rows: DataFrame, table: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
+        """rows joined with table on columns, nulls being values; the table's other columns are added."""
+        named = table.select(*[F.col(c).alias(f"{c}_of") for c in columns], *[c for c in table.columns if c not in columns])
+        on = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in columns], F.lit(True))
+        return rows.join(named, on, how).drop(*[f"{c}_of" for c in columns])
+
+    above = cells.where("level = 0").withColumn("_more", F.lit(False))
+    done = above
+    for level in range(1, len(keys) + 1):
+        at, kept = names[: level - 1], names[:level]
+        here = cells.where(F.col("level") == level)
+        least = F.min(F.when(~F.col("_low"), F.struct("_n", F.col(names[level - 1]).isNotNull().alias("_filled"), F.col(names[level - 1]).alias("_key"))))
+        sums = here.groupBy(*at).agg(F.count_if("_low").alias("_hidden"), least.alias("_least")) if at else here.agg(F.count_if("_low").alias("_hidden"), least.alias("_least"))
+        known = above.select(*at, (F.col("_low") | F.col("_more")).cast("int").alias("_up"))
+        sums = looked_up(sums, known, at, "inner").where((F.col("_hidden") + F.col("_up") == 1) & F.col("_least").isNotNull())
+        picks = sums.select(*at, F.col("_least._key").alias(names[level - 1]), F.lit(True).alias("_picked"))
+        above = looked_up(here, picks, kept, "left").select(*cells.columns, F.coalesce("_picked", F.lit(False)).alias("_more"))
+        above = durable(above)
+        done = done.unionByName(above)
+    status = F.when(F.col("_low"), "SUPPRESSED").when(F.col("_more"), "COMPLEMENT").otherwise("RELEASED")
+    return done.select(*[F.col(x).alias(c) for c, x in zip(keys, names, strict=True)], "level", F.when(status == "RELEASED", F.col("_n")).alias(n), status.alias("status"))

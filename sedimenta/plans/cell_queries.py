@@ -13,6 +13,27 @@ _KEYS = ("authority_code", "status_code")
 _CELLS = "SELECT authority_code, status_code, CAST(year(permit_date) AS BIGINT) AS permit_year, CAST(year(closure_date) AS BIGINT) AS closure_year, count(*) AS cell_count FROM permit_v GROUP BY ALL"
 
 
+_ROLLUP = """
+WITH permits AS (SELECT c_mktsegment AS source_key, lpad(CAST(c_nationkey AS VARCHAR), 7, '0') AS authority_code, o_orderstatus || CAST(o_orderkey % 7 AS VARCHAR) AS status_code FROM orders JOIN customer ON o_custkey = c_custkey),
+cells AS (SELECT source_key, authority_code, status_code, 3 - bit_count(grouping(source_key, authority_code, status_code)::INT) AS level, count(*) AS n, count(*) < 10 AS low FROM permits GROUP BY GROUPING SETS ((source_key, authority_code, status_code), (source_key, authority_code), (source_key), ())),
+s0 AS (SELECT *, false AS more FROM cells WHERE level = 0),
+l1 AS (SELECT c.*, p.low OR p.more AS up, count(*) FILTER (WHERE c.low) OVER () AS hidden, row_number() OVER (ORDER BY c.low, c.n, c.source_key) AS place FROM cells c CROSS JOIN s0 p WHERE c.level = 1),
+s1 AS (SELECT source_key, authority_code, status_code, level, n, low, NOT low AND hidden + up::INT = 1 AND place = 1 AS more FROM l1),
+l2 AS (SELECT c.*, p.low OR p.more AS up, count(*) FILTER (WHERE c.low) OVER w AS hidden, row_number() OVER (w ORDER BY c.low, c.n, c.authority_code) AS place FROM cells c JOIN s1 p ON c.source_key = p.source_key WHERE c.level = 2 WINDOW w AS (PARTITION BY c.source_key)),
+s2 AS (SELECT source_key, authority_code, status_code, level, n, low, NOT low AND hidden + up::INT = 1 AND place = 1 AS more FROM l2),
+l3 AS (SELECT c.*, p.low OR p.more AS up, count(*) FILTER (WHERE c.low) OVER w AS hidden, row_number() OVER (w ORDER BY c.low, c.n, c.status_code) AS place FROM cells c JOIN s2 p ON c.source_key = p.source_key AND c.authority_code = p.authority_code WHERE c.level = 3 WINDOW w AS (PARTITION BY c.source_key, c.authority_code)),
+s3 AS (SELECT source_key, authority_code, status_code, level, n, low, NOT low AND hidden + up::INT = 1 AND place = 1 AS more FROM l3)
+SELECT source_key, authority_code, status_code, CAST(level AS INT) AS level, CASE WHEN NOT low AND NOT more THEN n END AS cell_count, CASE WHEN low THEN 'SUPPRESSED' WHEN more THEN 'COMPLEMENT' ELSE 'RELEASED' END AS status
+FROM (SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3)"""
+
+
+@query("a_rollup_cells", _ROLLUP)
+def a_rollup_cells(spark, sf):
+    """O-56, O-57 over all levels of the cell keys, with further cells hidden so that no hidden one follows"""
+    p = bind(spark, sf, "permit_v").select("source_key", "authority_code", F.concat("status_code", (F.col("row_key") % 7).cast("string")).alias("status_code"))
+    return C.rollup_cells(p, ["source_key", "authority_code", "status_code"])
+
+
 def _cell_keys():
     return [*_KEYS, F.year("permit_date").cast("long").alias("permit_year"), F.year("closure_date").cast("long").alias("closure_year")]
 
