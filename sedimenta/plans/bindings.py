@@ -33,6 +33,12 @@ SELECT source_key, row_key,
   CASE row_key % 9 WHEN 0 THEN '' WHEN 1 THEN ' ' WHEN 2 THEN 'NaN' WHEN 3 THEN 'Infinity' WHEN 4 THEN '1e3' WHEN 5 THEN 'abc' WHEN 6 THEN '0' WHEN 7 THEN '-12.5' ELSE cast(row_key AS string) || '.25' END AS x,
   CASE row_key % 5 WHEN 0 THEN '' WHEN 1 THEN '0' WHEN 2 THEN '+7.' WHEN 3 THEN '.5' ELSE '1_000' END AS y
 FROM {permit_v}""",
+    # the raw rows with the columns of the source that only the parent keeps
+    "source_v": """
+SELECT *, CASE WHEN row_key % 31 = 0 THEN ' ' ELSE ' type ' || cast(row_key % 6 AS string) END AS type_name, CASE WHEN row_key % 2 = 0 THEN 'h' || cast(row_key % 6 AS string) END AS hygiene_name,
+  lpad(cast(row_key % 997 AS string), 6, '0') AS lot_postal, CASE WHEN row_key % 3 = 0 THEN '' ELSE lpad(cast(row_key % 991 AS string), 5, '0') END AS road_postal,
+  CASE WHEN row_key % 4 = 0 THEN 'U' ELSE 'I' END AS update_type, '2026-09-0' || cast(row_key % 9 + 1 AS string) || ' 02:40:00.0' AS updated_at, CASE WHEN row_key % 37 = 0 THEN NULL ELSE '2026080' || cast(row_key % 9 + 1 AS string) || '120000' END AS modified_at
+FROM {raw_v}""",
     # one observation for each user and day: the last event
     "obs_v": """
 SELECT source_key, management_number, observed_date, source_status_code, source_status_name, source_detail_status_code, source_detail_status_name, source_closure_date, source_closure_date_quality

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sedimenta.functions import scalars as S
+from sedimenta.operators import permits as P
 from sedimenta.plans.bindings import bind
 from sedimenta.plans.registry import query
 
@@ -35,21 +36,40 @@ def _float(c: str) -> str:
     return f"(CASE WHEN abs({number}) < 'inf'::DOUBLE THEN {number} END)"
 
 
+_TEXTS = {"authority_code": "authority_code", "management_number": "management_number", "status_code": "source_status_code", "status_name": "source_status_name", "detail_code": "source_detail_status_code", "detail_name": "source_detail_status_name",
+  "business_name": "business_name", "type_name": "business_type_name", "hygiene_name": "hygiene_business_type_name", "lot_postal": "lot_postal_code", "road_postal": "road_postal_code", "lot_address": "lot_address", "road_address": "road_address",
+  "update_type": "source_data_update_type", "updated_at": "source_data_updated_at_raw", "modified_at": "source_last_modified_at_raw"}
+_RETRIEVED = "2026-09-07T10:30:00+09:00"
+
+
+def source_rows(spark, sf):
+    """The source's 39 columns from the raw view; those that the view doesn't have are null."""
+    raw = bind(spark, sf, "source_v")
+    named = {P.TEXTS[to]: F.col(c) for c, to in _TEXTS.items()} | {P.DATES[c]: F.col(c) for c in P.DATES} | {P.NUMBERS[f"source_coordinate_{c}"]: F.col(c) for c in "xy"} | {"전화번호": F.col("phone")}
+    return raw.select("row_key", "source_key", *[named.get(c, F.lit(None).cast("string")).alias(c) for c in P.SOURCE_COLUMNS])
+
+
 @query("t_transform_rows", f"""
-SELECT source_key, row_key AS source_row_number, nullif({_trim('authority_code')}, '') AS authority_code, nullif({_trim('management_number')}, '') AS management_number,
-  {_date('permit_date')} AS permit_date, {_quality('permit_date')} AS permit_date_quality, nullif({_trim('status_code')}, '') AS source_status_code, nullif({_trim('status_name')}, '') AS source_status_name,
-  {_date('closure_date')} AS closure_date, {_quality('closure_date')} AS closure_date_quality, nullif({_trim('business_name')}, '') AS business_name, {_float('x')} AS source_coordinate_x, {_float('y')} AS source_coordinate_y
-FROM raw_v""")
+SELECT source_key, row_key AS source_row_number, sha256('artifact') AS source_artifact_sha256, TIMESTAMP '2026-09-07 01:30:00' AS source_retrieved_at_utc,
+  {', '.join(f"nullif({_trim(c)}, '') AS {to}" for c, to in _TEXTS.items())},
+  {', '.join(f"{_date(c)} AS {c}, {_quality(c)} AS {c}_quality" for c in ('permit_date', 'closure_date'))}, {', '.join(f"{_float(c)} AS source_coordinate_{c}" for c in 'xy')}
+FROM source_v""")
 def transform_rows(spark, sf):
-    """O-18: one projection from source text to typed columns with qualities."""
-    text = lambda c, to=None: S.text_or_null(F.col(c)).alias(to or c)
-    return bind(spark, sf, "raw_v").select(
-        "source_key", F.col("row_key").alias("source_row_number"), text("authority_code"), text("management_number"),
-        S.parse_date(F.col("permit_date")).alias("permit_date"), S.date_quality(F.col("permit_date")).alias("permit_date_quality"),
-        text("status_code", "source_status_code"), text("status_name", "source_status_name"),
-        S.parse_date(F.col("closure_date")).alias("closure_date"), S.date_quality(F.col("closure_date")).alias("closure_date_quality"),
-        text("business_name"), S.parse_float(F.col("x")).alias("source_coordinate_x"), S.parse_float(F.col("y")).alias("source_coordinate_y"),
-    )
+    """O-18: one projection from the 39 source columns to the 26 of the parent, whose faulty values are null (t_rejected_rows has those rows)"""
+    import hashlib
+
+    lineage = P.Lineage(F.col("source_key"), hashlib.sha256(b"artifact").hexdigest(), _RETRIEVED)
+    parent = P.parent_rows(source_rows(spark, sf), lineage, "row_key", "null", ["source_key"])
+    return parent.withColumn("source_retrieved_at_utc", F.to_utc_timestamp("source_retrieved_at_utc", F.current_timezone()).cast("timestamp_ntz"))
+
+
+@query("t_rejected_rows", f"""
+SELECT row_key, array_to_string(list_filter([CASE WHEN nullif({_trim('authority_code')}, '') IS NULL THEN 'authority_code is blank' END, CASE WHEN nullif({_trim('management_number')}, '') IS NULL THEN 'management_number is blank' END,
+  {', '.join(f"CASE WHEN nullif({_trim(c)}, '') IS NOT NULL AND {_float(c)} IS NULL THEN 'source_coordinate_{c} is no finite number' END" for c in 'xy')}], lambda r: r IS NOT NULL), ', ') AS reasons
+FROM source_v WHERE reasons <> ''""")
+def rejected_rows(spark, sf):
+    """O-18, O-20, O-23: the rows that the parent can't hold, and why"""
+    return P.rejected_rows(source_rows(spark, sf), "row_key", ["source_key"]).select("row_key", F.array_join("reasons", ", ").alias("reasons"))
 
 
 @query("t_trim_blank", f"SELECT row_key, nullif({_trim('management_number')}, '') AS management_number, nullif({_trim('business_name')}, '') AS business_name, nullif({_trim('status_name')}, '') AS status_name FROM raw_v")
