@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from sedimenta.functions import scalars as S
 
 #: Groups of fields; a group changes if any of its fields does.
-GROUPS = {"status": ("status_code",), "detail_status": ("detail_code",), "closure_date": ("closure_date",), "permit_date": ("permit_date",), "business_name": ("business_name",), "address": ("road_address",), "coordinates": ("x",)}
+GROUPS = {
+    "status": ("status_code", "status_name"),
+    "detail_status": ("detail_code", "detail_name"),
+    "closure_date": ("closure_date",),
+    "permit_date": ("permit_date",),
+    "business_name": ("business_name",),
+    "address": ("road_address", "lot_address"),
+    "coordinates": ("x", "y"),
+}
+FIELDS = tuple(f for fields in GROUPS.values() for f in fields)
 ALL_THREE = ("business_name", "address", "coordinates")
 
 
@@ -32,6 +41,17 @@ def paired(start: DataFrame, end: DataFrame, key: str, fields: Sequence[str], pa
     return a.join(b, on, "full_outer").withColumns({x: F.coalesce(x, F.lit(False)) for x in ("in_a", "in_b")})
 
 
+def groups_of(pairs: DataFrame, groups: Mapping[str, Sequence[str]] | None = None) -> Mapping[str, Sequence[str]]:
+    """The given groups; else the standard ones, with the fields that were paired. Raises DiffError if a standard group has none."""
+    if groups is not None:
+        return groups
+    found = {g: tuple(f for f in fields if f"a_{f}" in pairs.columns) for g, fields in GROUPS.items()}
+    empty = [g for g, fields in found.items() if not fields]
+    if empty:
+        raise DiffError(f"no field of {empty} was paired")
+    return found
+
+
 def membership(pairs: DataFrame) -> DataFrame:
     """(common_ids, added_ids, disappeared_ids)"""
     a, b = F.col("in_a"), F.col("in_b")
@@ -64,14 +84,16 @@ def transitions(pairs: DataFrame) -> DataFrame:
     return pairs.where("in_a AND in_b").groupBy(transition().alias("transition")).agg(F.count("*").alias("n"))
 
 
-def field_changes(pairs: DataFrame, groups: Mapping[str, Sequence[str]] = GROUPS) -> DataFrame:
+def field_changes(pairs: DataFrame, groups: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """(field_group, changed_rows) over common ids, one aggregate."""
+    groups = groups_of(pairs, groups)
     one = pairs.where("in_a AND in_b").agg(*[F.count_if(changed(f)).alias(g) for g, f in groups.items()])
     return one.select(F.inline(F.array(*[F.struct(F.lit(g).alias("field_group"), F.col(g).alias("changed_rows")) for g in groups])))
 
 
-def closure_patterns(pairs: DataFrame, groups: Mapping[str, Sequence[str]] = GROUPS) -> DataFrame:
+def closure_patterns(pairs: DataFrame, groups: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Transition and direction of the closure date, over common ids whose status changed."""
+    groups = groups_of(pairs, groups)
     moved = pairs.where("in_a AND in_b").where(changed(groups["status"]))
     return moved.groupBy(F.concat(transition(), F.lit("|"), closure_direction()).alias("pattern")).agg(F.count("*").alias("n"))
 
@@ -95,25 +117,38 @@ def _counters(groups: Mapping[str, Sequence[str]], before: str, after: str) -> d
     return out
 
 
-def alignment(pairs: DataFrame, groups: Mapping[str, Sequence[str]] = GROUPS) -> DataFrame:
+def alignment(pairs: DataFrame, groups: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Whether status and closure date change together, and names, addresses and coordinates at once."""
+    groups = groups_of(pairs, groups)
     names = ("status_and_closure_changed", "status_changed_without_closure", "closure_changed_without_status", "simultaneous_identity_changes")
     c = _counters(groups, "03", "01")
     return pairs.agg(*[F.count_if(c[n]).alias(n) for n in names])
 
 
-def reverse_evidence(pairs: DataFrame, before: str = "03", after: str = "01", groups: Mapping[str, Sequence[str]] = GROUPS) -> DataFrame:
+def reverse_evidence(pairs: DataFrame, before: str = "03", after: str = "01", groups: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Ten counters of ids that went back from one status to another."""
+    groups = groups_of(pairs, groups)
     return pairs.agg(*[F.count_if(c).alias(n) for n, c in _counters(groups, before, after).items() if n.startswith("reverse_")])
 
 
-def pair_audit(pairs: DataFrame, partition: Sequence[str] = (), repeated: DataFrame | None = None, groups: Mapping[str, Sequence[str]] = GROUPS, before: str = "03", after: str = "01") -> DataFrame:
+def repeated_ids(start: DataFrame, end: DataFrame, key: str, partition: Sequence[str] = ()) -> DataFrame:
+    """(partition..., repeated_a, repeated_b, repeated_ids): rows beyond the first of an id, on either side and both. Partial counts before the one shuffle."""
+    sides = start.select(*partition, key, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(end.select(*partition, key, F.lit(0).alias("a"), F.lit(1).alias("b")))
+    ids = sides.groupBy(*partition, key).agg(*[(F.greatest(F.sum(s), F.lit(1)) - 1).alias(f"repeated_{s}") for s in "ab"])
+    out = ids.groupBy(*partition).agg(*[F.coalesce(F.sum(f"repeated_{s}"), F.lit(0)).alias(f"repeated_{s}") for s in "ab"])
+    return out.withColumn("repeated_ids", F.col("repeated_a") + F.col("repeated_b"))
+
+
+def pair_audit(pairs: DataFrame, partition: Sequence[str] = (), repeated: DataFrame | None = None, groups: Mapping[str, Sequence[str]] | None = None, before: str = "03", after: str = "01") -> DataFrame:
     """A row for each partition (or one): membership, changes, alignment, reversals, vocabulary, and two verdicts.
 
-    repeated: (partition..., repeated_ids), the rows beyond the first of an id in either snapshot.
+    repeated: (partition..., repeated_ids), the rows beyond the first of an id in either snapshot, as repeated_ids()
+    gives them.
     """
+    groups = groups_of(pairs, groups)
     a, b = F.col("in_a"), F.col("in_b")
-    aggs = [F.count_if(a & b).alias("common_ids"), F.count_if(~a & b).alias("added_ids"), F.count_if(a & ~b).alias("disappeared_ids")]
+    aggs = [F.count_if(a).alias("start_ids"), F.count_if(b).alias("end_ids")]
+    aggs += [F.count_if(a & b).alias("common_ids"), F.count_if(~a & b).alias("added_ids"), F.count_if(a & ~b).alias("disappeared_ids")]
     aggs += [F.count_if(a & b & changed(f)).alias(f"{g}_changes") for g, f in groups.items()]
     aggs += [F.count_if(c).alias(n) for n, c in _counters(groups, before, after).items()]
     aggs += [F.array_sort(F.collect_set(F.when(F.col(f"in_{s}"), _code(s)))).alias(f"codes_{s}") for s in "ab"]  # a status vocabulary: few values
@@ -144,13 +179,25 @@ def with_verdicts(audit: DataFrame) -> DataFrame:
     )
 
 
-def roll_up(audits: DataFrame, partition: Sequence[str]) -> DataFrame:
-    """One row over all pair audits: sums, flags and the sample's verdicts; raises DiffError if a pair repeats or there is none."""
-    keys = audits.groupBy(*partition).count()
-    worst = keys.agg(F.max("count").alias("m")).first().m
-    if worst is None or worst > 1:
-        raise DiffError("there must be one audit for each pair")
-    sums = ("common_ids", "added_ids", "disappeared_ids", "status_changes", "closure_date_changes", "permit_date_changes", "reverse_total", "simultaneous_identity_changes")
+#: Counters of a pair audit that add up over pairs.
+MEMBERS = ("start_ids", "end_ids", "common_ids", "added_ids", "disappeared_ids", "repeated_ids")
+
+
+def totals_of(groups: Mapping[str, Sequence[str]] | None = None) -> list[str]:
+    """All counters that a roll-up adds up, in order."""
+    groups = GROUPS if groups is None else groups
+    return [*MEMBERS, *[f"{g}_changes" for g in groups], *_counters(groups, "", "")]
+
+
+def roll_up(audits: DataFrame, partition: Sequence[str], groups: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """One row over all pair audits: all totals, pairs of each verdict and flag, and the sample's verdicts.
+
+    One pass: audits are gathered by pair (their number is that of the pairs, not of the rows). The result raises while it
+    is computed if a pair comes twice or there is none. Transitions over all pairs are transitions() and closure_patterns().
+    """
+    row = F.struct(*[F.col(c) for c in audits.columns if c not in partition])
+    by_pair = audits.groupBy(*partition).agg(F.count("*").alias("__times"), F.first(row).alias("__audit"))
+    audits = by_pair.select(*partition, "__times", "__audit.*")
     flags = {
         "pairs_repeated": F.col("repeated_ids") > 0,
         "pairs_disappeared": F.col("disappeared_ids") > 0,
@@ -160,11 +207,16 @@ def roll_up(audits: DataFrame, partition: Sequence[str]) -> DataFrame:
         "pairs_identity": F.col("simultaneous_identity_changes") > 0,
         "pairs_vocabulary": F.col("codes_a") != F.col("codes_b"),
         "pairs_strong": F.col("continuity") == "STRONG",
+        "pairs_mixed": F.col("continuity") == "MIXED",
+        "pairs_weak": F.col("continuity") == "WEAK",
         "pairs_ambiguous": F.col("lifecycle_signal") == "AMBIGUOUS",
         "pairs_reversible": F.col("lifecycle_signal") == "REVERSIBLE_OR_CORRECTION_SIGNAL",
         "pairs_usable": F.col("lifecycle_signal") == "USABLE_FOR_FURTHER_AUDIT",
+        "pairs_without_events": F.col("lifecycle_signal") == "INSUFFICIENT_EVENT_EVIDENCE",
     }
-    out = audits.agg(F.count("*").alias("pairs"), *[F.sum(s).alias(s) for s in sums], *[F.count_if(c).alias(n) for n, c in flags.items()])
+    out = audits.agg(F.count("*").alias("pairs"), F.max("__times").alias("__times"), *[F.sum(s).alias(s) for s in totals_of(groups)], *[F.count_if(c).alias(n) for n, c in flags.items()])
+    twice = F.raise_error(F.lit("there must be one audit for each pair")).cast("long")
+    out = out.withColumn("pairs", F.when(F.coalesce("__times", F.lit(0)) == 1, F.col("pairs")).otherwise(twice)).drop("__times")
     return out.withColumns(
         {
             "sample_continuity": F.when(F.col("pairs_strong") == F.col("pairs"), "CONSISTENT_ACROSS_SAMPLE").otherwise("MIXED_SAMPLE"),
@@ -177,9 +229,9 @@ def roll_up(audits: DataFrame, partition: Sequence[str]) -> DataFrame:
 
 
 def count_freeze(counts: DataFrame, keys: Sequence[str], moment: str, n: str, moments: Sequence[str]) -> DataFrame:
-    """Counts of four moments (start, before, after, end): complete, positive, grown and frozen pairs, and pairs of zeros. Raises DiffError if a task repeats."""
-    if counts.groupBy(*keys, moment).count().where("count > 1").limit(1).count():
-        raise DiffError("a count is given twice")
+    """Counts of four moments (start, before, after, end): complete, positive, grown and frozen pairs, and pairs of zeros. Raises while it is computed if a task repeats."""
+    once = counts.groupBy(*keys, moment).agg(F.count("*").alias("__times"), F.max(n).alias(n))
+    counts = once.withColumn(n, F.when(F.col("__times") == 1, F.col(n)).otherwise(F.raise_error(F.lit("a count is given twice")).cast("long")))
     wide = counts.groupBy(*keys).pivot(moment, list(moments)).agg(F.max(n))
     t = [F.col(f"`{m}`") for m in moments]
     complete = t[0].isNotNull() & t[1].isNotNull() & t[2].isNotNull() & t[3].isNotNull()

@@ -54,7 +54,8 @@ WHERE place = 1""",
 SELECT * FROM (
   SELECT c_nationkey AS authority_code, o_custkey AS id, CASE o_orderstatus WHEN 'F' THEN '03' WHEN 'O' THEN '01' ELSE '' END AS status_code, o_orderpriority AS detail_code,
     CASE WHEN o_orderstatus = 'F' THEN cast(cast(o_orderdate AS date) AS string) WHEN o_orderkey % 5 = 0 THEN '' END AS closure_date, CASE WHEN o_orderkey % 4 = 0 THEN c_name ELSE 'x' END AS business_name,
-    cast(o_orderkey % 3 AS string) AS road_address, cast(o_orderkey % 2 AS string) AS x, CASE WHEN o_custkey % 50 = 0 THEN cast(o_orderkey AS string) ELSE 'd' END AS permit_date,
+    cast(o_orderkey % 3 AS string) AS road_address, cast(o_orderkey % 2 AS string) AS x, CASE WHEN o_orderkey % 7 = 0 THEN o_orderstatus ELSE 'n' END AS status_name, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE substr(o_orderpriority, 3) END AS detail_name,
+    CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE 'lot' END AS lot_address, CASE WHEN o_orderkey % 8 = 0 THEN '1' END AS y, CASE WHEN o_custkey % 50 = 0 THEN cast(o_orderkey AS string) ELSE 'd' END AS permit_date,
     row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS place
   FROM {orders} JOIN {customer} ON o_custkey = c_custkey WHERE o_orderdate < DATE '1998-01-01') t
 WHERE place = 1""",
@@ -62,7 +63,8 @@ WHERE place = 1""",
 SELECT * FROM (
   SELECT c_nationkey AS authority_code, o_custkey AS id, CASE o_orderstatus WHEN 'F' THEN '03' WHEN 'O' THEN '01' ELSE '' END AS status_code, o_orderpriority AS detail_code,
     CASE WHEN o_orderstatus = 'F' THEN cast(cast(o_orderdate AS date) AS string) WHEN o_orderkey % 5 = 0 THEN '' END AS closure_date, CASE WHEN o_orderkey % 4 = 0 THEN c_name ELSE 'x' END AS business_name,
-    cast(o_orderkey % 3 AS string) AS road_address, cast(o_orderkey % 2 AS string) AS x, CASE WHEN o_custkey % 50 = 0 THEN cast(o_orderkey AS string) ELSE 'd' END AS permit_date,
+    cast(o_orderkey % 3 AS string) AS road_address, cast(o_orderkey % 2 AS string) AS x, CASE WHEN o_orderkey % 7 = 0 THEN o_orderstatus ELSE 'n' END AS status_name, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE substr(o_orderpriority, 3) END AS detail_name,
+    CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE 'lot' END AS lot_address, CASE WHEN o_orderkey % 8 = 0 THEN '1' END AS y, CASE WHEN o_custkey % 50 = 0 THEN cast(o_orderkey AS string) ELSE 'd' END AS permit_date,
     row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS place
   FROM {orders} JOIN {customer} ON o_custkey = c_custkey WHERE o_orderdate >= DATE '1998-01-01') t
 WHERE place = 1""",

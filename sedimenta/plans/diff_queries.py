@@ -13,17 +13,17 @@ from sedimenta.operators.windows import largest_gap
 from sedimenta.plans.bindings import bind
 from sedimenta.plans.registry import query
 
-_FIELDS = ("status_code", "detail_code", "closure_date", "permit_date", "business_name", "road_address", "x")
+_FIELDS = D.FIELDS
 _PAIRS = "pairs AS (SELECT coalesce(a.authority_code, b.authority_code) AS authority_code, coalesce(a.id, b.id) AS id, a.id IS NOT NULL AS in_a, b.id IS NOT NULL AS in_b, " + ", ".join(f"a.{f} AS a_{f}, b.{f} AS b_{f}" for f in _FIELDS) + " FROM snap_a a FULL JOIN snap_b b ON a.id = b.id AND a.authority_code = b.authority_code)"
 _BOTH = "in_a AND in_b"
 _A, _B = "coalesce(a_status_code, '')", "coalesce(b_status_code, '')"
 _CA, _CB = "trim(coalesce(a_closure_date, ''))", "trim(coalesce(b_closure_date, ''))"
 _DIRECTION = f"CASE WHEN {_CA} = '' AND {_CB} <> '' THEN 'blank->value' WHEN {_CA} <> '' AND {_CB} = '' THEN 'value->blank' WHEN {_CA} <> {_CB} THEN 'value->different_value' ELSE 'unchanged' END"
-_CHANGED = {"status": "status_code", "detail_status": "detail_code", "closure_date": "closure_date", "permit_date": "permit_date", "business_name": "business_name", "address": "road_address", "coordinates": "x"}
+_CHANGED = {"status": ["status_code", "status_name"], "detail_status": ["detail_code", "detail_name"], "closure_date": ["closure_date"], "permit_date": ["permit_date"], "business_name": ["business_name"], "address": ["road_address", "lot_address"], "coordinates": ["x", "y"]}
 
 
 def _diff(group: str) -> str:
-    return f"(a_{_CHANGED[group]} IS DISTINCT FROM b_{_CHANGED[group]})"
+    return "(" + " OR ".join(f"a_{f} IS DISTINCT FROM b_{f}" for f in _CHANGED[group]) + ")"
 
 
 _THREE = f"({_diff('business_name')} AND {_diff('address')} AND {_diff('coordinates')})"
@@ -87,7 +87,7 @@ def d_reverse_ev(spark, sf):
     return D.reverse_evidence(_pairs(spark, sf))
 
 
-_AUDIT = f"""{_PAIRS}, audit AS (SELECT authority_code, {_COUNT(_MEMBERS)}, {_COUNT({f'{g}_changes': f'{_BOTH} AND {_diff(g)}' for g in _CHANGED})}, {_COUNT(_COUNTERS | _REVERSE)},
+_AUDIT = f"""{_PAIRS}, audit AS (SELECT authority_code, {_COUNT({'start_ids': 'in_a', 'end_ids': 'in_b'} | _MEMBERS)}, {_COUNT({f'{g}_changes': f'{_BOTH} AND {_diff(g)}' for g in _CHANGED})}, {_COUNT(_COUNTERS | _REVERSE)},
   list_sort(list(DISTINCT {_A}) FILTER (WHERE in_a)) AS codes_a, list_sort(list(DISTINCT {_B}) FILTER (WHERE in_b)) AS codes_b, CAST(0 AS BIGINT) AS repeated_ids FROM pairs GROUP BY 1),
 verdict AS (SELECT *, CASE WHEN repeated_ids > 0 THEN 'WEAK' WHEN disappeared_ids > 0 OR permit_date_changes > 0 THEN 'MIXED' ELSE 'STRONG' END AS continuity,
   CASE WHEN status_changes = 0 THEN 'INSUFFICIENT_EVENT_EVIDENCE' WHEN status_changed_without_closure > 0 OR closure_changed_without_status > 0 THEN 'AMBIGUOUS' WHEN reverse_total > 0 THEN 'REVERSIBLE_OR_CORRECTION_SIGNAL' ELSE 'USABLE_FOR_FURTHER_AUDIT' END AS lifecycle_signal,
@@ -105,11 +105,11 @@ def d_classify(spark, sf):
     return _audit(spark, sf).select("authority_code", "common_ids", "status_changes", "permit_date_changes", "reverse_total", "continuity", "lifecycle_signal")
 
 
-_SUMS = ("common_ids", "added_ids", "disappeared_ids", "status_changes", "closure_date_changes", "permit_date_changes", "reverse_total", "simultaneous_identity_changes")
+_SUMS = ["start_ids", "end_ids", *_MEMBERS, "repeated_ids", *[f"{g}_changes" for g in _CHANGED], *_COUNTERS, *_REVERSE]
 _FLAGS = {
     "pairs_repeated": "repeated_ids > 0", "pairs_disappeared": "disappeared_ids > 0", "pairs_permit_date": "permit_date_changes > 0", "pairs_reversed": "reverse_total > 0",
     "pairs_mismatched": "status_changed_without_closure > 0 OR closure_changed_without_status > 0", "pairs_identity": "simultaneous_identity_changes > 0",
-    "pairs_vocabulary": "codes_a <> codes_b", "pairs_strong": "continuity = 'STRONG'", "pairs_ambiguous": "lifecycle_signal = 'AMBIGUOUS'",
+    "pairs_vocabulary": "codes_a <> codes_b", "pairs_strong": "continuity = 'STRONG'", "pairs_mixed": "continuity = 'MIXED'", "pairs_weak": "continuity = 'WEAK'", "pairs_without_events": "lifecycle_signal = 'INSUFFICIENT_EVENT_EVIDENCE'", "pairs_ambiguous": "lifecycle_signal = 'AMBIGUOUS'",
     "pairs_reversible": "lifecycle_signal = 'REVERSIBLE_OR_CORRECTION_SIGNAL'", "pairs_usable": "lifecycle_signal = 'USABLE_FOR_FURTHER_AUDIT'",
 }
 
@@ -122,6 +122,13 @@ def d_rollup(spark, sf):
     return D.roll_up(_audit(spark, sf), ["authority_code"])
 
 
+@query("d_repeated", "SELECT o_orderpriority, CAST(sum(a) AS BIGINT) AS repeated_a, CAST(sum(b) AS BIGINT) AS repeated_b, CAST(sum(a) + sum(b) AS BIGINT) AS repeated_ids FROM (SELECT o_orderpriority, o_custkey, greatest(count(*) FILTER (WHERE o_orderstatus = 'F'), 1) - 1 AS a, greatest(count(*) FILTER (WHERE o_orderstatus = 'O'), 1) - 1 AS b FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1, 2) GROUP BY 1")
+def d_repeated(spark, sf):
+    """O-99, O-102: rows beyond the first of an id in either snapshot"""
+    o = bind(spark, sf, "orders")
+    return D.repeated_ids(o.where("o_orderstatus = 'F'"), o.where("o_orderstatus = 'O'"), "o_custkey", ["o_orderpriority"])
+
+
 @query("d_vocab", f"WITH {_AUDIT} SELECT authority_code, array_to_string(codes_added, ',') AS codes_added, array_to_string(codes_removed, ',') AS codes_removed FROM verdict")
 def d_vocab(spark, sf):
     """O-103"""
