@@ -85,6 +85,11 @@ class Contract:
         return df
 
 
+def tagged(df: DataFrame, contract: Contract) -> DataFrame:
+    """df with the contract's name in the metadata of its columns, so that a written build carries it in every footer."""
+    return df.select(*[F.col(f"`{c}`").alias(c, metadata={**df.schema[c].metadata, "contract": contract.name}) for c in df.columns])
+
+
 def violations(df: DataFrame, invariants: Iterable[Invariant]) -> DataFrame:
     """(invariant, violations long): one scan for all rules."""
     rules = list(invariants)

@@ -8,10 +8,11 @@ from sedimenta.operators import calendar as K
 from sedimenta.operators import diff as D
 from sedimenta.operators import geo as G
 from sedimenta.operators import joins as J
-from sedimenta.operators.contract import Invariant, violations
+from sedimenta.operators.contract import ColumnRule, Contract, Invariant, violations
 from sedimenta.operators.windows import largest_gap
 from sedimenta.plans.bindings import bind
 from sedimenta.plans.registry import query
+from sedimenta.session import shared_dir
 
 _FIELDS = D.FIELDS
 _PAIRS = "pairs AS (SELECT coalesce(a.authority_code, b.authority_code) AS authority_code, coalesce(a.id, b.id) AS id, a.id IS NOT NULL AS in_a, b.id IS NOT NULL AS in_b, " + ", ".join(f"a.{f} AS a_{f}, b.{f} AS b_{f}" for f in _FIELDS) + " FROM snap_a a FULL JOIN snap_b b ON a.id = b.id AND a.authority_code = b.authority_code)"
@@ -238,6 +239,17 @@ def g_transform(spark, sf):
     return G.with_geographic(xy, "e", "n").select("vec_id", "wgs84_longitude", "wgs84_latitude", "coordinate_quality")
 
 
+@query("g_round_trip", "SELECT vec_id, CASE WHEN x IS NULL THEN NULL ELSE true END AS returns, CASE WHEN x IS NULL THEN false ELSE x BETWEEN 126 AND 128 AND y BETWEEN 33.96 AND 38.33 END AS in_area FROM xy_v")
+def g_round_trip(spark, sf):
+    """O-106, O-109: degrees to projected metres and back to within 1e-8 degrees (a millimetre), and whether they lie in the area of use"""
+    belt, xy = G.MODIFIED_CENTRAL_BELT, bind(spark, sf, "xy_v")
+    e, n = belt.from_wgs84(F.col("x"), F.col("y"))
+    there = xy.withColumn("p", F.struct(e.alias("e"), n.alias("n")))
+    lon, lat = belt.to_wgs84(F.col("p.e"), F.col("p.n"))
+    back = there.withColumn("g", F.struct(lon.alias("lon"), lat.alias("lat")))
+    return back.select("vec_id", ((F.abs(F.col("g.lon") - F.col("x")) < 1e-8) & (F.abs(F.col("g.lat") - F.col("y")) < 1e-8)).alias("returns"), G.in_area(F.col("x"), F.col("y")).alias("in_area"))
+
+
 @query("g_quality", f"SELECT count(*) FILTER (WHERE x IS NOT NULL AND {_inside('x', 'y', (126.9, 35.9, 127.1, 36.1))}) AS transformed, count(*) FILTER (WHERE x IS NULL) AS missing, CAST(0 AS BIGINT) AS partial, CAST(0 AS BIGINT) AS not_finite, count(*) FILTER (WHERE x IS NOT NULL AND NOT {_inside('x', 'y', (126.9, 35.9, 127.1, 36.1))}) AS outside FROM xy_v")
 def g_quality(spark, sf):
     """O-106, O-130: what becomes of the pairs"""
@@ -268,3 +280,55 @@ def v_parent(spark, sf):
 def v_sidecar(spark, sf):
     """O-78, O-130: the geographic sidecar is one row for each parent row"""
     return J.sidecar_linkage(bind(spark, sf, "embeddings").select("vec_id"), g_transform(spark, sf).select("vec_id"), ["vec_id"], "vec_id")
+
+
+_KEEP = ("source_key", "row_key", "authority_code", "management_number", "permit_date", "closure_date", "price")
+
+
+def _build(rows):
+    """A contract of permits for rows of that shape."""
+    kinds = dict(rows.dtypes)
+    return Contract("permits", tuple(ColumnRule(c, kinds[c], c == "closure_date") for c in _KEEP))
+
+
+@query("v_build", """
+WITH d AS (SELECT count(*) FILTER (WHERE row_key % 7 = 3) AS lost, count(*) FILTER (WHERE row_key % 7 <> 3 AND row_key % 11 = 5) AS blank FROM permit_v)
+SELECT 'sound' AS build, unnest(['no files', 'columns', 'contract', 'codec', 'row groups', 'nulls', 'rows']) AS "check", CAST(0 AS BIGINT) AS violations
+UNION ALL SELECT 'damaged', unnest(['no files', 'columns', 'contract', 'codec', 'row groups', 'nulls', 'rows']), CAST(unnest([0, 0, 0, 0, 0, blank, lost]) AS BIGINT) FROM d""")
+def v_build(spark, sf):
+    """O-09, O-128: a build of all permits is written, and its footers are checked against its contract; so is a copy without every seventh row and without some numbers"""
+    import uuid
+
+    from sedimenta.operators.build import write_parquet
+    from sedimenta.operators.contract import tagged
+    from sedimenta.sources.footers import build_faults, parquet_footers
+
+    root = f"{shared_dir(spark)}/build-{uuid.uuid4().hex}"
+    permits = bind(spark, sf, "permit_v").select(*_KEEP)
+    contract = _build(permits)
+    broken = permits.where("row_key % 7 <> 3").withColumn("management_number", F.when(F.col("row_key") % 11 != 5, F.col("management_number")))
+    out = None
+    for name, rows in (("sound", permits), ("damaged", broken)):
+        write_parquet(tagged(rows, contract), f"{root}/{name}", rows_per_file=50_000)
+        found = build_faults(parquet_footers(spark, f"{root}/{name}"), _KEEP, contract.name, "ZSTD", permits.count(), 50_000, ["management_number", "row_key"])
+        found = found.select(F.lit(name).alias("build"), "check", "violations")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query("s_parquet_facts", """
+SELECT unnest(['o_orderkey', 'o_custkey', 'o_totalprice', 'half']) AS "column", count(*) AS rows, CAST(unnest([0, 0, 0, count(*) FILTER (WHERE o_orderkey % 2 = 1)]) AS BIGINT) AS nulls,
+  CAST(unnest([min(o_orderkey), min(o_custkey), NULL, min(o_orderkey) FILTER (WHERE o_orderkey % 2 = 0)]) AS BIGINT) AS least, CAST(unnest([max(o_orderkey), max(o_custkey), NULL, max(o_orderkey) FILTER (WHERE o_orderkey % 2 = 0)]) AS BIGINT) AS greatest FROM orders""")
+def s_parquet_facts(spark, sf):
+    """O-09: rows, nulls, least and greatest values of a written folder, out of its footers"""
+    import uuid
+
+    from sedimenta.operators.build import write_parquet
+    from sedimenta.sources.footers import column_facts, parquet_footers
+
+    path = f"{shared_dir(spark)}/facts-{uuid.uuid4().hex}"
+    write_parquet(bind(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).alias("half")), path)
+    footers = parquet_footers(spark, path)
+    whole = F.col("physical_type").isin("INT32", "INT64")
+    bounds = footers.groupBy("column").agg(F.min(F.when(whole, F.col("least").try_cast("long"))).alias("least"), F.max(F.when(whole, F.col("greatest").try_cast("long"))).alias("greatest"))
+    return column_facts(footers).select("column", "rows", "nulls").join(bounds, "column")
