@@ -9,6 +9,7 @@ from sedimenta.operators import diff as D
 from sedimenta.operators import geo as G
 from sedimenta.operators import joins as J
 from sedimenta.operators.contract import ColumnRule, Contract, Invariant, violations
+from sedimenta.operators.permits import SIDECAR
 from sedimenta.operators.windows import largest_gap
 from sedimenta.plans.bindings import bind
 from sedimenta.plans.registry import query
@@ -332,3 +333,31 @@ def s_parquet_facts(spark, sf):
     whole = F.col("physical_type").isin("INT32", "INT64")
     bounds = footers.groupBy("column").agg(F.min(F.when(whole, F.col("least").try_cast("long"))).alias("least"), F.max(F.when(whole, F.col("greatest").try_cast("long"))).alias("greatest"))
     return column_facts(footers).select("column", "rows", "nulls").join(bounds, "column")
+
+
+@query("v_damaged_sidecar", """
+WITH s AS (SELECT vec_id FROM embeddings WHERE vec_id % 9 <> 0 UNION ALL SELECT -vec_id - 1 FROM embeddings WHERE vec_id % 10 = 1), p AS (SELECT vec_id FROM embeddings UNION ALL SELECT vec_id FROM embeddings WHERE vec_id % 8 = 3)
+SELECT count(*) FILTER (WHERE s.vec_id IS NULL) AS without_sidecar, count(*) FILTER (WHERE p.vec_id IS NULL) AS without_parent, count(*) AS linked_rows, (SELECT count(*) FROM p) AS parent_rows,
+  (SELECT CAST(max(vec_id) - count(*) AS BIGINT) FROM p) AS beyond_last, (SELECT count(*) - count(DISTINCT vec_id) FROM p) AS repeated_numbers FROM p FULL JOIN s ON p.vec_id = s.vec_id""")
+def v_damaged_sidecar(spark, sf):
+    """O-78, O-130 over a sidecar that lacks rows and has unknown ones, and a parent with repeated numbers"""
+    v = bind(spark, sf, "embeddings").select("vec_id")
+    side = v.where("vec_id % 9 <> 0").unionByName(v.where("vec_id % 10 = 1").select((-F.col("vec_id") - 1).alias("vec_id")))
+    return J.sidecar_linkage(v.unionByName(v.where("vec_id % 8 = 3")), side, ["vec_id"], "vec_id")
+
+
+@query("v_damaged_geo", """
+WITH d AS (SELECT vec_id % 10 AS m, x IS NULL AS missing FROM xy_v)
+SELECT 'transformed pairs are inside' AS invariant, count(*) FILTER (WHERE m IN (1, 2) AND NOT missing OR m = 4 AND missing) AS violations FROM d
+UNION ALL SELECT 'missing pairs are null', count(*) FILTER (WHERE m = 3 OR m = 4 AND NOT missing) FROM d
+UNION ALL SELECT 'coordinate_quality is set', count(*) FILTER (WHERE m = 4) FROM d
+UNION ALL SELECT 'coordinate_quality is allowed', count(*) FILTER (WHERE m = 5) FROM d""")
+def v_damaged_geo(spark, sf):
+    """O-130 by the sidecar's contract, over a sidecar that was damaged by a rule on the row's number: a half and a far coordinate, a pair that should be missing, no quality and an unknown one"""
+    m, q = F.col("vec_id") % 10, F.col("coordinate_quality")
+    damage = {
+        "wgs84_latitude": F.when(m == 3, 36.0).when(m == 2, F.lit(None)).otherwise(F.col("wgs84_latitude")),
+        "wgs84_longitude": F.when((m == 1) & (q == "TRANSFORMED"), 1.0).when(m == 3, 127.0).otherwise(F.col("wgs84_longitude")),
+        "coordinate_quality": F.when(m == 3, "MISSING_SOURCE_COORDINATES").when(m == 4, F.lit(None)).when(m == 5, "UNKNOWN").otherwise(q),
+    }
+    return violations(g_transform(spark, sf).withColumns(damage), [r for r in SIDECAR.rules() if "coordinate_quality" in r.rule])

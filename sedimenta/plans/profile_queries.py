@@ -229,3 +229,22 @@ def s_paged_history(spark, sf):
     items = SRC.json_items(pages, "body", "item_id long")
     keys = ("source_key", "base_date", "authority_code")
     return items.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum("item_id").alias("id_sum"), F.count_distinct("page").alias("pages"), F.max("total_count").alias("announced"))
+
+
+@query("q_sketch_overlap", """
+WITH f AS (SELECT DISTINCT l_returnflag AS a, l_orderkey FROM lineitem)
+SELECT x.a, y.a AS b, count(*) AS shared, true AS within FROM f x JOIN f y ON x.l_orderkey = y.l_orderkey AND x.a < y.a GROUP BY 1, 2""")
+def q_sketch_overlap(spark, sf):
+    """O-55, O-67, O-74 from sketches: orders shared by return flags, over sketches kept for each year and month of shipping; within: the estimate lies within four standard errors of the exact count beside it"""
+    import uuid
+
+    from sedimenta.operators import sketches as K
+
+    root = f"{shared_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    lines = bind(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", F.date_format("l_shipdate", "yyyy-MM").alias("snapshot"))
+    K.key_sketches(lines, ["snapshot", "l_returnflag"], "l_orderkey").write.partitionBy("snapshot").parquet(root)
+    found = K.overlaps(K.merged(K.kept(spark, root), ["l_returnflag"]), "l_returnflag")
+    flags = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("l_returnflag")).alias("flags"))  # at most three
+    pairs = flags.select(F.explode("flags").alias("a"), "flags").select("a", F.explode("flags").alias("b")).where("a < b")
+    exact = pairs.groupBy("a", "b").agg(F.count("*").alias("exact"))
+    return exact.join(found, ["a", "b"]).select("a", "b", F.col("exact").alias("shared"), (F.abs(F.col("shared") - F.col("exact")) <= 4 * F.col("error") + 0.5).alias("within"))

@@ -302,3 +302,36 @@ def v_release(spark, sf):
 
     csv = s_csv_round_trip(spark, sf)
     return B.same_rows(csv, bind(spark, sf, "customer").select(*csv.columns))
+
+
+_HURT = {"episode_number": "u % 5 = 0", "observation_count": "u % 7 = 0", "window_start": "u % 11 = 0", "window_end": "u % 13 = 0", "start_upper": "u % 17 = 0", "start_order": "u % 17 = 0 AND u % 19 <> 0 AND start_censoring = 'INTERVAL_CENSORED'",
+  "start_label": "u % 19 = 0", "right_open": "u % 23 = 0 AND end_censoring = 'RIGHT_CENSORED'", "end_order": "u % 23 = 0 AND end_censoring = 'INTERVAL_CENSORED'"}
+
+
+@query("v_damaged_episodes", _EPISODES + ", d AS (SELECT *, CAST(management_number AS BIGINT) AS u FROM episodes) " + " UNION ALL ".join(f"SELECT '{i.name}' AS invariant, count(*) FILTER (WHERE {_HURT.get(i.name, 'false')}) AS violations FROM d" for i in E.EPISODE_INVARIANTS))
+def v_damaged_episodes(spark, sf):
+    """O-131 over episodes that were damaged by a rule on the permit's number: each rule finds its rows"""
+    u = F.col("management_number").cast("long")
+    hurt = lambda n, column, value: F.when(u % n == 0, value).otherwise(F.col(column))
+    damage = {
+        "episode_number": hurt(5, "episode_number", F.lit(0)),
+        "observation_count": hurt(7, "observation_count", F.lit(0)),
+        "observation_window_start_date": hurt(11, "observation_window_start_date", F.date_add("first_observed_date", 1)),
+        "observation_window_end_date": hurt(13, "observation_window_end_date", F.date_sub("last_observed_date", 1)),
+        "start_boundary_upper_date": hurt(17, "start_boundary_upper_date", F.lit(None).cast("date")),
+        "start_censoring": hurt(19, "start_censoring", F.lit("OPEN")),
+        "right_censored": hurt(23, "right_censored", ~F.col("right_censored")),
+    }
+    return E.verify_episodes(_episodes(spark, sf).withColumns(damage))
+
+
+@query("v_damaged_release", """
+WITH a AS (SELECT c_custkey, CASE WHEN c_custkey % 11 = 1 THEN upper(c_mktsegment) || '!' ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 7 <> 0 UNION ALL SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 13 = 2),
+b AS (SELECT c_custkey, c_mktsegment FROM customer)
+SELECT (SELECT count(*) FROM a) AS rows_a, (SELECT count(*) FROM b) AS rows_b, (SELECT count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) AS only_a, (SELECT count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) AS only_b""")
+def v_damaged_release(spark, sf):
+    """O-132 over a release with rows that are lost, changed and repeated"""
+    whole = bind(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    k = F.col("c_custkey")
+    changed = whole.where(k % 7 != 0).withColumn("c_mktsegment", F.when(k % 11 == 1, F.concat(F.upper("c_mktsegment"), F.lit("!"))).otherwise(F.col("c_mktsegment")))
+    return B.same_rows(changed.unionByName(whole.where(k % 13 == 2)), whole)
