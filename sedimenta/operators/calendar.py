@@ -2,56 +2,83 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.operators.windows import largest_gap
-
 
 class PlanError(ValueError):
     """A plan contradicts itself."""
 
 
-def monthly_dates(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """(observed_date): the start's day in every month before the end (clamped to the month's length), and the end."""
-    a, b = F.to_date(F.lit(start)), F.to_date(F.lit(end))
-    months = spark.range(1).select(F.explode(F.sequence(F.lit(0), F.ceil(F.months_between(b, a)).cast("int"))).alias("i"))
-    each = months.select(F.add_months(a, F.col("i")).alias("observed_date")).where((F.col("observed_date") < b) | (F.col("i") == 0))
-    return each.unionByName(spark.range(1).select(b.alias("observed_date"))).distinct()
+def spans(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
+    """(keys..., first_date, last_date): the dates that each group covers; groups without dates are left out."""
+    return df.groupBy(*keys).agg(F.min(date).alias("first_date"), F.max(date).alias("last_date")).where("first_date IS NOT NULL")
 
 
-def stepped_dates(spark: SparkSession, start: str, end: str, days: int) -> DataFrame:
-    """(observed_date): every `days` days before the end, and the end."""
+def _monthly(a: Column, b: Column) -> Column:
+    """The first day's day in every month before the last day (clamped to the month's length), and the last day; null if the last comes first."""
+    months = F.sequence(F.lit(0), F.greatest(F.ceil(F.months_between(b, a)).cast("int"), F.lit(0)))
+    each = F.filter(F.transform(months, lambda i: F.add_months(a, i)), lambda d: d < b)
+    return F.when(a <= b, F.array_distinct(F.concat(F.array(a), each, F.array(b))))
+
+
+def _stepped(a: Column, b: Column, days: int) -> Column:
+    """Every `days` days from the first day on, and the last day; null if the last comes first."""
     if days < 1:
         raise PlanError("steps must be of one day at least")
-    a, b = F.to_date(F.lit(start)), F.to_date(F.lit(end))
-    each = spark.range(1).select(F.explode(F.sequence(a, b, F.expr(f"interval {days} day"))).alias("observed_date"))
-    return each.unionByName(spark.range(1).select(b.alias("observed_date"))).distinct()
+    return F.when(a <= b, F.array_distinct(F.concat(F.transform(F.sequence(F.lit(0), F.datediff(b, a), F.lit(days)), lambda i: F.date_add(a, i)), F.array(b))))
 
 
-def scenarios(spark: SparkSession, start: str, end: str, reform: str, bounds: Mapping[str, tuple[int, int]], approved: str = "MONTHLY") -> DataFrame:
-    """Cost of four cadences: dates before and after the reform, the greatest gap, and bounds of the requests.
+def _span(spark: SparkSession, start: str, end: str) -> DataFrame:
+    return spark.range(1).select(F.to_date(F.lit(start)).alias("first_date"), F.to_date(F.lit(end)).alias("last_date"))
+
+
+def _exploded(of: DataFrame, keys: Sequence[str], dates: Column) -> DataFrame:
+    return of.select(*keys, F.explode(dates).alias("observed_date"))
+
+
+def monthly_of(of: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys..., observed_date): monthly dates of each span (see spans), its last day included. No shuffle."""
+    return _exploded(of, keys, _monthly(F.col("first_date"), F.col("last_date")))
+
+
+def stepped_of(of: DataFrame, days: int, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys..., observed_date): a date every `days` days of each span, its last day included. No shuffle."""
+    return _exploded(of, keys, _stepped(F.col("first_date"), F.col("last_date"), days))
 
-    bounds: 'before' and 'after' -> requests of one date, least and most.
+
+def monthly_dates(spark: SparkSession, start: str, end: str) -> DataFrame:
+    """(observed_date): the monthly dates of one span."""
+    return monthly_of(_span(spark, start, end))
+
+
+def stepped_dates(spark: SparkSession, start: str, end: str, days: int) -> DataFrame:
+    """(observed_date): the dates of one span, every `days` days."""
+    return stepped_of(_span(spark, start, end), days)
+
+
+def scenarios_of(of: DataFrame, reform: str, bounds: Mapping[str, tuple[int, int]], keys: Sequence[str] = (), approved: str = "MONTHLY") -> DataFrame:
+    """Cost of four cadences over each span: dates before and after the reform, the greatest gap in days (0 for one date), and bounds of the requests.
+
+    bounds: 'before' and 'after' -> requests of one date, least and most. Dates stay arrays of their span: no shuffle.
     """
-    frames = {
-        "ENDPOINTS": spark.range(1).select(F.explode(F.array_distinct(F.array(F.to_date(F.lit(start)), F.to_date(F.lit(end))))).alias("observed_date")),
-        "MONTHLY": monthly_dates(spark, start, end),
-        "WEEKLY": stepped_dates(spark, start, end, 7),
-        "DAILY": stepped_dates(spark, start, end, 1),
-    }
-    dates: DataFrame | None = None
-    for name, frame in frames.items():
-        named = frame.select(F.lit(name).alias("scenario"), "observed_date")
-        dates = named if dates is None else dates.unionByName(named)
-    before = F.col("observed_date") < F.to_date(F.lit(reform))
-    counted = dates.groupBy("scenario").agg(F.count("*").alias("dates"), F.count_if(before).alias("dates_before"), F.count_if(~before).alias("dates_after"))
+    a, b, cut = F.col("first_date"), F.col("last_date"), F.to_date(F.lit(reform))
+    dates = {"ENDPOINTS": F.when(a <= b, F.array_distinct(F.array(a, b))), "MONTHLY": _monthly(a, b), "WEEKLY": _stepped(a, b, 7), "DAILY": _stepped(a, b, 1)}
+    each = of.select(*keys, F.inline(F.array(*[F.struct(F.lit(n).alias("scenario"), d.alias("dates_of")) for n, d in dates.items()]))).where("dates_of IS NOT NULL")
+    held = F.col("dates_of")
+    before = F.size(F.filter(held, lambda d: d < cut)).cast("long")
+    gaps = F.transform(F.sequence(F.lit(2), F.size(held)), lambda i: F.datediff(F.element_at(held, i), F.element_at(held, i - 1)))
+    counted = each.select(*keys, "scenario", F.size(held).cast("long").alias("dates"), before.alias("dates_before"), F.when(F.size(held) > 1, F.array_max(gaps)).otherwise(0).cast("long").alias("max_gap_days"))
+    counted = counted.withColumn("dates_after", F.col("dates") - F.col("dates_before"))
     cost = [F.col("dates_before") * bounds["before"][i] + F.col("dates_after") * bounds["after"][i] for i in (0, 1)]
-    return counted.join(largest_gap(dates, ["scenario"], "observed_date"), "scenario").select(
-        "scenario", "dates", "dates_before", "dates_after", "max_gap_days", cost[0].alias("requests_least"), cost[1].alias("requests_most"), (F.col("scenario") == approved).alias("approved")
-    )
+    return counted.select(*keys, "scenario", "dates", "dates_before", "dates_after", "max_gap_days", cost[0].alias("requests_least"), cost[1].alias("requests_most"), (F.col("scenario") == approved).alias("approved"))
+
+
+def scenarios(spark: SparkSession, start: str, end: str, reform: str, bounds: Mapping[str, tuple[int, int]], approved: str = "MONTHLY") -> DataFrame:
+    """The cadences' cost over one span."""
+    return scenarios_of(_span(spark, start, end), reform, bounds, approved=approved)
 
 
 def expand_plan(plan: DataFrame, key: str, rows: str, dates: str, page_size: int = 100, expected_pages: int | None = None) -> DataFrame:

@@ -103,6 +103,12 @@ def top_values(df: DataFrame, column: str, n: int = 20) -> DataFrame:
     return counted.orderBy(F.desc("n"), "value").limit(n).withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "value")).cast("long"))
 
 
+def filled_columns(df: DataFrame, source: Column, columns: list[str]) -> DataFrame:
+    """(source, column_name): the columns that hold anything but nulls and blanks in each source; one aggregate for all columns."""
+    held = df.groupBy(source.alias("source")).agg(*[F.bool_or(~S.is_blank(F.col(c).cast("string"))).alias(c) for c in columns])
+    return held.select("source", F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("__held")) for c in columns]))).where("__held").drop("__held")
+
+
 def column_sets(profiles: DataFrame, source: str = "source", column: str = "column_name") -> DataFrame:
     """For each column name: in how many sources it is, whether in all, and the only source that has it."""
     total = profiles.agg(F.count_distinct(source).alias("total"))

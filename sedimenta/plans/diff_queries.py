@@ -155,30 +155,36 @@ def d_freeze(spark, sf):
 _SPAN = ("2026-01-01", "2026-09-06")
 
 
-@query("c_monthly", "SELECT DISTINCT d AS observed_date FROM (SELECT CAST(DATE '2026-01-31' + to_months(CAST(i AS INTEGER)) AS DATE) AS d FROM range(0, 9) t(i) WHERE DATE '2026-01-31' + to_months(CAST(i AS INTEGER)) < DATE '2026-09-06' UNION ALL SELECT DATE '2026-09-06')")
+_SPANS = "s AS (SELECT source_key, min(permit_date) AS a, max(permit_date) AS b FROM permit_v GROUP BY 1)"
+_MONTHLY = "SELECT source_key, a AS d FROM s UNION SELECT source_key, d FROM (SELECT source_key, b, CAST(a + to_months(CAST(i AS INTEGER)) AS DATE) AS d FROM s, range(0, 1200) t(i)) WHERE d < b UNION SELECT source_key, b FROM s"
+_STEPPED = "SELECT source_key, CAST(unnest(generate_series(a, b, INTERVAL {0} DAY)) AS DATE) AS d FROM s UNION SELECT source_key, b FROM s"
+
+
+def _spans(spark, sf):
+    return K.spans(bind(spark, sf, "permit_v"), ["source_key"], "permit_date")
+
+
+@query("c_monthly", f"WITH {_SPANS} SELECT source_key, d AS observed_date FROM ({_MONTHLY})")
 def c_monthly(spark, sf):
-    """O-110, from the 31st"""
-    return K.monthly_dates(spark, "2026-01-31", _SPAN[1])
+    """O-110 over the dates that each source covers"""
+    return K.monthly_of(_spans(spark, sf), ["source_key"])
 
 
-@query("c_fixed_step", "SELECT DISTINCT d AS observed_date FROM (SELECT CAST(unnest(generate_series(DATE '2026-01-01', DATE '2026-09-06', INTERVAL 7 DAY)) AS DATE) AS d UNION ALL SELECT DATE '2026-09-06')")
+@query("c_fixed_step", f"WITH {_SPANS} SELECT source_key, d AS observed_date FROM ({_STEPPED.format(7)})")
 def c_fixed_step(spark, sf):
-    """O-111"""
-    return K.stepped_dates(spark, *_SPAN, 7)
-
-
-@query("c_scenarios", """
-WITH d AS (SELECT 'ENDPOINTS' AS scenario, unnest([DATE '2026-01-01', DATE '2026-09-06']) AS d
-  UNION SELECT 'MONTHLY', unnest(list_append(list_transform(range(0, 9), lambda i: CAST(DATE '2026-01-01' + to_months(CAST(i AS INTEGER)) AS DATE)), DATE '2026-09-06'))
-  UNION SELECT 'WEEKLY', CAST(unnest(list_append(generate_series(DATE '2026-01-01', DATE '2026-09-06', INTERVAL 7 DAY), TIMESTAMP '2026-09-06')) AS DATE)
-  UNION SELECT 'DAILY', CAST(unnest(generate_series(DATE '2026-01-01', DATE '2026-09-06', INTERVAL 1 DAY)) AS DATE)),
-g AS (SELECT *, d - lag(d) OVER (PARTITION BY scenario ORDER BY d) AS gap FROM d)
-SELECT scenario, count(*) AS dates, count(*) FILTER (WHERE d < DATE '2026-07-01') AS dates_before, count(*) FILTER (WHERE d >= DATE '2026-07-01') AS dates_after, CAST(max(gap) AS BIGINT) AS max_gap_days,
-  count(*) FILTER (WHERE d < DATE '2026-07-01') * 30100 + count(*) FILTER (WHERE d >= DATE '2026-07-01') * 30132 AS requests_least, count(*) FILTER (WHERE d < DATE '2026-07-01') * 30800 + count(*) FILTER (WHERE d >= DATE '2026-07-01') * 30832 AS requests_most, scenario = 'MONTHLY' AS approved
-FROM g GROUP BY 1""")
+    """O-111 over the dates that each source covers"""
+    return K.stepped_of(_spans(spark, sf), 7, ["source_key"])
+
+
+@query("c_scenarios", f"""
+WITH {_SPANS}, d AS (SELECT 'ENDPOINTS' AS scenario, source_key, a AS d FROM s UNION SELECT 'ENDPOINTS', source_key, b FROM s UNION SELECT 'MONTHLY', * FROM ({_MONTHLY}) UNION SELECT 'WEEKLY', * FROM ({_STEPPED.format(7)}) UNION SELECT 'DAILY', * FROM ({_STEPPED.format(1)})),
+g AS (SELECT *, d - lag(d) OVER (PARTITION BY source_key, scenario ORDER BY d) AS gap FROM d)
+SELECT source_key, scenario, count(*) AS dates, count(*) FILTER (WHERE d < DATE '1995-07-01') AS dates_before, count(*) FILTER (WHERE d >= DATE '1995-07-01') AS dates_after, CAST(coalesce(max(gap), 0) AS BIGINT) AS max_gap_days,
+  count(*) FILTER (WHERE d < DATE '1995-07-01') * 30100 + count(*) FILTER (WHERE d >= DATE '1995-07-01') * 30132 AS requests_least, count(*) FILTER (WHERE d < DATE '1995-07-01') * 30800 + count(*) FILTER (WHERE d >= DATE '1995-07-01') * 30832 AS requests_most, scenario = 'MONTHLY' AS approved
+FROM g GROUP BY 1, 2""")
 def c_scenarios(spark, sf):
-    """O-113"""
-    return K.scenarios(spark, *_SPAN, "2026-07-01", {"before": (30100, 30800), "after": (30132, 30832)})
+    """O-113 over the dates that each source covers"""
+    return K.scenarios_of(_spans(spark, sf), "1995-07-01", {"before": (30100, 30800), "after": (30132, 30832)}, ["source_key"])
 
 
 @query("c_sample_tasks", "SELECT authority_code, n, d AS observed_date, CAST(ceil(n / 100.0) AS BIGINT) AS pages FROM (SELECT authority_code, count(*) AS n FROM permit_v GROUP BY 1), (VALUES (DATE '2026-01-01'), (DATE '2026-09-06')) AS t(d)")

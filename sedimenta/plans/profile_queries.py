@@ -53,13 +53,14 @@ def q_top_values(spark, sf):
     return P.top_values(bind(spark, sf, "orders"), "o_orderpriority", 3)
 
 
-@query("q_column_sets", """
-SELECT column_name, count(DISTINCT source) AS sources, count(DISTINCT source) = 3 AS in_all, CASE WHEN count(DISTINCT source) = 1 THEN min(source) END AS only_in
-FROM (VALUES ('a', 'id'), ('a', 'name'), ('a', 'x'), ('b', 'id'), ('b', 'name'), ('c', 'id'), ('c', 'y')) AS t(source, column_name) GROUP BY column_name""")
+_SETS = ("authority_code", "permit_date", "road_address", "phone", "x", "y")
+
+
+@query("q_column_sets", "WITH t AS (" + " UNION ALL ".join(f"SELECT DISTINCT CAST(row_key % 5 AS VARCHAR) AS source, '{c}' AS column_name FROM raw_v WHERE nullif({_trim(c)}, '') IS NOT NULL" for c in _SETS) + """)
+SELECT column_name, count(DISTINCT source) AS sources, count(DISTINCT source) = (SELECT count(DISTINCT source) FROM t) AS in_all, CASE WHEN count(DISTINCT source) = 1 THEN min(source) END AS only_in FROM t GROUP BY column_name""")
 def q_column_sets(spark, sf):
-    """O-47"""
-    rows = [("a", "id"), ("a", "name"), ("a", "x"), ("b", "id"), ("b", "name"), ("c", "id"), ("c", "y")]
-    return P.column_sets(spark.createDataFrame(rows, "source string, column_name string"))
+    """O-47 over the columns that are filled in each fifth of the raw rows"""
+    return P.column_sets(P.filled_columns(bind(spark, sf, "raw_v"), (F.col("row_key") % 5).cast("string"), list(_SETS)))
 
 
 def _dup(name: str, key: str) -> str:
