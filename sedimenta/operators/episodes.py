@@ -55,18 +55,24 @@ def require_observations(df: DataFrame, start: str, end: str, most: int | None =
 
 def episodes(df: DataFrame, start: str, end: str, key: Sequence[str] = KEY, state: Sequence[str] = STATE) -> DataFrame:
     """The 23 columns of an episode. One shuffle by permit serves the windows and the grouping."""
-    by = Window.partitionBy(*key).orderBy("observed_date")
+    day = F.col("observed_date")
+    return episodes_of_runs(df.select(*key, *state, "source_closure_date", "source_closure_date_quality", day.alias("first_date"), day.alias("last_date"), F.lit(1).cast("long").alias("n")), start, end, key, state)
+
+
+def episodes_of_runs(runs: DataFrame, start: str, end: str, key: Sequence[str] = KEY, state: Sequence[str] = STATE) -> DataFrame:
+    """The same from runs of equal observations (first_date, last_date, n days, state and closure date), such as single days."""
+    by = Window.partitionBy(*key).orderBy("first_date")
     whole = F.struct(*state)
     change = F.when(F.row_number().over(by) == 1, 1).when(F.lag(whole).over(by).eqNullSafe(whole), 0).otherwise(1)
-    numbered = df.withColumn("__change", change).withColumn("episode_number", F.sum("__change").over(by.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
+    numbered = runs.withColumn("__change", change).withColumn("episode_number", F.sum("__change").over(by.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
     closure = F.struct("source_closure_date", "source_closure_date_quality")
     runs = numbered.groupBy(*key, "episode_number").agg(
-        F.min("observed_date").alias("first_observed_date"),
-        F.max("observed_date").alias("last_observed_date"),
-        F.count("*").alias("observation_count"),
-        F.min_by(F.struct(*state), "observed_date").alias("__state"),
-        F.min_by(closure, "observed_date").alias("__first"),
-        F.max_by(closure, "observed_date").alias("__last"),
+        F.min("first_date").alias("first_observed_date"),
+        F.max("last_date").alias("last_observed_date"),
+        F.sum("n").alias("observation_count"),
+        F.min_by(F.struct(*state), "first_date").alias("__state"),
+        F.min_by(closure, "first_date").alias("__first"),
+        F.max_by(closure, "last_date").alias("__last"),
     )
     order = Window.partitionBy(*key).orderBy("episode_number")
     lower, upper = F.lag("last_observed_date").over(order), F.lead("first_observed_date").over(order)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sedimenta.operators import build as B
@@ -10,6 +12,8 @@ from sedimenta.operators import forecast as M
 from sedimenta.operators import windows as W
 from sedimenta.plans.bindings import bind
 from sedimenta.plans.registry import query
+from sedimenta.session import shared_dir
+from sedimenta.streaming import keyed as K
 
 START, END = "2020-01-01", "2030-12-31"
 _STATE = ("source_status_code", "source_status_name", "source_detail_status_code", "source_detail_status_name")
@@ -35,6 +39,21 @@ def w_episodes(spark, sf):
     return _episodes(spark, sf)
 
 
+@query("w_episodes_stream", _EPISODES + "SELECT * FROM episodes")
+def w_episodes_stream(spark, sf):
+    """O-80 over a stream: the same observations in files of scattered days, some of them twice, by keyed state"""
+    folder = f"{shared_dir(spark)}/episodes-{uuid.uuid4().hex}"
+    obs = bind(spark, sf, "obs_v")
+    again = obs.where("day(observed_date) % 7 = 0")  # these days arrive once more, in another file
+    parts = obs.withColumn("part", F.abs(F.xxhash64("observed_date")) % 3).unionByName(again.withColumn("part", F.lit(3).cast("long")))
+    parts.write.partitionBy("part").parquet(f"{folder}/parts")
+    for part in (3, 1, 2, 0):  # one micro-batch each; days come in no order
+        spark.read.schema(obs.schema).parquet(f"{folder}/parts/part={part}").write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(obs.schema).parquet(f"{folder}/in")
+        K.follow_keyed_episodes(stream, f"{folder}/state", START, END, K.publisher(f"{folder}/out")).awaitTermination()
+    return K.published(spark, f"{folder}/out")
+
+
 @query("v_episodes", "SELECT unnest(['" + "', '".join(i.name for i in E.EPISODE_INVARIANTS) + "']) AS invariant, CAST(0 AS BIGINT) AS violations")
 def v_episodes(spark, sf):
     """O-131: every rule holds for every episode"""
