@@ -10,8 +10,8 @@ key that equal windows share. Neighbouring windows share it too, so a text sends
 of windows, about one for 40 bytes. A run alone under its key repeats nothing; runs under one key that are
 equal (by a further hash of all their bytes) repeat as a whole; the suffixes of the other runs are sorted.
 
-A group of suffixes is sorted in one task: digits are the first 4 bytes, the next 16, then the rest, and
-what is equal is confirmed on the bytes. Suffixes of runs under a key of many (a passage that many texts
+A group of suffixes is sorted in one task, by digits of 4 bytes and then of 16 up to the last byte of the
+width. Suffixes of runs under a key of many (a passage that many texts
 share, with a different text before it in each) are never gathered: the tasks that read the texts send a
 row for each, dealt out by 128 bits of hash of the whole window.
 
@@ -35,8 +35,8 @@ from sedimenta.llm.textbytes import _BYTE, _P, _P_INV, chunks, lean, mix, powers
 
 #: `width`, the grams' length, and the runs under one key whose suffixes one task sorts at most (3 MB of text, 130 MB as it sorts them).
 WIDTH, GRAM, GROUP = 100, 20, 16_384
-#: Leading bytes of the first digits; the last digit is the rest of the window.
-DIGITS = (4, 16)
+#: Bytes of the first digit and of all others; the last one is what is left of the window.
+LEAD, DIGIT = 4, 16
 #: Keys of more than GROUP runs that are sent to all tasks at most; more are joined.
 BROADCAST = 200_000
 _KEYS = "k1 long, k2 long, id long, pos long"
@@ -228,27 +228,24 @@ class _Windows:
         return out
 
     def equal(self) -> tuple[np.ndarray, np.ndarray]:
-        """(window, group): the windows that occur at least twice under their key; in a group the first comes first."""
+        """(window, group): the windows that occur at least twice under their key; in a group the first comes first.
+
+        A pass sorts each group by its next bytes and leaves groups of two and more; after the last byte of the width a group's windows are equal.
+        """
         at, depth = np.arange(len(self.at)), 0
         _, group = np.unique(self.k1, return_inverse=True)
-        for size in [d for d in DIGITS if sum(DIGITS) < self.width] + [0]:
-            place = self.at[at] + depth
-            keys = self.digit(place, size) if size else [self.hashes(place, self.width - depth)]
+        while depth < self.width and len(at):
+            size = min(LEAD if depth == 0 else DIGIT, self.width - depth)
+            keys = self.digit(self.at[at] + depth, size)
             depth += size
             order = np.lexsort((*keys[::-1], group))  # stable, so places stay in order within a group
             at, group, keys = at[order], group[order], [k[order] for k in keys]
-            new = np.append(True, group[1:] != group[:-1])[: len(at)]
+            new = np.append(True, group[1:] != group[:-1])
             for k in keys:
                 new[1:] |= k[1:] != k[:-1]
             group = np.cumsum(new) - 1
-            shared = np.bincount(group, minlength=1)[group] > 1 if len(group) else np.zeros(0, bool)
+            shared = np.bincount(group)[group] > 1
             at, group = at[shared], group[shared]
-        for lo in range(0, len(at), 50_000):  # confirmed on the bytes of the first
-            part = slice(lo, lo + 50_000)
-            head = at[np.searchsorted(group, group[part])]
-            across = np.arange(self.width)
-            if (self.data[self.at[at[part]][:, None] + across] != self.data[self.at[head][:, None] + across]).any():
-                raise ValueError("two different windows have one 64-bit hash; choose another base")
         return at, group
 
 
