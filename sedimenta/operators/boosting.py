@@ -33,11 +33,12 @@ class Growth:
 
 @dataclass
 class Tree:
-    """Heaps by group, flat: node i (from 1) of group g splits on feature[g, i] after bin cut[g, i]; value[g, leaf]."""
+    """Heaps by group, flat: node i (from 1) of group g splits on feature[g, i] after bin cut[g, i]; value[g, leaf]; cover[g, i]: its training rows."""
 
     feature: np.ndarray
     cut: np.ndarray
     value: np.ndarray
+    cover: np.ndarray
 
 
 @dataclass
@@ -137,7 +138,7 @@ def grow(rows: DataFrame, features: Sequence[str], target: str, group: str, trai
     for t in range(growth.trees):
         if t % growth.cut_lineage == 0:
             now = durable(now)
-        tree = Tree(np.zeros((groups, nodes), np.int64), np.full((groups, nodes), width), np.zeros((groups, nodes)))
+        tree = Tree(np.zeros((groups, nodes), np.int64), np.full((groups, nodes), width), np.zeros((groups, nodes)), np.zeros((groups, 2 * nodes)))
         value: dict[tuple[int, int], np.ndarray] = {}
         node = F.lit(1)
         g, h = gradients(F.col("_y"), F.col("_margin"), _of(np.array(powers, float), F.col("_group")))
@@ -154,6 +155,8 @@ def grow(rows: DataFrame, features: Sequence[str], target: str, group: str, trai
                 value[k, 2 * i], value[k, 2 * i + 1] = left, right
             node = _step(tree, node, nodes)
         for k in range(groups):
+            for i in range(1, 2 * nodes):  # a node that isn't split hands all its rows to the left
+                tree.cover[k, i] = value[k, i][2] if (k, i) in value else 0 if i % 2 else tree.cover[k, i // 2]
             for leaf in range(nodes):
                 i = nodes + leaf
                 while i > 1 and (k, i) not in value:

@@ -7,10 +7,12 @@ import json
 import os
 import platform
 import subprocess
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import UTC, datetime
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,10 +33,14 @@ def build_id(contract: Contract, writer: Mapping[str, object], inputs: Sequence[
 
 
 def content_hash(df: DataFrame) -> str:
-    """A digest of the rows in any order, repeated rows included: exclusive or and sum of row hashes, and the count."""
-    h = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in df.columns])
-    row = df.agg(F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(38,0)")).alias("s"), F.count("*").alias("n")).first()
-    return hashlib.sha256(f"{df.columns}|{row.x}|{row.s}|{row.n}".encode()).hexdigest()
+    """A digest of the rows in any order, repeated rows included: exclusive ors and sums of two 64-bit hashes of each row, and the count.
+
+    Nulls are told from every text, and a value from the same value in the next column.
+    """
+    cells = [c for name in df.columns for c in (F.col(f"`{name}`").isNull(), F.col(f"`{name}`").cast("string"))]
+    hashes = [F.xxhash64(F.lit(seed), *cells) for seed in (0, 1)]
+    row = df.agg(F.count("*"), *[f for h in hashes for f in (F.bit_xor(h), F.sum(h.cast("decimal(38,0)")))]).first()
+    return hashlib.sha256("|".join(map(str, (df.columns, *row))).encode()).hexdigest()
 
 
 def file_digest(path: str | Path) -> tuple[int, str]:
@@ -62,13 +68,26 @@ def write_parquet(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
 
 
 def commit(spark: SparkSession, df: DataFrame, root: str, name: str, write: Callable[[DataFrame, str], None] = write_parquet) -> str:
-    """Write into root/.tmp and rename to root/name; an existing build is never replaced, a failed one is removed."""
-    final, staging = f"{root.rstrip('/')}/{name}", f"{root.rstrip('/')}/.tmp/{name}-{os.getpid()}"
+    """Write into root/.tmp and rename to root/name; an existing build is never replaced, a failed one is removed.
+
+    A claim file, made only where there is none, keeps a second writer of the name out until the first is done; a
+    writer that dies leaves it behind, and the error names it.
+    """
+    root = root.rstrip("/")
+    final, claim, staging = f"{root}/{name}", f"{root}/.tmp/{name}.claim", f"{root}/.tmp/{name}-{uuid.uuid4().hex}"
     fs, target = _fs(spark, final)
+    held, source = _fs(spark, claim)[1], _fs(spark, staging)[1]
     if fs.exists(target):
         raise BuildError(f"build {name} exists")
-    _, source = _fs(spark, staging)
     try:
+        fs.create(held, False).close()
+    except Py4JJavaError as taken:
+        if not fs.exists(held):
+            raise
+        raise BuildError(f"build {name} is being written; if its writer is gone, delete {claim}") from taken
+    try:
+        if fs.exists(target):
+            raise BuildError(f"build {name} exists")
         write(df, staging)
         fs.mkdirs(target.getParent())
         if not fs.rename(source, target):
@@ -76,6 +95,8 @@ def commit(spark: SparkSession, df: DataFrame, root: str, name: str, write: Call
     except Exception:
         fs.delete(source, True)
         raise
+    finally:
+        fs.delete(held, False)
     return final
 
 

@@ -94,13 +94,14 @@ def sidecar_linkage(parent: DataFrame, sidecar: DataFrame, keys: Sequence[str],
 
 
 def merge_summaries(key: str, *parts: DataFrame) -> DataFrame:
-    """Inner joins of summaries by their key; raises DomainError if a key is not in all of them or repeats."""
-    counts = [p.agg(F.count("*").alias("n"), F.count_distinct(key).alias("d")).first() for p in parts]
-    if len({(c.n, c.d) for c in counts}) != 1 or counts[0].n != counts[0].d:
-        raise DomainError("the summaries have different or repeated keys")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, key)
-    if out.count() != counts[0].n:
-        raise DomainError("the summaries have different keys")
-    return out
+    """Joins of summaries by their key, each read once; the result raises while it is computed if a key is null, repeats, or isn't in all of them."""
+    out: DataFrame | None = None
+    for i, p in enumerate(parts):
+        rest = [F.col(f"`{c}`") for c in p.columns if c != key]
+        once = p.groupBy(key).agg(F.count("*").alias(f"__n{i}"), F.first(F.struct(*rest)).alias(f"__r{i}")) if rest else p.groupBy(key).agg(F.count("*").alias(f"__n{i}"))
+        out = once if out is None else out.join(once, key, "full_outer")
+    whole = F.col(key).isNotNull()
+    for i in range(len(parts)):
+        whole = whole & (F.coalesce(F.col(f"__n{i}"), F.lit(0)) == 1)
+    checked = out.where(F.when(whole, True).otherwise(F.raise_error(F.lit("a key of the summaries is null, repeats, or isn't in all of them")).cast("boolean")))
+    return checked.select(key, *[f"__r{i}.*" for i, p in enumerate(parts) if len(p.columns) > 1])

@@ -275,9 +275,8 @@ _NINE = ("1998-03-01", "1998-06-01", "1998-09-01", "1998-12-01", "1999-03-01", "
 _HOLDOUT = "2000-09-01"
 
 
-@query("m_boosted")
-def m_boosted(spark, sf):
-    """O-118: boosted Poisson and Tweedie counts and their blend over nine folds and a holdout, all grown together; tested against a plain fit"""
+def _boosted(spark, sf):
+    """(rows with forecasts, trees, features) of Poisson and Tweedie counts over nine folds and a holdout, all grown together."""
     from sedimenta.operators import boosting as T
 
     cutoffs, powers = [*_NINE, _HOLDOUT], {"poisson": 1.0, "tweedie": 1.3}
@@ -286,14 +285,30 @@ def m_boosted(spark, sf):
     rows = M.folds(f, "month", "target_3m", cutoffs).select("cutoff", "month", *_KEYS, "target_3m", *names[:-1], F.col("authority_code").cast("int").alias("nation"), (F.col("role") == "TRAIN").alias("learn"))
     at = F.array_position(F.lit(list(cutoffs)), F.col("cutoff").cast("string")).cast("int") - 1
     rows = rows.withColumn("loss", F.explode(F.lit(list(powers)))).withColumn("fit", at * len(powers) + F.array_position(F.lit(list(powers)), F.col("loss")).cast("int") - 1)
-    out, _ = T.grow(rows, names, "target_3m", "fit", "learn", list(powers.values()) * len(cutoffs), T.Growth(trees=8))
-    test = out.where("NOT learn AND target_3m IS NOT NULL").groupBy("cutoff", *_KEYS, "target_3m", "seasonal_naive_3m").pivot("loss", list(powers)).agg(F.first("prediction"))
+    out, trees = T.grow(rows, names, "target_3m", "fit", "learn", list(powers.values()) * len(cutoffs), T.Growth(trees=8))
+    return out, trees, names
+
+
+@query("m_boosted")
+def m_boosted(spark, sf):
+    """O-118: boosted Poisson and Tweedie counts and their blend over nine folds and a holdout; tested against a plain fit"""
+    out, _, _ = _boosted(spark, sf)
+    test = out.where("NOT learn AND target_3m IS NOT NULL").groupBy("cutoff", *_KEYS, "target_3m", "seasonal_naive_3m").pivot("loss", ["poisson", "tweedie"]).agg(F.first("prediction"))
     test = test.withColumn("seasonal_naive_3m", F.col("seasonal_naive_3m").cast("double"))
     test = test.withColumn("seasonal_ml_blend", M.blend(F.col("poisson"), F.col("seasonal_naive_3m")))
     scores = M.metrics(test, ["cutoff"], "target_3m", ["poisson", "tweedie", "seasonal_naive_3m", "seasonal_ml_blend"], _KEYS)
     return scores.withColumn("role", F.when(F.col("cutoff") == F.to_date(F.lit(_HOLDOUT)), "HOLDOUT").otherwise("FOLD"))
 
 
+@query("m_contributions")
+def m_contributions(spark, sf):
+    """O-123: mean absolute Shapley value of each feature in the forecasts of each fold and loss; tested against the definition"""
+    from sedimenta.operators import contributions as C
+
+    out, trees, names = _boosted(spark, sf)
+    return C.mean_contributions(C.contributions(trees, out.where("NOT learn"), names, "fit"), names, ["cutoff", "loss"])
+
+
 @query("m_importance")
 def m_importance(spark, sf):
     """O-123: importances of the boosted model; no oracle"""
