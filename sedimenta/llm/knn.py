@@ -23,6 +23,8 @@ from sedimenta.llm.store import Scratch
 
 #: Pivots at least and at most (about the square root of the number of vectors; a sample that only steers the search), queries and data vectors of a local block.
 PIVOTS, QUERY_BLOCK, DATA_BLOCK = (16, 512), 4096, 16384
+#: Queries whose bounds one step of a task works out: with 512 pivots and 6 rows of each a matrix of 13 MB.
+SLICE = 512
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
@@ -139,15 +141,14 @@ def top_inner_products(
     first_of = np.flatnonzero(np.append(True, near_id[1:] != near_id[:-1]))
 
     def of_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x = _matrix(batch.column(1), dims)
-                d = distances(x, True)
-                cell = d.argmin(axis=1)
-                upper = np.minimum.reduceat(d[:, near_cell] + near_d, first_of, axis=1)  # no farther than by way of the pivot
-                upper[np.asarray(batch.column(0))[:, None] == near_id[first_of]] = np.inf
-                theta = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else np.full(len(d), np.inf)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x.astype(packed)], pa.binary()), pa.array(cell, pa.int32()), pa.array(d[np.arange(len(x)), cell]), pa.array(theta)], ["id", "x", "cell", "d", "theta"])
+        for batch in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
+            x = _matrix(batch.column(1), dims)
+            d = distances(x, True)
+            cell = d.argmin(axis=1)
+            upper = np.minimum.reduceat(d[:, near_cell] + near_d, first_of, axis=1)  # no farther than by way of the pivot
+            upper[np.asarray(batch.column(0))[:, None] == near_id[first_of]] = np.inf
+            theta = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else np.full(len(d), np.inf)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x.astype(packed)], pa.binary()), pa.array(cell, pa.int32()), pa.array(d[np.arange(len(x)), cell]), pa.array(theta)], ["id", "x", "cell", "d", "theta"])
 
     queries = scratch.save(v.where(F.col("id") % every == 0).mapInArrow(of_queries, "id long, x binary, cell int, d double, theta double"))
     cells = {r.cell: r for r in queries.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("reach"), F.max("theta").alias("theta")).collect()}
