@@ -6,7 +6,6 @@ import hashlib
 import json
 import os
 import platform
-import subprocess
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import UTC, datetime
@@ -45,11 +44,8 @@ def content_hash(df: DataFrame) -> str:
 
 def file_digest(path: str | Path) -> tuple[int, str]:
     """(bytes, sha256) of a local file."""
-    h = hashlib.sha256()
     with open(path, "rb") as f:
-        while part := f.read(1 << 20):
-            h.update(part)
-    return os.path.getsize(path), h.hexdigest()
+        return os.fstat(f.fileno()).st_size, hashlib.file_digest(f, "sha256").hexdigest()
 
 
 #: Settings of the Parquet writer that a build pins.
@@ -113,13 +109,13 @@ def plan(df: DataFrame, contract: Contract, root: str, inputs: Sequence[str]) ->
     }
 
 
-def materialise(spark: SparkSession, df: DataFrame, contract: Contract, root: str, inputs: Sequence[str]) -> dict:
-    """Check the contract, write, and return the manifest with counts and the content's digest."""
+def materialise(spark: SparkSession, df: DataFrame, contract: Contract, root: str, inputs: Sequence[str], revision: str | None = None) -> dict:
+    """Check the contract, write, and return the manifest with counts, the content's digest, and the revision of the code if it's given."""
     contract.require(df)
     name = build_id(contract, WRITER, inputs)
     path = commit(spark, df, root, name)
     written = spark.read.parquet(path)
-    return {"build_id": name, "path": path, "contract": contract.name, "rows": written.count(), "content": content_hash(written), "inputs": list(inputs), "made_at": datetime.now(UTC).isoformat(timespec="seconds"), "python": platform.python_version(), "commit": git_sha()}
+    return {"build_id": name, "path": path, "contract": contract.name, "rows": written.count(), "content": content_hash(written), "inputs": list(inputs), "made_at": datetime.now(UTC).isoformat(timespec="seconds"), "python": platform.python_version(), "commit": revision}
 
 
 def verify(spark: SparkSession, manifest: Mapping, contract: Contract) -> dict:
@@ -159,14 +155,6 @@ def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def git_sha(folder: str | Path = ".") -> str | None:
-    try:
-        out = subprocess.run(["git", "rev-parse", "HEAD"], cwd=folder, capture_output=True, text=True, timeout=10)
-    except OSError:
-        return None
-    return out.stdout.strip() or None
-
-
 def contained(path: str | Path, root: str | Path) -> Path:
     """The resolved path; raises BuildError if it isn't inside root."""
     p, r = Path(path).resolve(), Path(root).resolve()

@@ -23,7 +23,7 @@ class LandingError(RuntimeError):
 def require_room(folder: str | Path, length: int | None, least_free: int, free: Callable[[str], int] | None = None) -> None:
     """Raises LandingError unless the disk keeps `least_free` bytes and has room for the file beyond them."""
     have = (free or (lambda p: shutil.disk_usage(p).free))(str(folder))
-    if have < max(least_free, (length or 0) + least_free):
+    if have < least_free + (length or 0):
         raise LandingError("too little room on the disk")
 
 

@@ -19,6 +19,8 @@ PAYLOAD = (*STATE, "source_closure_date", "source_closure_date_quality")
 RUNS = ", ".join([*(f"{c} string" for c in KEY), "first_date date", "last_date date", "n long", *(f"{c} {'date' if c == 'source_closure_date' else 'string'}" for c in PAYLOAD)])
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State in RocksDB, of which a micro-batch saves what it changed, not a copy of the whole.
+STORE = {PROVIDER: ROCKS, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 
 
 def unpack(seen: bytes, runs: str) -> dict[int, tuple]:
@@ -132,12 +134,14 @@ def follow_keyed_episodes(observations: DataFrame, checkpoint: str, start: str,
     def step(batch: DataFrame, number: int) -> None:
         publish(episodes_of_runs(batch, start, end), number)
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKS)  # a query keeps the settings that it starts with
+    before = {name: spark.conf.get(name, None) for name in STORE}
+    for name, value in STORE.items():
+        spark.conf.set(name, value)  # a query keeps the settings that it starts with
     try:
         return keyed_runs(observations, start, end, keep_days).writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def publisher(folder: str) -> Callable[[DataFrame, int], None]:
