@@ -68,9 +68,7 @@ class Vocabulary:
         for i in np.flatnonzero(is_byte):
             self.byte_id[int(self.pieces[i][3:-1], 16)] = i
         self.raw = [bytes([int(p[3:-1], 16)]) if b else p.replace(_SPACE, " ").encode() if not o else b"" for p, b, o in zip(self.pieces, is_byte, odd, strict=True)]
-        self.raw_size = np.array([len(x) for x in self.raw])
-        self.raw_at = np.cumsum(self.raw_size) - self.raw_size
-        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.raw_column = pa.array(self.raw, pa.large_binary())
         self.longest = max(len(self.pieces[i]) for i in plain)
         if self.longest > 62:
             raise ValueError("pieces must have 62 characters at most")
@@ -111,9 +109,9 @@ class Vocabulary:
 
     def joined(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of ids, and where those of each list ids[at[i]:at[i+1]] begin."""
-        size = self.raw_size[ids]
-        total = np.concatenate([[0], np.cumsum(size)])
-        return self.raw_bytes[_ranges(self.raw_at[ids], size)], total[at]
+        _, ends, data = self.raw_column.take(pa.array(ids)).buffers()
+        total = np.frombuffer(ends, np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        return np.frombuffer(data, np.uint8)[: total[-1]] if data is not None else np.zeros(0, np.uint8), total[at]
 
 
 def _points(points: np.ndarray) -> np.ndarray:
@@ -185,12 +183,11 @@ class Lattice:
             self.seen[place] = True
             number[new[again]] = len(self.start) + np.arange(int(again.sum()))
             self.hashes, self.numbers = (np.insert(x, spot[new[again]], y[new[again]]) for x, y in ((self.hashes, h), (self.numbers, number)))
-            words = first[new[again]]
-            self._add(points, total, inverse, start[words], size[words])
-            self.kept = len(self.start), len(self.left), len(self.share)
-            number[new[~again]] = len(self.start) + np.arange(int((~again).sum()))
-            words = first[new[~again]]
+            number[new[~again]] = len(self.start) + int(again.sum()) + np.arange(int((~again).sum()))
+            words, keep = first[np.concatenate([new[again], new[~again]])], first[new[again]]
+            kept = len(self.start) + len(keep), len(self.left) + int(size[keep].sum())
             self._add(points, total, inverse, start[words], size[words])
+            self.kept = *kept, int(self.ptr[kept[1]])
         return number[back]
 
     def forget(self) -> None:
@@ -231,13 +228,15 @@ class Lattice:
 
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each position, by uniform numbers."""
-        edge, last = self.ptr[node], self.ptr[node + 1] - 1
+        edge = self.ptr[node]
         rest = u - self.share[edge]
-        wait = np.flatnonzero((rest >= 0) & (edge < last))
+        wait = np.flatnonzero(rest >= 0)
+        at, last, rest = edge[wait], self.ptr[node[wait] + 1] - 1, rest[wait]
         while len(wait):
-            edge[wait] += 1
-            rest[wait] -= self.share[edge[wait]]
-            wait = wait[(rest[wait] >= 0) & (edge[wait] < last[wait])]
+            at = np.minimum(at + 1, last)
+            go = np.flatnonzero((at < last) & ((rest := rest - self.share[at]) >= 0))
+            edge[wait] = at
+            wait, at, last, rest = wait[go], at[go], last[go], rest[go]
         return edge
 
     def others(self, node: np.ndarray, barred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -376,14 +375,16 @@ def _draw(lat: Lattice, doc: np.ndarray, node: np.ndarray, at: np.ndarray, seeds
     long = lat.left[node] > WORD
     seed, ahead, out, count = seeds[doc], at - node, [], np.zeros(len(node), np.int64)
     row = np.flatnonzero(~long)
-    p = node[row]
+    p, own, shift = node[row], seed[row], ahead[row]
     while len(p):
-        e = lat.pick(p, _uniform(seed[row], sample, p + ahead[row]))
+        e = lat.pick(p, _uniform(own, sample, p + shift))
         out.append((row, p, e))
-        count[row] += 1
-        p = p + lat.length[e]
-        go = lat.left[out[-1][1]] > lat.length[e]
-        row, p = row[go], p[go]
+        step = lat.length[e]
+        more = lat.left[p] > step
+        count[row[~more]] = len(out)
+        go = np.flatnonzero(more)
+        row, p, own, shift = row[go], p[go] + step[go], own[go], shift[go]
+    short = len(out)
     for j in np.flatnonzero(long).tolist():
         n, spot = int(lat.left[node[j]]), 0
         for lo in range(0, n, SLICE):  # an edge for every position; those on the path count
@@ -398,12 +399,13 @@ def _draw(lat: Lattice, doc: np.ndarray, node: np.ndarray, at: np.ndarray, seeds
             count[j] += len(seen)
     total, free = int(count.sum()), np.cumsum(count) - count
     nodes, edges = np.empty(total, np.int64), np.empty(total, np.int64)
-    for row, p, e in out:
-        spot = free[row] if len(row) < 2 or row[0] != row[-1] else free[row[0]] + np.arange(len(row))
+    for i, (row, p, e) in enumerate(out[:short]):  # the i-th edge of each path
+        spot = free[row] + i
         nodes[spot], edges[spot] = p, e
-        if len(row) < 2 or row[0] != row[-1]:
-            free[row] += 1
-        else:
+    for row, p, e in out[short:]:  # a stretch of one path
+        if len(row):
+            spot = free[row[0]] + np.arange(len(row))
+            nodes[spot], edges[spot] = p, e
             free[row[0]] += len(row)
     return np.repeat(doc, count), nodes, edges, nodes + np.repeat(ahead, count)
 
@@ -433,14 +435,15 @@ class Paths:
         doc, self.node, self.edge, self.at = drawn
         self.value, self.free, self.barred = value, free, barred
         self.ptr = np.searchsorted(doc, np.arange(len(value) + 1))
-        edge = np.log(lat.share[self.edge])
+        share = lat.share[self.edge]
+        edge = np.log(share)
         total = np.concatenate([[0.0], np.cumsum(edge)])
         before = total[:-1] - total[self.ptr[:-1]][doc]
         self.log, full = np.zeros(len(value)), np.diff(self.ptr) > 0
         if full.any():
             self.log[full] = np.add.reduceat(edge, self.ptr[:-1][full])
         sure = edge > -1e-12
-        off = np.log1p(-np.exp(np.where(sure, -1.0, edge)))
+        off = np.log1p(-np.where(sure, 0.5, share))
         self.turns = np.where(sure | (np.arange(len(doc)) < (self.ptr[:-1] + free)[doc]), -np.inf, before + off)  # log-probability of turning off at each edge
         some = np.flatnonzero(barred)
         if len(some):

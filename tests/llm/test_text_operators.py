@@ -415,3 +415,19 @@ def test_pipeline_keeps_columns_and_decides(spark, tmp_path):
     assert now.where("text LIKE '%a.b@c%'").count() == 0
     out = P.run(spark, folder)
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == {0, 1, 2, 3, 4, 5, 6, 7, 23, 24}
+
+
+def test_new_words_enter_a_lattice_at_once(monkeypatch):
+    """One pass over the new words of a batch, those kept in front; what is forgotten later leaves them whole."""
+    v, calls, add = S.vocabulary(public_tokenizers.path("piece_bpe_32k.model"), 1.0), [], S.Lattice._add
+    monkeypatch.setattr(S.Lattice, "_add", lambda self, *a: calls.append(1) or add(self, *a))
+    lat = S.Lattice(v)
+    *words, _ = S.split(["again unseen again other", "again"])
+    rows = lat.rows(*words)
+    assert len(calls) == 1 and rows[0] == rows[2] == rows[4] == 0 and lat.kept[0] == 1
+    before = lat.share[: lat.kept[2]].tolist(), lat.left[: lat.kept[1]].tolist()
+    lat.forget()
+    assert (lat.share.tolist(), lat.left.tolist()) == before and int(lat.ptr[-1]) == len(lat.share)
+    ids = np.array([v.pieces.index("▁again"), v.pieces.index("s")])
+    data, cut = v.joined(ids, np.array([0, 1, 1, 2]))
+    assert data.tobytes() == b" agains" and cut.tolist() == [0, 6, 6, 7]
