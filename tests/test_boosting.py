@@ -86,3 +86,12 @@ def test_odd_groups(spark):
     assert sorted((r.model, round(r.prediction, 6)) for r in out.collect()) == [(0, 1.5), (0, 1.5), (0, 1.5), (1, 0.0)]
     with pytest.raises(ValueError, match="negative"):
         B.grow(df.withColumn("y", F.lit(-1)), ["a"], "y", "model", "learn", [1.0, 1.5], GROWTH)
+
+
+def test_learners_read_the_panel_once(spark):
+    """The panel is kept, so no pass of a learner joins or broadcasts the tables anew."""
+    from sedimenta.plans.window_queries import _model_frames
+
+    for frame in _model_frames(spark, "/root/testdata/sf0.001")[:2]:
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Relation" not in plan and frame.columns
