@@ -4,8 +4,8 @@ spark.dataSource.register(PagedHistory)
 spark.read.format("paged_history").option("root", folder).load().where("base_date >= '20260101'")
 
 A task is one source, observation date and authority. What a read fetches is planned from the first page of
-each task: its announced total and page size give the number of pages, and each page becomes a partition of its
-own. A page that announces another total later, or holds another number of items than its place says, fails the
+each task: its announced total and page size give the number of pages. Neighbouring pages make a partition, the
+more the more there are, up to a bound. A page that announces another total later, or holds another number of items than its place says, fails the
 read. Comparisons of source_key, base_date and authority_code with literals prune tasks before anything is
 fetched (spark.sql.python.filterPushdown.enabled). As a stream, the offset is the observation date: a batch reads
 the tasks of the dates that came since.
@@ -13,7 +13,8 @@ the tasks of the dates that came since.
 Options: `root`, a folder <root>/<source>/<date>/<authority>/page-<n>.json in any store that pyarrow.fs.FileSystem
 knows by URI, or a local path; or `fetcher`, "module:name" of a class made from the options, with tasks() giving
 (source, date, authority) and fetch(source, date, authority, page) giving a page's text, which must be importable
-on the executors. `most_pages` bounds the pages of a task, `planners` the threads that fetch first pages (8).
+on the executors. `most_pages` bounds the pages of a task, `pages_a_partition` those that one task of Spark reads (256), `planners` the
+threads that fetch first pages (8).
 """
 
 from __future__ import annotations
@@ -78,13 +79,24 @@ def fetcher_of(options: dict):
     return getattr(importlib.import_module(module), name)(dict(options))
 
 
-class Page(InputPartition):
+#: Partitions that a read has at least, if it has as many pages.
+SPREAD = 64
+
+
+class Page:
     """A page to be read, and what the first page of its task announced."""
 
     def __init__(self, task: Task, page: int, pages: int, total: int, size: int | None):
         self.task, self.page, self.pages, self.total, self.size = task, page, pages, total, size
 
 
+class Pages(InputPartition):
+    """Pages that one task of Spark reads."""
+
+    def __init__(self, pages: list[Page]):
+        self.pages = pages
+
+
 def plan_task(fetcher, task: Task, most_pages: int | None) -> list[Page]:
     """The pages of a task, from what its first page announces; a task of no rows has one page."""
     first = parse_page(fetcher.fetch(*task, 1))
@@ -143,16 +155,20 @@ class _Reading:
 
         return [t for t in tasks if passes(t)]
 
-    def planned(self, tasks: list[Task]) -> list[Page]:
+    def planned(self, tasks: list[Task]) -> list[Pages]:
         fetcher = fetcher_of(self.options)
         most = int(self.options["most_pages"]) if "most_pages" in self.options else None
         with ThreadPoolExecutor(int(self.options.get("planners", 8))) as pool:
-            return [p for pages in pool.map(lambda t: plan_task(fetcher, t, most), tasks) for p in pages]
+            pages = [p for some in pool.map(lambda t: plan_task(fetcher, t, most), tasks) for p in some]
+        size = max(1, min(int(self.options.get("pages_a_partition", 256)), ceil(len(pages) / SPREAD)))
+        return [Pages(pages[lo : lo + size]) for lo in range(0, len(pages), size)]
 
-    def read(self, part: Page) -> Iterator[tuple]:
-        text = fetcher_of(self.options).fetch(*part.task, part.page)
-        check_page(part, parse_page(text))
-        yield (*part.task, part.page, part.total, text)
+    def read(self, part: Pages) -> Iterator[tuple]:
+        fetcher = fetcher_of(self.options)
+        for page in part.pages:
+            text = fetcher.fetch(*page.task, page.page)
+            check_page(page, parse_page(text))
+            yield (*page.task, page.page, page.total, text)
 
 
 class HistoryReader(_Reading, DataSourceReader):
@@ -163,7 +179,7 @@ class HistoryReader(_Reading, DataSourceReader):
             else:
                 yield f
 
-    def partitions(self) -> list[Page]:
+    def partitions(self) -> list[Pages]:
         return self.planned(self.wanted(fetcher_of(self.options).tasks()))
 
 
@@ -176,5 +192,5 @@ class HistoryStream(_Reading, DataSourceStreamReader):
     def latestOffset(self) -> dict:
         return {"base_date": max((t[1] for t in fetcher_of(self.options).tasks()), default="")}
 
-    def partitions(self, start: dict, end: dict) -> list[Page]:
+    def partitions(self, start: dict, end: dict) -> list[Pages]:
         return self.planned([t for t in fetcher_of(self.options).tasks() if start["base_date"] < t[1] <= end["base_date"]])

@@ -70,9 +70,12 @@ def land_pages(pages: DataFrame, root: str) -> None:
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+        made = set()
         for a, b, c, page, body in rows:
             folder = f"{base.rstrip('/')}/{a}/{b}/{c}"
-            store.create_dir(folder, recursive=True)
+            if folder not in made:
+                store.create_dir(folder, recursive=True)
+                made.add(folder)
             with store.open_output_stream(f"{folder}/page-{page}.json") as out:
                 out.write(body.encode("utf-8"))
 

@@ -105,3 +105,14 @@ def test_stream_by_observation_date(source, tmp_path):
     assert run() == [r.id for r in rows(source).where("base_date <= '20260102'").orderBy("id").collect()]
     land_pages(pages.where("base_date > '20260102'"), str(folder))
     assert run() == list(range(130))  # the first dates aren't read again
+
+
+def test_partitions_grow_slower_than_pages(source, tmp_path):
+    """A task of Spark reads many pages, in order, and each page is still held against its plan."""
+    read = landed(source, tmp_path / "h", 1)
+    few, many = (read.option("pages_a_partition", n).load() for n in (1, 256))
+    assert few.rdd.getNumPartitions() == 130 and many.rdd.getNumPartitions() == 44  # three pages each
+    assert ids(few) == ids(many) == list(range(130))
+    (next((tmp_path / "h").glob("cafes/*/*/page-3.json"))).write_text('{"response": {"body": {"pageNo": 3, "numOfRows": 1, "totalCount": 9999, "items": {"item": [{"id": 1}]}}}}')
+    with pytest.raises(Exception, match="page 3: the total went"):
+        many.collect()
