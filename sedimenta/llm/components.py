@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.store import Scratch
+from sedimenta.llm.store import Scratch, settle
 
 
 def _print(edges: DataFrame) -> tuple[int, int]:
@@ -17,6 +17,7 @@ def roots(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(u, v): the least node v of the component of each node u that isn't the least itself. edges: (u, v).
 
     No node's neighbours are gathered; a node with many is a skewed join key, which adaptive execution splits.
+    The driver forgets each round before the next, so its memory doesn't grow with the rounds.
     """
     now = scratch.save(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = _print(now)
@@ -28,6 +29,7 @@ def roots(scratch: Scratch, edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = scratch.save(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         after = _print(new)
+        settle(scratch.spark)
         now, same, before = new, after == before, after
         if same:
             break

@@ -246,6 +246,7 @@ def near_components(
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.save(pairs)
+        settle(spark)
         edges = _linked(_plausible(pairs, sigs, percent / 100, miss), texts, percent, k)
         if turn == stars and large is not None:
             edges = edges.unionByName(_block_links(large, texts, scratch, percent, k))

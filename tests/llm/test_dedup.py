@@ -170,3 +170,14 @@ def test_items_in_any_case(spark):
     assert [tuple(r) for r in decontaminate(d, b).collect()] == docs[4:]
     raw = spark.sql("SELECT 9L AS doc_id, CAST(concat(X'FF20C3C9', CAST(' b c d e É' AS BINARY)) AS STRING) AS text")
     assert contained_items(raw, b).count() == 0 and decontaminate(raw, b).count() == 1
+
+
+def test_each_round_of_components_is_forgotten(spark, monkeypatch):
+    from sedimenta.llm import components
+    from sedimenta.llm.store import Scratch
+
+    calls = []
+    monkeypatch.setattr(components, "settle", calls.append, raising=False)
+    chain = spark.createDataFrame([(i + 1, i) for i in range(40)], "u long, v long")
+    assert {(r.u, r.v) for r in components.roots(Scratch(spark, "chain"), chain).collect()} == {(i, 0) for i in range(1, 41)}
+    assert len(calls) >= 2
