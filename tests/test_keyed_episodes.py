@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import pandas as pd
 import pytest
 
 from sedimenta.operators.episodes import episodes
@@ -66,3 +67,61 @@ def test_state_ends_after_the_window(spark, tmp_path):
         spark.conf.unset(K.PROVIDER)
     with pytest.raises(ValueError, match="window"):
         follow(spark, f"file://{tmp_path}", [obs(spark, inside)], end="2025-01-01")
+
+
+class Bucket:
+    """The state of one bucket, and what is asked of it."""
+
+    def __init__(self):
+        self.rows, self.asked, self.timers = {}, [], []
+
+    def getMapState(self, *schema):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def iterator(self):
+        for item in sorted(self.rows.items()):
+            self.asked.append("walk")
+            yield item
+
+    def getValue(self, permit):
+        self.asked.append("one")
+        return self.rows.get(permit)
+
+    def updateValue(self, permit, row):
+        self.asked.append("update")
+        self.rows[permit] = row
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_a_bucket_is_one_group_and_reads_little_of_what_it_holds():
+    bucket, state = Bucket(), K.RunState(366, 10**12)
+    state.init(bucket)
+
+    def batch(permits, day, code):
+        part = pd.DataFrame([("s", str(k), day, code, None, None, None, None, "MISSING") for k in permits], columns=[*K.KEY, "day", *K.PAYLOAD])
+        bucket.asked.clear()
+        return list(state.handleInputRows((7,), iter([part[: len(part) // 2], part[len(part) // 2 :]]), bucket))
+
+    assert len(batch(range(500), 3, "01")) == 1 and len(bucket.rows) == 500 and bucket.asked == ["update"] * 500 and bucket.timers == [10**12]
+    assert len(batch(range(500), 4, "03")) == 1 and sorted(set(bucket.asked)) == ["update", "walk"] and len(bucket.asked) == 1000 and bucket.timers == [10**12]
+    assert K.unpack(*bucket.rows["s", "9"]) == {3: ("01", None, None, None, None, "MISSING"), 4: ("03", None, None, None, None, "MISSING")}
+    assert len(batch([499], 5, "03")) == 1 and len(bucket.asked) <= 12 and len(K.unpack(*bucket.rows["s", "499"])) == 3
+    assert batch(range(500), 4, "03") == [] and "update" not in bucket.asked  # nothing new, nothing written
+
+
+def test_many_permits_share_few_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(K, "BUCKETS", 3)
+    every = [(str(k), D_(2026, 1, 1 + d), "01" if (k + d) % 3 else "03", None) for k in range(60) for d in range(4)]
+    got = follow(spark, f"file://{tmp_path}", [obs(spark, every[:150]), obs(spark, every[90:])])
+    assert rows(got) == rows(episodes(obs(spark, every), "2026-01-01", "2026-12-31"))
+    spark.conf.set(K.PROVIDER, K.ROCKS)
+    try:
+        left = spark.read.format("statestore").option("path", f"file://{tmp_path}/state").option("stateVarName", "runs").load().selectExpr("key.bucket", "user_map_key").collect()
+    finally:
+        spark.conf.unset(K.PROVIDER)
+    assert len(left) == 60 and len({r.bucket for r in left}) == 3
